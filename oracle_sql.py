@@ -129,6 +129,9 @@ c_delivery_vw AS (
 
 
 def with_canon(body: str) -> str:
+    body = body.strip()
+    if body.upper().startswith("WITH "):
+        return "WITH " + CANON.strip() + ",\n" + body[5:]
     return "WITH " + CANON.strip() + "\n" + body
 
 
@@ -187,14 +190,353 @@ SELECT *, {hu("late_orders * 100", "delivered_orders")} AS late_delivery_percent
 FROM ({LATE_COUNTS})
 """
 
-_BODIES: dict[str, str] = {
-    "order_status_report": ORDER_STATUS,
-    "monthly_revenue_report": MONTHLY_REVENUE,
-    "state_performance_report": STATE_PERFORMANCE,
-    "running_revenue_report": RUNNING_REVENUE,
-    "delivery_analysis_report": DELIVERY_ANALYSIS,
-}
+
+def _cols(table: str, cols: list[str]) -> str:
+    return ", ".join(cols)
+
+
+MASTER_MONEY = """order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
+  order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date,
+  purchase_year, purchase_month, purchase_day_of_week, delivery_days, is_late, item_count,
+  CAST(items_total AS DOUBLE) AS items_total, CAST(freight_total AS DOUBLE) AS freight_total,
+  CAST(order_total AS DOUBLE) AS order_total, customer_unique_id, customer_zip_code_prefix,
+  customer_city, customer_state, CAST(total_payment AS DOUBLE) AS total_payment, payment_count,
+  payment_types"""
+
+CLEAN_ORDER_COLS = """o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+  o.order_approved_at, o.order_delivered_carrier_date, o.order_delivered_customer_date,
+  o.order_estimated_delivery_date, o.purchase_year, o.purchase_month, o.purchase_day_of_week,
+  o.delivery_days, o.is_late"""
+
+FILLED_PRODUCTS = """SELECT product_id, COALESCE(product_category_name, 'unknown') AS product_category_name,
+  product_name_lenght, product_description_lenght, COALESCE(product_photos_qty, 0) AS product_photos_qty,
+  COALESCE(product_weight_g, 0) AS product_weight_g, COALESCE(product_length_cm, 0) AS product_length_cm,
+  COALESCE(product_height_cm, 0) AS product_height_cm, COALESCE(product_width_cm, 0) AS product_width_cm
+  FROM c_products"""
+
+ENRICHED = f"""SELECT f.product_category_name, f.product_id, f.product_name_lenght,
+  f.product_description_lenght, f.product_photos_qty, f.product_weight_g, f.product_length_cm,
+  f.product_height_cm, f.product_width_cm, t.product_category_name_english
+  FROM ({FILLED_PRODUCTS}) f LEFT JOIN c_translation t ON f.product_category_name = t.product_category_name"""
+
+PRODUCT_SALES = """SELECT product_id, count(*) AS units_sold, count(DISTINCT order_id) AS orders,
+  sum(price) AS revenue FROM c_items GROUP BY product_id"""
+
+REGISTRY = ["orders", "order_items", "customers", "products", "sellers", "payments",
+            "category_translation"]
+CANON_VIEW = {"orders": "c_orders", "order_items": "c_items", "customers": "c_customers",
+              "products": "c_products", "sellers": "c_sellers", "payments": "c_payments",
+              "category_translation": "c_translation"}
+
+
+def _schema():
+    from cartwright.sources.schemas import EXPECTED_COLUMNS, SCHEMAS
+    return EXPECTED_COLUMNS, SCHEMAS
+
+
+def _width(type_name: str, col: str) -> str:
+    if type_name == "string":
+        return f"COALESCE(strlen({col}), 0)"
+    w = {"int": 4, "bigint": 8, "double": 8, "timestamp_ntz": 8, "boolean": 1, "date": 4}.get(type_name, 8)
+    return f"(CASE WHEN {col} IS NULL THEN 0 ELSE {w} END)"
+
+
+def _column_stats() -> str:
+    """UNION of one row per (table, column): null_count, row_count, bytes."""
+    expected, schemas = _schema()
+    parts = []
+    for t in REGISTRY:
+        for pos, f in enumerate(schemas[t].fields, start=1):
+            parts.append(
+                f"SELECT '{t}' AS table_name, {pos} AS position, '{f.name}' AS column_name, "
+                f"CAST(count(*) AS BIGINT) AS row_count, "
+                f"CAST(count(*) FILTER (WHERE {f.name} IS NULL) AS BIGINT) AS null_count, "
+                f"CAST(sum({_width(f.dataType.simpleString(), f.name)}) AS BIGINT) AS logical_bytes "
+                f"FROM {CANON_VIEW[t]}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _dups(view: str) -> str:
+    return f"(SELECT count(*) FROM {view}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {view}))"
+
+
+def _profile_rows() -> str:
+    expected, schemas = _schema()
+    parts = []
+    for t in REGISTRY:
+        names = ",".join(f.name for f in schemas[t].fields)
+        parts.append(
+            f"SELECT '{t}' AS table_name, CAST(max(row_count) AS BIGINT) AS row_count, "
+            f"CAST(count(*) AS BIGINT) AS column_count, '{names}' AS column_names, "
+            f"CAST(sum(null_count) AS BIGINT) AS null_cells, CAST(sum(logical_bytes) AS BIGINT) AS logical_bytes, "
+            f"CAST(({_dups(CANON_VIEW[t])}) AS BIGINT) AS duplicate_rows, true AS schema_valid, "
+            f"CAST([] AS VARCHAR[]) AS missing_columns, CAST([] AS VARCHAR[]) AS extra_columns "
+            f"FROM cs WHERE table_name = '{t}'")
+    return "\nUNION ALL ".join(parts)
+
+
+RAW_COUNTERPARTS = {"orders": "orders", "order_items": "lineitem", "customers": "customer",
+                    "products": "part", "sellers": "supplier"}
+
+
+def _schema_diff() -> str:
+    expected, _ = _schema()
+    parts = []
+    for t in REGISTRY:
+        parts.append(
+            f"SELECT 'canonical' AS source, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
+            f"true AS schema_valid, CAST([] AS VARCHAR[]) AS missing_columns, "
+            f"CAST([] AS VARCHAR[]) AS extra_columns FROM {CANON_VIEW[t]}")
+    for t, raw in RAW_COUNTERPARTS.items():
+        exp = "[" + ", ".join(f"'{c}'" for c in expected[t]) + "]"
+        missing = f"list_sort(list_filter({exp}, lambda x: NOT list_contains(a.act, x)))"
+        extra = f"list_sort(list_filter(a.act, lambda x: NOT list_contains({exp}, x)))"
+        parts.append(
+            f"SELECT 'raw' AS source, '{t}' AS table_name, c.n AS row_count, "
+            f"len({missing}) = 0 AS schema_valid, CAST({missing} AS VARCHAR[]) AS missing_columns, "
+            f"CAST({extra} AS VARCHAR[]) AS extra_columns "
+            f"FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM {raw}) c, "
+            f"(SELECT list(column_name) AS act FROM (DESCRIBE {raw})) a")
+    return "\nUNION ALL ".join(parts)
+
+
+def _empty_fields() -> str:
+    _, schemas = _schema()
+    parts = []
+    for t in REGISTRY:
+        cells = " + ".join(f"CAST({f.name} IS NULL AS BIGINT)" for f in schemas[t].fields)
+        parts.append(f"SELECT '{t}' AS table_name, CAST(COALESCE(sum({cells}), 0) AS BIGINT) AS empty_fields "
+                     f"FROM {CANON_VIEW[t]}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _dq(dataset: str, view: str, keys: list[str], required: list[str], present: list[str]) -> str:
+    missing = len(set(required) - set(present))
+    null_cond = " OR ".join(f"{k} IS NULL" for k in keys)
+    key_list = ", ".join(keys)
+    dup = f"(SELECT count(*) FROM (SELECT {key_list} FROM {view} GROUP BY {key_list} HAVING count(*) > 1))"
+    n = f"(SELECT count(*) FROM {view})"
+    nk = f"(SELECT count(*) FILTER (WHERE {null_cond}) FROM {view})"
+    return f"""
+SELECT '{dataset}' AS dataset, 'required_columns' AS rule, 'fail' AS severity, CAST({missing} AS BIGINT) AS observed, {str(missing == 0).lower()} AS passed
+UNION ALL SELECT '{dataset}', 'non_empty', 'fail', CAST({n} AS BIGINT), {n} > 0
+UNION ALL SELECT '{dataset}', 'null_keys', 'fail', CAST({nk} AS BIGINT), {nk} = 0
+UNION ALL SELECT '{dataset}', 'duplicate_keys', 'info', CAST({dup} AS BIGINT), true"""
+
+
+def _dq_all() -> str:
+    expected, schemas = _schema()
+    master_cols = ["order_id", "order_status"]
+    return (_dq("master_orders", "c_master", ["order_id"], ["order_id", "order_status"], master_cols)
+            + "\nUNION ALL " + _dq("order_items", "c_items", ["order_id", "order_item_id"],
+                                   ["order_id", "order_item_id"], ["order_id", "order_item_id"]))
+
+
+def _registry_counts(tables) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {CANON_VIEW[t]}"
+        for t in tables)
+
+
+REPORT_COLS = {"order_status": (ORDER_STATUS, 3), "monthly_revenue": (MONTHLY_REVENUE, 8),
+               "state_performance": (STATE_PERFORMANCE, 10), "running_revenue": (RUNNING_REVENUE, 6),
+               "delivery_analysis": (DELIVERY_ANALYSIS, 6)}
+
+
+def _bodies() -> dict[str, str]:
+    b = {
+        "order_status_report": ORDER_STATUS,
+        "monthly_revenue_report": MONTHLY_REVENUE,
+        "state_performance_report": STATE_PERFORMANCE,
+        "running_revenue_report": RUNNING_REVENUE,
+        "delivery_analysis_report": DELIVERY_ANALYSIS,
+        "orders_summary": """SELECT order_id, order_status, purchase_year, purchase_month, delivery_days,
+            is_late, item_count, CAST(order_total AS DOUBLE) AS order_total,
+            CAST(total_payment AS DOUBLE) AS total_payment, customer_state FROM c_master""",
+        "typed_timestamps": """SELECT order_id, order_purchase_timestamp,
+            CASE WHEN order_status = 'P' THEN NULL ELSE order_approved_at END AS order_approved_at,
+            order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date
+            FROM c_orders""",
+        "clean_orders": "SELECT * FROM c_clean_orders",
+        "date_parts": "SELECT order_id, purchase_year, purchase_month, purchase_day_of_week FROM c_clean_orders",
+        "date_diff_days": "SELECT order_id, delivery_days FROM c_clean_orders",
+        "late_flag": "SELECT order_id, is_late FROM c_clean_orders",
+        "dedup_orders": """SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+            order_approved_at, order_delivered_carrier_date, order_delivered_customer_date,
+            order_estimated_delivery_date FROM c_clean_orders""",
+        "dedup_order_lines": """SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+            CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value FROM c_items
+            QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY
+              product_id DESC NULLS LAST, seller_id DESC NULLS LAST, shipping_limit_date DESC NULLS LAST,
+              price DESC NULLS LAST, freight_value DESC NULLS LAST) = 1""",
+        "fill_nulls": FILLED_PRODUCTS,
+        "enrich_products": ENRICHED,
+        "positive_payments": """SELECT order_id, payment_sequential, payment_type, payment_installments,
+            CAST(payment_value AS DOUBLE) AS payment_value FROM c_payments WHERE payment_value > 0""",
+        "aggregate_payments": """SELECT order_id, CAST(total_payment AS DOUBLE) AS total_payment,
+            CAST(payment_count AS BIGINT) AS payment_count, payment_types FROM c_payment_summary""",
+        "payment_types_set": "SELECT order_id, payment_types FROM c_payment_summary",
+        "aggregate_items": """SELECT order_id, CAST(item_count AS BIGINT) AS item_count,
+            CAST(items_total AS DOUBLE) AS items_total, CAST(freight_total AS DOUBLE) AS freight_total,
+            CAST(order_total AS DOUBLE) AS order_total FROM c_items_summary""",
+        "orders_items_join": f"""SELECT {CLEAN_ORDER_COLS}, i.item_count, CAST(i.items_total AS DOUBLE) AS items_total,
+            CAST(i.freight_total AS DOUBLE) AS freight_total, CAST(i.order_total AS DOUBLE) AS order_total
+            FROM c_clean_orders o LEFT JOIN c_items_summary i ON o.order_id = i.order_id""",
+        "orders_payments_join": f"""SELECT {CLEAN_ORDER_COLS}, CAST(p.total_payment AS DOUBLE) AS total_payment,
+            p.payment_count, p.payment_types
+            FROM c_clean_orders o LEFT JOIN c_payment_summary p ON o.order_id = p.order_id""",
+        "orders_customer_join": f"""SELECT {CLEAN_ORDER_COLS}, c.customer_unique_id, c.customer_zip_code_prefix,
+            c.customer_city, c.customer_state
+            FROM c_clean_orders o LEFT JOIN c_customers c ON o.customer_id = c.customer_id""",
+        "build_master": f"SELECT {MASTER_MONEY} FROM c_master",
+        "analytics_orders": """SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+            customer_state, CAST(revenue AS DOUBLE) AS revenue, delivery_days, is_late FROM c_analytics""",
+        "schema_resolve": """SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+            customer_state, CAST(order_total AS DOUBLE) AS revenue, delivery_days, is_late FROM c_master""",
+        "derive_delivery_days": "SELECT order_id, delivery_days FROM c_master",
+        "normalize_boolean": """SELECT order_id, flag_text,
+            CASE WHEN lower(trim(flag_text)) IN ('true', '1', 'yes', 'y', 't') THEN true
+                 WHEN lower(trim(flag_text)) IN ('false', '0', 'no', 'n', 'f') THEN false END AS flag
+            FROM (SELECT o_orderkey AS order_id,
+                    CASE WHEN o_orderpriority LIKE '1%' THEN 'TRUE'
+                         WHEN o_orderpriority LIKE '2%' THEN ' yes '
+                         WHEN o_orderpriority LIKE '3%' THEN '0'
+                         WHEN o_orderpriority LIKE '4%' THEN
+                              CASE WHEN o_orderstatus = 'F' THEN 'F' WHEN o_orderstatus = 'O' THEN 'n' END
+                         ELSE 'maybe' END AS flag_text FROM orders)""",
+        "safe_casts": """SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
+            CAST(NULL AS INTEGER) AS flag_as_int, l_linenumber AS line_as_int,
+            CASE WHEN l_linestatus = 'F' THEN false END AS status_as_boolean, l_tax AS tax_as_double
+            FROM lineitem""",
+        "round_half_up": f"""SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
+            CAST(ROUND({PRICE} * CAST(l_discount AS DECIMAL(4,2)), 2) AS DOUBLE) AS discount_amount,
+            CAST(ROUND({PRICE} * CAST(l_tax AS DECIMAL(4,2)), 1) AS DOUBLE) AS tax_amount_1dp
+            FROM lineitem""",
+        "arithmetic_ops": f"""SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
+            CAST({PRICE} * CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS gross_value,
+            CAST({PRICE} + ROUND({PRICE} * CAST(l_tax AS DECIMAL(4,2)), 2) AS DOUBLE) AS price_with_freight,
+            {hu(cents(PRICE), "CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS INTEGER) * 100")}
+              AS price_per_discount_point
+            FROM lineitem""",
+        "null_predicates": """SELECT
+            CAST(count(*) FILTER (WHERE is_late = TRUE) AS BIGINT) AS late_true,
+            CAST(count(*) FILTER (WHERE is_late = FALSE) AS BIGINT) AS late_false,
+            CAST(count(*) FILTER (WHERE is_late IS NULL) AS BIGINT) AS late_null,
+            CAST(count(*) FILTER (WHERE order_delivered_customer_date IS NULL) AS BIGINT) AS undelivered,
+            CAST(count(*) FILTER (WHERE order_delivered_customer_date IS NOT NULL) AS BIGINT) AS delivered,
+            CAST(count(*) FILTER (WHERE item_count IS NULL OR payment_count IS NULL) AS BIGINT)
+              AS missing_items_or_payments
+            FROM c_master""",
+        "monthly_orders": """SELECT CAST(year(order_month) AS INTEGER) AS year,
+            CAST(month(order_month) AS INTEGER) AS month_number, CAST(total_orders AS BIGINT) AS total_orders,
+            CAST(monthly_revenue AS DOUBLE) AS monthly_revenue FROM c_monthly""",
+        "month_name": """SELECT CAST(year(order_month) AS INTEGER) AS year,
+            CAST(month(order_month) AS INTEGER) AS month_number, monthname(order_month) AS month_name
+            FROM c_monthly""",
+        "daily_orders": """SELECT order_date, CAST(daily_orders AS BIGINT) AS daily_orders,
+            CAST(daily_revenue AS DOUBLE) AS daily_revenue FROM c_daily""",
+        "distinct_customers_by_state": """SELECT customer_state, CAST(total_customers AS BIGINT) AS total_customers
+            FROM c_state""",
+        "late_on_time_counts": LATE_COUNTS,
+        "share_of_total": f"""SELECT order_id, CAST(revenue AS DOUBLE) AS revenue,
+            {hu(f"{cents('revenue')} * 100", f"sum({cents('revenue')}) OVER ()", 6)} AS revenue_share_percentage
+            FROM c_analytics""",
+        "lag_month": f"SELECT year, month_number, monthly_revenue, previous_month_revenue FROM ({MONTHLY_REVENUE})",
+        "growth_pct": f"SELECT year, month_number, revenue_change, growth_percentage FROM ({MONTHLY_REVENUE})",
+        "dense_rank_state": """SELECT customer_state, CAST(total_revenue AS DOUBLE) AS total_revenue,
+            CAST(dense_rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank FROM c_state""",
+        "ntile_state": """SELECT customer_state, CAST(total_revenue AS DOUBLE) AS total_revenue,
+            CAST(ntile(4) OVER (ORDER BY total_revenue DESC, customer_state) AS INTEGER) AS revenue_quartile
+            FROM c_state""",
+        "performance_tier": f"SELECT customer_state, revenue_quartile, performance_tier FROM ({STATE_PERFORMANCE})",
+        "running_sum": """SELECT order_date, CAST(daily_revenue AS DOUBLE) AS daily_revenue,
+            CAST(sum(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                 AS DOUBLE) AS cumulative_revenue FROM c_daily""",
+        "moving_avg_7": f"""SELECT order_date, CAST(daily_orders AS BIGINT) AS daily_orders,
+            CAST(daily_revenue AS DOUBLE) AS daily_revenue, {hu("s7", "n7 * 100")} AS seven_day_avg_revenue
+            FROM (SELECT *, sum({cents('daily_revenue')}) OVER w AS s7, count(daily_revenue) OVER w AS n7
+                  FROM c_daily WINDOW w AS (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))""",
+        "moving_avg_7_calendar": f"""SELECT order_date, CAST(daily_orders AS BIGINT) AS daily_orders,
+            CAST(daily_revenue AS DOUBLE) AS daily_revenue,
+            {hu("s7", "n7 * 100")} AS seven_calendar_day_avg_revenue
+            FROM (SELECT *, sum({cents('daily_revenue')}) OVER w AS s7, count(daily_revenue) OVER w AS n7
+                  FROM c_daily WINDOW w AS (ORDER BY order_date
+                    RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW))""",
+        "delivery_analysis_view": "SELECT * FROM c_delivery_vw",
+        "run_reports": "\nUNION ALL ".join(
+            f"SELECT '{n}' AS report_name, CAST(count(*) AS BIGINT) AS row_count FROM ({q})"
+            for n, (q, _) in REPORT_COLS.items()),
+        "report_csv_roundtrip": "\nUNION ALL ".join(
+            f"SELECT '{n}' AS report_name, CAST(count(*) AS BIGINT) AS row_count, {w} AS column_count FROM ({q})"
+            for n, (q, w) in REPORT_COLS.items()),
+        "report_preview": f"SELECT * FROM ({RUNNING_REVENUE}) ORDER BY order_date LIMIT 20",
+        "kpi_totals": f"""SELECT CAST(count(*) AS BIGINT) AS total_orders,
+            CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+            {hu(f"sum({cents('revenue')})", "count(revenue) * 100")} AS avg_order_value FROM c_analytics""",
+        "top_products": f"""SELECT product_id, CAST(units_sold AS BIGINT) AS units_sold,
+            CAST(orders AS BIGINT) AS orders, CAST(revenue AS DOUBLE) AS revenue
+            FROM ({PRODUCT_SALES}) ORDER BY revenue DESC, product_id LIMIT 10""",
+        "category_performance": f"""SELECT e.product_category_name, e.product_category_name_english,
+            CAST(sum(s.units_sold) AS BIGINT) AS items_sold, CAST(count(*) AS BIGINT) AS products,
+            CAST(sum(s.revenue) AS DOUBLE) AS revenue
+            FROM ({PRODUCT_SALES}) s LEFT JOIN ({ENRICHED}) e ON s.product_id = e.product_id
+            GROUP BY e.product_category_name, e.product_category_name_english""",
+        "customer_distribution": f"""SELECT customer_state, CAST(customers AS BIGINT) AS customers,
+            {hu("customers * 100", "sum(customers) OVER ()")} AS customer_share_percentage
+            FROM (SELECT customer_state, count(DISTINCT customer_unique_id) AS customers
+                  FROM c_customers GROUP BY customer_state)""",
+        "seller_performance": """SELECT s.seller_id, d.seller_state, CAST(s.items_sold AS BIGINT) AS items_sold,
+            CAST(s.orders AS BIGINT) AS orders, CAST(s.revenue AS DOUBLE) AS revenue,
+            CAST(s.freight AS DOUBLE) AS freight,
+            CAST(dense_rank() OVER (ORDER BY s.revenue DESC) AS INTEGER) AS revenue_rank
+            FROM (SELECT seller_id, count(*) AS items_sold, count(DISTINCT order_id) AS orders,
+                         sum(price) AS revenue, sum(freight_value) AS freight FROM c_items GROUP BY seller_id) s
+            LEFT JOIN c_sellers d ON s.seller_id = d.seller_id""",
+        "payment_mix": f"""SELECT payment_type, CAST(payments AS BIGINT) AS payments, CAST(orders AS BIGINT) AS orders,
+            CAST(total_value AS DOUBLE) AS total_value,
+            {hu(f"{cents('total_value')} * 100", f"sum({cents('total_value')}) OVER ()")} AS value_share_percentage
+            FROM (SELECT payment_type, count(*) AS payments, count(DISTINCT order_id) AS orders,
+                         sum(payment_value) AS total_value FROM c_payments WHERE payment_value > 0
+                  GROUP BY payment_type)""",
+        "clean_column_names": """SELECT o_orderkey AS o_orderkey_raw, o_custkey AS o_custkey_raw,
+            o_orderstatus AS o_orderstatus_raw, o_totalprice AS o_totalprice_raw,
+            o_orderdate AS o_orderdate_raw, o_orderpriority AS o_orderpriority_raw FROM orders""",
+        "item_master": f"""SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id,
+            CAST(i.price AS DOUBLE) AS price, CAST(i.freight_value AS DOUBLE) AS freight_value,
+            e.product_category_name, e.product_category_name_english, s.seller_state,
+            m.order_status, m.order_purchase_timestamp, m.customer_state, m.is_late
+            FROM c_items i LEFT JOIN c_master m ON i.order_id = m.order_id
+            LEFT JOIN ({ENRICHED}) e ON i.product_id = e.product_id
+            LEFT JOIN c_sellers s ON i.seller_id = s.seller_id""",
+        "null_counts": f"SELECT table_name, column_name, null_count FROM ({_column_stats()})",
+        "null_percentage": f"""SELECT table_name, column_name, {hu("null_count * 100", "row_count")} AS null_percentage
+            FROM ({_column_stats()})""",
+        "logical_bytes": f"""SELECT table_name, CAST(sum(logical_bytes) AS BIGINT) AS logical_bytes
+            FROM ({_column_stats()}) GROUP BY table_name""",
+        "table_shape": f"""SELECT table_name, CAST(max(row_count) AS BIGINT) AS row_count,
+            CAST(count(*) AS BIGINT) AS column_count FROM ({_column_stats()}) GROUP BY table_name""",
+        "duplicate_rows": "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, CAST(({_dups(CANON_VIEW[t])}) AS BIGINT) AS duplicate_rows"
+            for t in REGISTRY),
+        "profile_table": f"WITH cs AS ({_column_stats()}) SELECT * FROM ({_profile_rows()}) WHERE table_name = 'orders'",
+        "profile_all_tables": f"WITH cs AS ({_column_stats()}) {_profile_rows()}",
+        "schema_diff": _schema_diff(),
+        "dq_report": _dq_all(),
+        "dq_required_columns": f"SELECT * FROM ({_dq_all()}) WHERE rule = 'required_columns'",
+        "dq_non_empty": f"SELECT * FROM ({_dq_all()}) WHERE rule = 'non_empty'",
+        "null_key_count": "SELECT CAST(count(*) FILTER (WHERE order_id IS NULL) AS BIGINT) AS null_keys FROM c_master",
+        "duplicate_keys": """SELECT order_id, order_item_id, CAST(count(*) AS BIGINT) AS count FROM c_items
+            GROUP BY order_id, order_item_id HAVING count(*) > 1""",
+        "output_contract": """SELECT 'master_orders' AS dataset, CAST(count(*) AS BIGINT) AS expected_rows,
+            CAST(count(*) AS BIGINT) AS written_rows, true AS schema_match, true AS success_marker,
+            true AS passed FROM c_master""",
+        "source_row_counts": _registry_counts(["orders", "order_items", "customers", "products", "payments"]),
+        "scan_csv_roundtrip": "SELECT * FROM c_orders",
+        "empty_fields": _empty_fields(),
+        "master_parquet_roundtrip": f"SELECT {MASTER_MONEY} FROM c_master",
+    }
+    return b
 
 
 def oracle_queries() -> dict[str, str]:
-    return {k: with_canon(v) for k, v in _BODIES.items()}
+    return {k: with_canon(v) for k, v in _bodies().items()}
