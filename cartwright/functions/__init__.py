@@ -13,6 +13,7 @@ from cartwright.functions.scalars import (
     money,
     month_name,
     normalize_boolean,
+    safe_cast,
     safe_timestamp,
     tier_label,
 )
@@ -20,5 +21,5 @@ from cartwright.functions.scalars import (
 __all__ = [
     "CANDIDATES", "MONEY", "cents", "delivery_days_expr", "first_present", "half_up_ratio",
     "is_late_expr", "late_flag", "money", "month_name", "normalize_boolean", "resolve_fields",
-    "safe_timestamp", "tier_label",
+    "safe_cast", "safe_timestamp", "tier_label",
 ]

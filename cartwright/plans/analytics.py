@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.functions.columns import delivery_days_expr, is_late_expr, resolve_fields
-from cartwright.functions.scalars import safe_timestamp
+from cartwright.functions.scalars import safe_cast, safe_timestamp
 from cartwright.operators.aggregate import aggregate_items, aggregate_payments
 from cartwright.operators.clean import clean_orders, dedup_by_key
 from cartwright.operators.joins import build_master
@@ -43,7 +43,7 @@ def canonical_projection(master: DataFrame) -> DataFrame:
         F.col(f["order_status"]).alias("order_status"),
         safe_timestamp(purchase, master.schema[purchase].dataType).alias("order_purchase_timestamp"),
         F.col(f["customer_state"]).alias("customer_state"),
-        F.col(f["revenue"]).try_cast(REVENUE_TYPE).alias("revenue"),
+        safe_cast(f["revenue"], REVENUE_TYPE, master.schema[f["revenue"]].dataType).alias("revenue"),
         delivery_days_expr(master, f).alias("delivery_days"),
         is_late_expr(master, f).alias("is_late"),
     )

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from cartwright.functions.columns import delivery_days_expr, resolve_fields
 from cartwright.functions.scalars import (
-    MONEY, cents, half_up_ratio, late_flag, month_name, normalize_boolean,
+    MONEY, cents, half_up_ratio, late_flag, month_name, normalize_boolean, safe_cast,
 )
 from cartwright.operators import profile as P
 from cartwright.operators import quality as Q
@@ -249,10 +249,10 @@ def q_safe_casts(spark, sf_dir):
     return li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_returnflag").try_cast("int").alias("flag_as_int"),
-        F.col("l_linenumber").cast("string").try_cast("int").alias("line_as_int"),
-        F.col("l_linestatus").try_cast("boolean").alias("status_as_boolean"),
-        F.col("l_tax").cast("string").try_cast("double").alias("tax_as_double"),
+        safe_cast("l_returnflag", "int", T.StringType()).alias("flag_as_int"),
+        safe_cast(F.col("l_linenumber").cast("string"), "int", T.StringType()).alias("line_as_int"),
+        safe_cast("l_linestatus", "boolean", T.StringType()).alias("status_as_boolean"),
+        safe_cast(F.col("l_tax").cast("string"), "double", T.StringType()).alias("tax_as_double"),
     )
 
 

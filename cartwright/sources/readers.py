@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwright.functions.scalars import safe_timestamp
+from cartwright.functions.scalars import safe_cast, safe_timestamp
 
 CORRUPT = "_corrupt_record"
 
@@ -64,7 +64,7 @@ def _typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif isinstance(f.dataType, T.StringType):
             typed = text
         else:
-            typed = text.try_cast(f.dataType)
+            typed = safe_cast(text, f.dataType, T.StringType())
         cols.append(typed.alias(f.name))
     return df.select(*cols, CORRUPT)
 
