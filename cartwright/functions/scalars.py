@@ -84,16 +84,20 @@ def half_up_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Colum
     """``round(num / den, scale)`` with HALF_UP on the exact quotient.
 
     ``num`` and ``den`` must be integral (counts, cents, day sums).  The
-    quotient is an exact integral division, so the result does not depend on
-    an intermediate decimal scale.  NULL when ``den`` is 0 or NULL (the
+    quotient is formed with exact decimal remainder arithmetic, so the result
+    does not depend on an intermediate decimal scale.  NULL when ``den`` is 0 or NULL (the
     non-ANSI result of ``x / 0``).  Returns double.  Pass materialised
     columns: window or aggregate expressions given here are repeated.
     """
     n = col_of(num).cast(T.DecimalType(38, 0))
     d = col_of(den).cast(T.DecimalType(38, 0))
-    q = F.call_function("div", F.abs(n) * F.lit(2 * 10**scale) + F.abs(d), F.abs(d) * F.lit(2))
+    a = F.abs(n) * F.lit(2 * 10**scale) + F.abs(d)
+    b = F.abs(d) * F.lit(2)
+    # (a - a % b) is a multiple of b, so the decimal division is exact;
+    # integral ``div`` would return a long and silently wrap on overflow.
+    q = ((a - a % b) / b).cast(T.DecimalType(38, 0))
     signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
-    return F.when(d != 0, signed / F.lit(10**scale))
+    return F.when(d != 0, (signed / F.lit(10**scale)).cast("double"))
 
 
 def late_flag(delivered: str | Column, estimated: str | Column) -> Column:

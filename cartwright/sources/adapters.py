@@ -7,8 +7,6 @@ grows with its source.  All functions are lazy.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,30 +128,56 @@ def canonical_sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
 class CommerceTables:
-    orders: DataFrame
-    order_items: DataFrame
-    customers: DataFrame
-    products: DataFrame
-    sellers: DataFrame
-    payments: DataFrame
-    category_translation: DataFrame
+    """The canonical tables of one test-data directory, built on first use.
+
+    Each raw table is read at most once per instance and each canonical
+    table is derived only when a query touches it, so a query pays the
+    file-listing and footer reads of just the tables it needs.
+    """
+
+    NAMES = ("orders", "order_items", "customers", "products", "sellers", "payments",
+             "category_translation")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
+        self._canon: dict[str, DataFrame] = {}
+
+    def raw(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            self._raw[name] = read_table(self._spark, self._dir, name)
+        return self._raw[name]
+
+    def _build(self, name: str) -> DataFrame:
+        r = self.raw
+        if name == "orders":
+            return canonical_orders(r("orders"), r("lineitem"))
+        if name == "order_items":
+            return canonical_order_items(r("lineitem"))
+        if name == "customers":
+            return canonical_customers(r("customer"), r("nation"))
+        if name == "products":
+            return canonical_products(r("part"))
+        if name == "sellers":
+            return canonical_sellers(r("supplier"), r("nation"))
+        if name == "payments":
+            return canonical_payments(r("lineitem"))
+        if name == "category_translation":
+            return canonical_category_translation(r("part"))
+        raise KeyError(name)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self.NAMES:
+            raise AttributeError(name)
+        if name not in self._canon:
+            self._canon[name] = self._build(name)
+        return self._canon[name]
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {n: getattr(self, n) for n in self.NAMES}
 
 
 def load_commerce(spark: SparkSession, sf_dir: str) -> CommerceTables:
-    """All canonical tables for one test-data directory (lazy)."""
-    t = {name: read_table(spark, sf_dir, name) for name in
-         ("orders", "lineitem", "customer", "nation", "part", "supplier")}
-    return CommerceTables(
-        orders=canonical_orders(t["orders"], t["lineitem"]),
-        order_items=canonical_order_items(t["lineitem"]),
-        customers=canonical_customers(t["customer"], t["nation"]),
-        products=canonical_products(t["part"]),
-        sellers=canonical_sellers(t["supplier"], t["nation"]),
-        payments=canonical_payments(t["lineitem"]),
-        category_translation=canonical_category_translation(t["part"]),
-    )
+    """Canonical tables for one test-data directory (lazy)."""
+    return CommerceTables(spark, sf_dir)
