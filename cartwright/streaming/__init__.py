@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source pipeline is batch only (no readStream, watermarks or state); its
+"late" is a delivery attribute, not event-time lateness.  No streaming
+operators are invented here.
+"""
