@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.sources.fs import file_exists
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w = df.write.mode("overwrite")
@@ -46,22 +48,6 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)
 
 
-def file_exists(path: str) -> bool:
-    """Existence of one (possibly hidden) file on any filesystem Arrow
-    knows (local, HDFS, S3, GCS, ...).  Spark's own file sources skip
-    ``_``-prefixed names such as the job-commit marker."""
-    from pyarrow import fs
-
-    uri = path
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    try:
-        filesystem, inner = fs.FileSystem.from_uri(uri)
-    except Exception:  # noqa: BLE001 - plain local path
-        filesystem, inner = fs.LocalFileSystem(), path
-    return filesystem.get_file_info(inner).type == fs.FileType.File
-
-
 def write_with_contract(df: DataFrame, path: str, name: str,
                         partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet and return a one-row contract check.

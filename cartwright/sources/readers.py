@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.functions.scalars import safe_cast, safe_timestamp
+from cartwright.sources.fs import path_exists
 
 CORRUPT = "_corrupt_record"
 
@@ -78,6 +79,8 @@ def tolerant_scan(spark: SparkSession, table_name: str, path: str,
     values are cast with ``try_cast`` (bad values -> NULL); rows the CSV
     parser cannot fit keep their text in ``_corrupt_record``.
     """
+    if "*" not in path and not path_exists(path):
+        return ScanResult(table_name, "missing", None, f"path does not exist: {path}")
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
         + [T.StructField(CORRUPT, T.StringType(), True)]

@@ -102,3 +102,30 @@ SUMMARY_COLUMNS = [
     "order_id", "order_status", "purchase_year", "purchase_month", "delivery_days",
     "is_late", "item_count", "order_total", "total_payment", "customer_state",
 ]
+
+
+# File name of each source table in a raw CSV drop (override per call).
+RAW_FILES: dict[str, str] = {name: f"{name}.csv" for name in EXPECTED_COLUMNS}
+
+
+def _raw_type(name: str, canonical: T.DataType) -> T.DataType:
+    """Raw CSV drops carry text identifiers and zip prefixes (leading zeros
+    matter); money is read straight into exact decimals."""
+    if (name.endswith("_id") and name != "order_item_id") or name.endswith("zip_code_prefix"):
+        return S
+    return canonical
+
+
+RAW_SCHEMAS: dict[str, T.StructType] = {
+    table: T.StructType([T.StructField(f.name, _raw_type(f.name, f.dataType), True)
+                         for f in schema.fields])
+    for table, schema in SCHEMAS.items()
+}
+RAW_SCHEMAS["reviews"] = _struct(
+    ("review_id", S), ("order_id", S), ("review_score", I), ("review_comment_title", S),
+    ("review_comment_message", S), ("review_creation_date", TS), ("review_answer_timestamp", TS),
+)
+RAW_SCHEMAS["geolocation"] = _struct(
+    ("geolocation_zip_code_prefix", S), ("geolocation_lat", D), ("geolocation_lng", D),
+    ("geolocation_city", S), ("geolocation_state", S),
+)
