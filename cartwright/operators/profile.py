@@ -111,6 +111,19 @@ def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = N
     )
 
 
+def schema_check(df: DataFrame, table_name: str, expected: list[str]) -> DataFrame:
+    """Row count plus the column-name check, without the full profile."""
+    valid, missing, extra = schema_diff(df.columns, expected)
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(table_name).alias("table_name"),
+        "row_count",
+        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+        F.lit(valid).alias("schema_valid"),
+        F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
+        F.array(*[F.lit(c) for c in extra]).cast("array<string>").alias("extra_columns"),
+    )
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -17,6 +17,16 @@ from cartwright.sources.fs import file_exists
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Parquet, optionally partitioned into directories.
+
+    A partitioned write first ``REBALANCE``s on the partition columns:
+    without it every task writes a file into every partition directory it
+    meets (tasks x partitions small files).  Rebalancing sends each
+    directory's rows to one task, and AQE splits a skewed directory (a month
+    holding a third of the data) across tasks and coalesces small ones.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
