@@ -125,3 +125,13 @@ def item_master(items: DataFrame, products: DataFrame, translation: DataFrame,
             "order_status", "order_purchase_timestamp", "customer_state", "is_late",
         )
     )
+
+
+def review_score_distribution(reviews: DataFrame) -> DataFrame:
+    """Reviews per score with their share, and how many carry a comment.
+    (No review table exists in the test data; exercised by unit tests.)"""
+    per_score = reviews.where(F.col("review_score").isNotNull()).groupBy("review_score").agg(
+        F.count(F.lit(1)).alias("reviews"),
+        F.count_if(F.col("review_comment_message").isNotNull()).alias("with_comment"),
+    )
+    return per_score.transform(share_of_total_window, F.col("reviews"), "review_share_percentage")

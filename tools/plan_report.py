@@ -77,7 +77,9 @@ def main() -> int:
         "Single-partition exchanges appear only where a window or total runs over",
         "report-grain rows (one per status / state / month / day) or a final",
         "global aggregate of partial results (one row per partition).",
-        "Keys that write files are left out.",
+        "Keys that write files are left out. In *scale* mode the 25-row nation",
+        "dimension also shows as a sort-merge join (2 shuffles per customer or",
+        "seller join); a real run still broadcasts it, since its size does not grow.",
         "",
         "| key | shuffles local / scale | single | bcast local / scale | SMJ scale | sort-agg | hash-agg | cartesian |",
         "| --- | --- | --- | --- | --- | --- | --- | --- |",
