@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -697,7 +698,7 @@ def q_text_profile(spark, sf_dir):
     paths = _write_registry_csv(spark, sf_dir)
     frames = []
     for name, path in paths.items():
-        csv = spark.read.options(**S.CSV_OPTIONS).csv(path)
+        csv = spark.read.options(**S.csv_options()).csv(path)
         header = ",".join(csv.columns)
         lines = S.text_lines(spark, path)
         per_file = lines.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("lines"))
@@ -731,13 +732,17 @@ def q_master_parquet_roundtrip(spark, sf_dir):
 def q_report_csv_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "reports")
     frames = []
-    for name, df in R.run_reports(_analytics(spark, sf_dir)).items():
-        path = K.write_report(df, root, name)
-        back = S.read_csv_typed(spark, path, df.schema)
-        frames.append(back.agg(
-            F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("report_name"), "row_count",
-            F.lit(len(back.columns)).alias("column_count")))
+    analytics = _analytics(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, df in R.run_reports(analytics).items():
+            path = K.write_report(df, root, name)
+            back = S.read_csv_typed(spark, path, df.schema)
+            frames.append(back.agg(
+                F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name).alias("report_name"), "row_count",
+                F.lit(len(back.columns)).alias("column_count")))
+    finally:
+        analytics.unpersist()
     return P.union_all(frames)
 
 

@@ -27,17 +27,25 @@ NULL_TOKENS = (
 
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "escape": '"',
     "encoding": "UTF-8",
 }
 
+# Tables whose free-text fields may hold quoted line breaks.  Multi-line
+# parsing cannot split a file (one task per file), so it is switched on only
+# for these; every other CSV is split into byte ranges across tasks.
+MULTILINE_TABLES = frozenset({"reviews"})
+
+
+def csv_options(multiline: bool = False) -> dict[str, str]:
+    return {**CSV_OPTIONS, "multiLine": "true" if multiline else "false"}
+
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   infer: bool = False) -> DataFrame:
+                   infer: bool = False, multiline: bool = False) -> DataFrame:
     """Header CSV with an explicit schema (``infer=True`` costs a full extra
     pass and exists only for parity with schema-less sources)."""
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**csv_options(multiline))
     if infer:
         return reader.option("inferSchema", "true").csv(path)
     return reader.schema(schema).csv(path)
@@ -71,14 +79,17 @@ def _typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def tolerant_scan(spark: SparkSession, table_name: str, path: str,
-                  schema: T.StructType) -> ScanResult:
+                  schema: T.StructType, multiline: bool | None = None) -> ScanResult:
     """Read a CSV that may be missing, empty or partly malformed.
 
     Missing paths produce a ``missing`` status instead of an exception.
     Every field is read as text, pandas-style NULL tokens become NULL and
     values are cast with ``try_cast`` (bad values -> NULL); rows the CSV
-    parser cannot fit keep their text in ``_corrupt_record``.
+    parser cannot fit keep their text in ``_corrupt_record``.  Quoted line
+    breaks are honoured for ``MULTILINE_TABLES`` (or ``multiline=True``).
     """
+    if multiline is None:
+        multiline = table_name in MULTILINE_TABLES
     if "*" not in path and not path_exists(path):
         return ScanResult(table_name, "missing", None, f"path does not exist: {path}")
     text_schema = T.StructType(
@@ -87,7 +98,7 @@ def tolerant_scan(spark: SparkSession, table_name: str, path: str,
     )
     try:
         raw = (
-            spark.read.options(**CSV_OPTIONS)
+            spark.read.options(**csv_options(multiline))
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("nullValue", "\u0000")

@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from cartwright.operators.aggregate import aggregate_items, aggregate_payments
 from cartwright.operators.joins import bounded_broadcast, build_master, enrich_products

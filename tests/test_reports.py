@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from cartwright.plans import reports as R
 from cartwright.plans.analytics import analytics_orders, master_from_tables

@@ -27,7 +27,7 @@ def test_tolerant_scan_bom_quotes_na_and_short_rows(spark):
             "\"say \"\"hi\"\"\",NA,not a time\n"
             "short\n"
             "x,abc,2018-01-02 00:00:00")
-    scan = S.tolerant_scan(spark, "t", _write(text), SCHEMA)
+    scan = S.tolerant_scan(spark, "t", _write(text), SCHEMA, multiline=True)
     assert scan.status == "loaded"
     got = [tuple(r) for r in scan.frame.drop(S.CORRUPT).collect()]
     assert got[0][0] == "beleza\nsaude" and got[0][1] == 1      # quoted newline: one record
