@@ -52,17 +52,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     machine-local folder would be invisible to the other executors, so a
     missing setting is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is unset; point it at a shared folder"
             )
         root = tempfile.mkdtemp(prefix="cartwright-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+    if not sc.getCheckpointDir():
+        # DataFrame.checkpoint() needs the context's directory as well.
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
