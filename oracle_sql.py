@@ -310,6 +310,40 @@ def _empty_fields() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _column_types() -> str:
+    _, schemas = _schema()
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {pos} AS position, '{f.name}' AS column_name, "
+        f"'{f.dataType.simpleString()}' AS data_type"
+        for t in REGISTRY for pos, f in enumerate(schemas[t].fields, start=1))
+
+
+def _any_null(t: str) -> str:
+    _, schemas = _schema()
+    return " OR ".join(f"{f.name} IS NULL" for f in schemas[t].fields)
+
+
+def _inputs(kind: str) -> str:
+    expected, _ = _schema()
+    parts = []
+    for t in expected:
+        if t in CANON_VIEW:
+            if kind == "completeness":
+                parts.append(f"SELECT '{t}' AS table_name, true AS present, "
+                             f"CAST(count(*) AS BIGINT) AS row_count FROM {CANON_VIEW[t]}")
+            else:
+                parts.append(f"SELECT '{t}' AS table_name, 'loaded' AS status, "
+                             f"CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS corrupt_rows, "
+                             f"CAST(count(*) FILTER (WHERE {_any_null(t)}) AS BIGINT) AS rows_with_nulls "
+                             f"FROM {CANON_VIEW[t]}")
+        elif kind == "completeness":
+            parts.append(f"SELECT '{t}' AS table_name, false AS present, CAST(0 AS BIGINT) AS row_count")
+        else:
+            parts.append(f"SELECT '{t}' AS table_name, 'missing' AS status, CAST(0 AS BIGINT) AS row_count, "
+                         f"CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS rows_with_nulls")
+    return "\nUNION ALL ".join(parts)
+
+
 def _dq(dataset: str, view: str, keys: list[str], required: list[str], present: list[str]) -> str:
     missing = len(set(required) - set(present))
     null_cond = " OR ".join(f"{k} IS NULL" for k in keys)
@@ -534,6 +568,10 @@ def _bodies() -> dict[str, str]:
         "scan_csv_roundtrip": "SELECT * FROM c_orders",
         "empty_fields": _empty_fields(),
         "master_parquet_roundtrip": f"SELECT {MASTER_MONEY} FROM c_master",
+        "column_types": _column_types(),
+        "input_completeness": _inputs("completeness"),
+        "tolerant_scan": _inputs("scan"),
+        "profile_json": f"WITH cs AS ({_column_stats()}) {_profile_rows()}",
     }
     return b
 
