@@ -17,6 +17,8 @@ MONEY = T.DecimalType(18, 2)
 TRUE_TOKENS = ("true", "1", "yes", "y")
 FALSE_TOKENS = ("false", "0", "no", "n")
 TIER_LABELS = ("Top Performing", "High Performing", "Medium Performing", "Low Performing")
+MONTH_NAMES = ("January", "February", "March", "April", "May", "June", "July", "August",
+               "September", "October", "November", "December")
 
 
 def col_of(c: str | Column) -> Column:
@@ -67,8 +69,13 @@ def safe_timestamp(c: str | Column, dtype: T.DataType, fmt: str | None = None) -
     """Timestamp without time zone; unparseable text becomes NULL.
 
     ``dtype`` is the input column's type, known at plan time, so already
-    typed columns pass through without a cast.  Under ANSI mode plain
-    ``to_timestamp`` raises on bad text, hence ``try_to_timestamp``.
+    typed columns pass through without a cast.  Text is cast straight to
+    ``timestamp_ntz`` (the same forms ``to_timestamp`` accepts without a
+    format), so no session time zone is involved: a wall-clock time that
+    falls in a daylight-saving gap stays as written.  Under ANSI mode plain
+    casts raise on bad text, hence the guarded ``try_cast``.  With an
+    explicit ``fmt`` the text is parsed by ``try_to_timestamp`` in the
+    session time zone (keep sessions on UTC for that path).
     """
     c = col_of(c)
     if isinstance(dtype, T.TimestampNTZType):
@@ -76,8 +83,9 @@ def safe_timestamp(c: str | Column, dtype: T.DataType, fmt: str | None = None) -
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast(T.TimestampNTZType())
     text = c.cast("string")
-    parsed = F.try_to_timestamp(text, F.lit(fmt)) if fmt else F.try_to_timestamp(text)
-    return parsed.cast(T.TimestampNTZType())
+    if fmt:
+        return F.try_to_timestamp(text, F.lit(fmt)).cast(T.TimestampNTZType())
+    return F.when(text.rlike("[0-9]"), text.try_cast(T.TimestampNTZType()))
 
 
 def half_up_ratio(num: str | Column, den: str | Column, scale: int = 2) -> Column:
@@ -130,5 +138,6 @@ def tier_label(quartile: str | Column) -> Column:
 
 
 def month_name(c: str | Column) -> Column:
-    """Full English month name (``monthname`` gives the 3-letter form)."""
-    return F.date_format(col_of(c), "MMMM")
+    """Full English month name (``monthname`` gives the 3-letter form).
+    Looked up from the month number, so no time zone is involved."""
+    return F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month(col_of(c)))

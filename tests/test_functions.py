@@ -70,3 +70,16 @@ def test_month_name_and_tier(spark):
     got = one(spark, tier_label("q"), [(1,), (2,), (3,), (4,), (None,)], "q int")
     assert got == ["Top Performing", "High Performing", "Medium Performing", "Low Performing",
                    "Low Performing"]
+
+
+def test_safe_timestamp_ignores_session_zone_in_dst_gap(spark):
+    # 1996-10-06 00:00 does not exist in Sao Paulo local time (DST gap)
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = one(spark, safe_timestamp("s", T.StringType()), [("1996-10-06 00:00:00",)], "s string")
+        names = one(spark, month_name("d"), [(dt.datetime(1996, 10, 6),)], "d timestamp_ntz")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got == [dt.datetime(1996, 10, 6, 0, 0)]
+    assert names == ["October"]
