@@ -1,7 +1,7 @@
 """Command line: ``python -m cartwright <job> ...``.
 
   profile   --raw DIR | --tables DIR   --out PATH
-  transform --raw DIR | --tables DIR   --out DIR  [--partition-by-month]
+  transform --raw DIR | --tables DIR   --out DIR  [--partition-by-month] [--buckets N]
   quality   --master PATH
   reports   --master PATH              --out DIR
   all       --raw DIR | --tables DIR   --out DIR
@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", help="master_orders parquet path")
     ap.add_argument("--out", help="output path or directory")
     ap.add_argument("--partition-by-month", action="store_true")
+    ap.add_argument("--buckets", type=int, default=None,
+                    help="bucket the master on order_id (same value for quality/reports)")
     ap.add_argument("--master-url", default=None, help="Spark master (default: spark-submit's)")
     args = ap.parse_args(argv)
 
@@ -34,16 +36,18 @@ def main(argv: list[str] | None = None) -> int:
             PL.profile_job(PL.open_inputs(spark, args.raw, args.tables), args.out)
         elif args.job in ("transform", "all"):
             parts = ("purchase_year", "purchase_month") if args.partition_by_month else ()
-            res = PL.transform_job(PL.open_inputs(spark, args.raw, args.tables), args.out, parts)
+            res = PL.transform_job(PL.open_inputs(spark, args.raw, args.tables), args.out, parts,
+                                   args.buckets)
             print(json.dumps(res.__dict__))
             if args.job == "all":
-                PL.quality_job(spark, res.master_path)
-                print(json.dumps(PL.reports_job(spark, res.master_path, f"{args.out}/reports")))
+                PL.quality_job(spark, res.master_path, args.buckets)
+                print(json.dumps(PL.reports_job(spark, res.master_path, f"{args.out}/reports",
+                                                args.buckets)))
         elif args.job == "quality":
-            for r in PL.quality_job(spark, args.master).collect():
+            for r in PL.quality_job(spark, args.master, args.buckets).collect():
                 print(json.dumps(r.asDict()))
         elif args.job == "reports":
-            print(json.dumps(PL.reports_job(spark, args.master, args.out)))
+            print(json.dumps(PL.reports_job(spark, args.master, args.out, args.buckets)))
     finally:
         spark.stop()
     return 0

@@ -33,6 +33,32 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> None:
+    """Parquet files bucketed (hash-partitioned and sorted) on ``key``,
+    registered as an external table ``table`` over ``path``.
+
+    A later job that groups or joins on ``key`` reads the buckets as
+    ready-made hash partitions and skips that shuffle; bucket files are
+    plain Parquet for every other reader.
+    """
+    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+
+
+def register_bucketed(spark, path: str, table: str, key: str, buckets: int) -> DataFrame:
+    """Declare bucketed Parquet files written by another session (the
+    bucket spec lives in the catalog, not in the files) and return the table."""
+    if not spark.catalog.tableExists(table):
+        fields = spark.read.parquet(path).schema.fields
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(
+            f"CREATE TABLE {table} ({cols}) USING parquet "
+            f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS "
+            f"LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header CSV.  ``single_file`` funnels the data through one task, so it
     is for report-grain outputs only; array/map columns must be projected

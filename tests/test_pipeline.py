@@ -44,3 +44,22 @@ def test_raw_csv_pipeline_matches_parquet_route(spark):
         assert len(got) == len(want), name
         # CSV text of doubles equals Python's str of the same doubles
         assert [g[0] for g in got] == [w[0] for w in want], name
+
+
+def test_bucketed_master_makes_report_dedup_shuffle_free(spark):
+    from pyspark.sql import functions as F
+
+    tables = load_commerce(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="cartwright-bucketed-")
+    res = PL.transform_job(tables, out, buckets=4)
+    assert res.master_rows == res.source_rows["orders"]
+    spark.catalog.dropTempView("analytics_orders")
+    spark.sql("DROP TABLE IF EXISTS master_orders")   # a new session would not know it
+    master = PL.read_master(spark, res.master_path, buckets=4)
+    analytics = analytics_orders(master)
+    plan = analytics._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(order_id" not in plan
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+    direct = analytics_orders(master_from_tables(tables))
+    assert sorted(map(tuple, analytics.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
+    spark.sql("DROP TABLE IF EXISTS master_orders")
