@@ -9,7 +9,7 @@ chain.  Sub-packages:
 - ``operators`` cleaning, aggregation, joins, windows, profiling, quality
 - ``plans``     compositions: master table, analytics view, reports, insights
 - ``sinks``     parquet / csv / json writers and the report writer
-- ``streaming`` incremental variants (the reference has no streaming work)
+- ``streaming`` intentionally empty (the source pipeline is batch only)
 """
 
 from cartwright.session import build_session, scratch_path

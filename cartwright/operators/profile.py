@@ -1,6 +1,6 @@
 """Distributed table profiling.
 
-The reference profiles each table in one pandas process.  Here every
+The source pipeline profiles each table in one pandas process.  Here every
 metric is an executor-side aggregate: one pass computes the row count and,
 per column, the NULL count and logical byte size; a second, shuffled pass
 counts whole-row duplicates (map-side combined, so a value repeated in a

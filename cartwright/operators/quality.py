@@ -1,10 +1,10 @@
 """Declarative data-quality rules evaluated as one aggregation.
 
-The reference runs one Spark job per check and raises on the first
+The source pipeline runs one Spark job per check and raises on the first
 failure.  Here the rules become rows ``(rule, severity, observed, passed)``
 computed from one aggregate pass (row count, NULL keys) plus one grouped
 pass (duplicate keys); the caller decides what a failure means
-(``assert_passed`` raises like the reference's gate).
+(``assert_passed`` raises like the original gate).
 """
 
 from __future__ import annotations

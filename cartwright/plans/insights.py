@@ -1,4 +1,4 @@
-"""Business insights listed by the reference's documentation.
+"""Business insights listed in the source pipeline's documentation.
 
 Plain aggregations over the canonical tables; each pre-aggregates at the
 item or payment grain with map-side combine before any join, and joins
