@@ -9,18 +9,25 @@ from cartwright.operators.clean import fill_nulls
 from cartwright.sources.schemas import MASTER_COLUMNS
 
 # A dimension is broadcast only after a bounded probe proves it has at most
-# this many rows; beyond it the planner's shuffle join (with AQE skew
-# splitting and runtime broadcast conversion) is used instead.
+# this many rows and bytes; beyond either bound the planner's shuffle join
+# (with AQE skew splitting and run-time broadcast conversion) is used.
 BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows, else ``dim``.
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows whose JSON
+    text totals at most ``max_bytes``, else ``dim`` unchanged.
 
-    The probe reads at most ``max_rows + 1`` rows (a limit-count job), so it
-    costs the same no matter how large the dimension is.
+    The probe takes at most ``max_rows + 1`` rows of the dimension's output
+    (a limit-then-aggregate job): for a scanned table it stops early, for a
+    derived one it costs what deriving the dimension costs anyway.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns]))))
+    probe = dim.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), size.alias("bytes")).collect()[0]
+    if probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes:
         return F.broadcast(dim)
     return dim
 

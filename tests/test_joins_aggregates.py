@@ -64,6 +64,7 @@ def test_bounded_broadcast_checks_size(spark):
     plan_small = spark.range(100).join(bounded_broadcast(small, 50), "id")._jdf.queryExecution().toString()
     assert "ResolvedHint (strategy=broadcast)" in plan_small or "broadcast" in plan_small.lower()
     assert bounded_broadcast(big, 50) is big
+    assert bounded_broadcast(small, 50, max_bytes=10) is small       # too many bytes
 
 
 def test_enrich_products_unknown_has_no_translation(spark):
