@@ -19,7 +19,7 @@ def reference(n, d, scale):
 @given(st.lists(st.tuples(ints, ints), min_size=50, max_size=200), st.integers(0, 6))
 def test_half_up_ratio_matches_decimal_half_up(spark, pairs, scale):
     # include exact ties: n / d ending in 5 at the first dropped digit
-    pairs = pairs + [(5 * 10 ** (5 - scale) + 10 ** (6 - scale) * k, 10 ** 6) for k in range(-3, 4)]
+    pairs = pairs + [(5 * 10 ** (6 - scale) + 10 ** (7 - scale) * k, 10 ** 7) for k in range(-3, 4)]
     df = spark.createDataFrame(pairs, "n long, d long")
     got = [r[0] for r in df.select(half_up_ratio("n", "d", scale)).collect()]
     want = [reference(n, d, scale) for n, d in pairs]
