@@ -15,6 +15,7 @@ def test_duplicate_rows_treats_nulls_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, None), (2, "x"), (2, "y")], "a int, b string")
     assert P.duplicate_row_count(df).collect()[0][0] == 2
     assert P.duplicate_row_count(df.limit(0)).collect()[0][0] == 0
+    assert P.duplicate_row_count(df, approximate=True).collect()[0][0] == 2
 
 
 def test_profile_table_schema_diff(spark):
