@@ -80,7 +80,10 @@ def duplicate_row_count(df: DataFrame, approximate: bool = False) -> DataFrame:
     collisions ~ rows^2 / 2^65: none below a billion rows).
     """
     if approximate:
-        keyed = df.select(F.xxhash64(*[F.col(c) for c in df.columns]).alias("_h"))
+        # xxhash64 skips NULL inputs, so the NULL positions are hashed too:
+        # otherwise (NULL, 'x') and ('x', NULL) would always collide.
+        nulls = F.array(*[F.col(c).isNull() for c in df.columns])
+        keyed = df.select(F.xxhash64(*[F.col(c) for c in df.columns], nulls).alias("_h"))
         groups = keyed.groupBy("_h").count()
     else:
         groups = df.groupBy(*df.columns).count()

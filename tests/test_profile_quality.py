@@ -16,6 +16,8 @@ def test_duplicate_rows_treats_nulls_as_equal(spark):
     assert P.duplicate_row_count(df).collect()[0][0] == 2
     assert P.duplicate_row_count(df.limit(0)).collect()[0][0] == 0
     assert P.duplicate_row_count(df, approximate=True).collect()[0][0] == 2
+    swapped = spark.createDataFrame([(None, "x"), ("x", None)], "a string, b string")
+    assert P.duplicate_row_count(swapped, approximate=True).collect()[0][0] == 0
 
 
 def test_profile_table_schema_diff(spark):
