@@ -15,7 +15,9 @@ def spark():
     from cartwright.session import build_session
 
     spark = build_session(master="local[4]", shuffle_partitions=4,
-                          extra_conf={"spark.driver.memory": "4g"})
+                          extra_conf={"spark.driver.memory": "4g",
+                                      "spark.sql.warehouse.dir":
+                                          tempfile.mkdtemp(prefix="cartwright-test-wh-")})
     # Tests run in local mode, where a temporary checkpoint folder is valid.
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cartwright-test-ckpt-"))
