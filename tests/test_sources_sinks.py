@@ -58,3 +58,19 @@ def test_scratch_paths_are_fresh_and_under_checkpoint_dir(spark):
     assert a != b
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert a.startswith(root.rstrip("/"))
+
+
+def test_partitioned_write_is_rebalanced(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 20000, numPartitions=8).select(
+        (F.col("id") % 5).alias("month"), F.col("id"))
+    path = scratch_path(spark, "t_parts")
+    K.write_parquet(df, path, ("month",))
+    local = path[len("file:"):] if path.startswith("file:") else path
+    dirs = [d for d in os.listdir(local) if d.startswith("month=")]
+    assert len(dirs) == 5
+    for d in dirs:
+        files = [f for f in os.listdir(os.path.join(local, d)) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2, (d, files)       # not one file per input task
+    assert spark.read.parquet(path).count() == 20000
