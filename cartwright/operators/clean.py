@@ -64,10 +64,13 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = ())
     if not rest:
         return df.select(*keys).distinct()
     ranked = list(prefer) + [c for c in rest if c not in prefer]
-    best = F.max(F.struct(*[F.col(c) for c in ranked])).alias("_best")
-    out = df.groupBy(*keys).agg(best)
-    return out.select(*[F.col(k) for k in keys],
-                      *[F.col("_best").getField(c).alias(c) for c in rest]).select(*df.columns)
+
+    def q(name: str) -> str:
+        return f"`{name}`"
+
+    best = F.max(F.struct(*[q(c) for c in ranked])).alias("_best")
+    out = df.groupBy(*[q(k) for k in keys]).agg(best)
+    return out.select(*[q(k) for k in keys], "_best.*").select(*[q(c) for c in df.columns])
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
