@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.functions.scalars import late_flag, safe_timestamp
 
@@ -32,8 +33,11 @@ PRODUCT_FILLS = {
 def typed_timestamps(df: DataFrame, columns: Sequence[str] = ORDER_TIMESTAMPS,
                      fmt: str | None = None) -> DataFrame:
     """Replace each listed column by its timestamp; bad text -> NULL."""
-    present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: safe_timestamp(c, df.schema[c].dataType, fmt) for c in present})
+    types = {f.name: f.dataType for f in df.schema.fields}
+    todo = [c for c in columns if c in types and not isinstance(types[c], T.TimestampNTZType)]
+    if not todo:
+        return df          # already typed: no projection to plan
+    return df.withColumns({c: safe_timestamp(c, types[c], fmt) for c in todo})
 
 
 def derive_order_fields(df: DataFrame) -> DataFrame:
