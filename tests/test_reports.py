@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwright.plans import reports as R
 from cartwright.plans.analytics import analytics_orders, master_from_tables
@@ -90,6 +91,8 @@ def fixture_reports(spark, sf_small):
     a = analytics_orders(master_from_tables(load_commerce(spark, sf_small))).cache()
     out = {k: fn(a).collect() for k, fn in R.REPORTS.items()}
     out["_orders"] = a.count()
+    out["_undelivered"] = a.where(F.col("delivery_days").isNull()).count()
+    out["_zero_revenue"] = a.where(F.col("revenue") == 0).count()
     yield out
     a.unpersist()
 
@@ -108,6 +111,10 @@ def test_invariants_on_fixture(fixture_reports):
     assert monthly == to_cents(x["total_revenue"] for x in r["state_performance"])
     assert monthly == to_cents(x["daily_revenue"] for x in r["running_revenue"])
     assert round(Decimal(str(r["running_revenue"][-1]["cumulative_revenue"])) * 100) == monthly
+    # I3: delivered = orders - orders without a delivery date
+    assert sum(x["delivered_orders"] for x in r["delivery_analysis"]) == n - r["_undelivered"]
+    # I9: orders without a positive payment still count, with revenue 0
+    assert r["_zero_revenue"] > 0
     # I4: late + on time = delivered
     assert all(x["late_orders"] + x["on_time_orders"] == x["delivered_orders"]
                for x in r["delivery_analysis"])
