@@ -102,3 +102,28 @@ def test_row_level_share_has_no_single_partition_window(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 7)
     plan = _plan(share_of_total(df, "v", "pct", scale=4))
     assert "SinglePartition" not in plan.split("Subquery")[0]
+
+
+def _single_partition_inputs(plan: str):
+    """Operator names directly below each single-partition exchange."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            for ln in lines[i + 1:]:
+                op = ln.strip().lstrip("+-:* ").split("(")[0].split(" ")[0]
+                if op and op not in ("Project", "Filter"):   # row-preserving steps
+                    out.append(op)
+                    break
+    return out
+
+
+def test_single_partition_exchanges_only_take_aggregated_rows(spark):
+    """A global window or total may only gather rows that an aggregate has
+    already reduced (report grain, or one partial row per partition)."""
+    writers = {"output_contract", "empty_fields", "tolerant_scan", "profile_json", "text_profile"}
+    for key, fn in E.queries().items():
+        if "roundtrip" in key or key in writers:
+            continue
+        for child in _single_partition_inputs(_plan(fn(spark, SF_SMALL))):
+            assert child in ("HashAggregate", "ObjectHashAggregate", "SortAggregate"), (key, child)
