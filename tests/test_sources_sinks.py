@@ -74,3 +74,41 @@ def test_partitioned_write_is_rebalanced(spark):
         files = [f for f in os.listdir(os.path.join(local, d)) if f.endswith(".parquet")]
         assert 1 <= len(files) <= 2, (d, files)       # not one file per input task
     assert spark.read.parquet(path).count() == 20000
+
+
+class _FakeConf:
+    def __init__(self, value):
+        self.value = value
+
+    def get(self, key, default=None):
+        return self.value if key == "spark.checkpoint.dir" else default
+
+
+class _FakeContext:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, path):
+        self._ckpt = path
+
+
+class _FakeSession:
+    def __init__(self, master, conf_dir=None):
+        self.conf, self.sparkContext = _FakeConf(conf_dir), _FakeContext(master)
+
+
+def test_cluster_session_never_falls_back_to_a_local_temp_folder():
+    import pytest
+
+    from cartwright.session import checkpoint_root
+
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_FakeSession("yarn"))
+    shared = _FakeSession("yarn", "hdfs://nn/shared/ckpt/")
+    assert checkpoint_root(shared) == "hdfs://nn/shared/ckpt"
+    assert shared.sparkContext.getCheckpointDir() == "hdfs://nn/shared/ckpt/"
+    local = _FakeSession("local[2]")
+    assert checkpoint_root(local).startswith("/")             # temp folder, local mode only
