@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
-    bpe_monoid, chat_format, license_templates, line_dedup, packing, quality_cnn, secrets,
+    bpe_monoid, chat_format, dart_minhash, license_templates, line_dedup, packing, quality_cnn, secrets,
 )
 from cartwright.llm.common import load
 
@@ -21,6 +21,10 @@ TEMPLATE_TEXT = "\\### Assistant: </turn> ok"
 TEMPLATE_TURNS = [(-7, 0, "user", TEMPLATE_TEXT), (-7, 1, "assistant", TEMPLATE_TEXT)]
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,6 +70,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
     "op3_packing": op3_packing,
     "op4_quality_cnn": op4_quality_cnn,
     "op5_secret_scan": op5_secret_scan,

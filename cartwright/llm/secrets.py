@@ -17,9 +17,10 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from cartwright.llm.common import as_text, map_texts
+from cartwright.llm.common import as_text, map_texts, utf8
 
 # The base patterns; letters of the keywords in either case.
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -138,6 +139,15 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]")
     return "".join([*out, text[at:]])
 
 
+def redacted_column(text_col: str = "text") -> Column:
+    """The redacted text as a column, for projections that keep all others."""
+    @F.pandas_udf("string")
+    def redacted(texts):
+        return texts.map(lambda raw: redact(t := as_text(raw), scan_text(t)[1]))
+
+    return redacted(utf8(text_col))
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: base_spans and spans, both as ``kind:start:end`` joined
     by commas, counts of the base kinds, and the redacted text.
