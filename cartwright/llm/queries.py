@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm import (
     bpe_monoid, chat_format, dart_minhash, license_templates, line_dedup, packing, quality_cnn, secrets,
+    winnowing,
 )
 from cartwright.llm.common import load
 
@@ -25,6 +26,10 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_with_next(load(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +76,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
+    "op2_winnowing": op2_winnowing,
     "op3_packing": op3_packing,
     "op4_quality_cnn": op4_quality_cnn,
     "op5_secret_scan": op5_secret_scan,
