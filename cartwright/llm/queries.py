@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
-    bpe_monoid, chat_format, dart_minhash, license_templates, line_dedup, packing, quality_cnn, secrets,
+    bm25_wand, bpe_monoid, chat_format, dart_minhash, license_templates, line_dedup, packing, quality_cnn, secrets,
     winnowing,
 )
 from cartwright.llm.common import load
 
 LINE_MIN_DOCS = 10
+QUERY_EVERY, TOP_K = 50, 10    # queries are the rows whose id is divisible by 50
 WORD_TOKENIZER, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken"
 WINDOW, END_ID = 4096, 2
 TEMPLATE_TEXT = "\\### Assistant: </turn> ok"
@@ -57,6 +58,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("_kept", 256).alias("kept_sha256"))
 
 
+def op7_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return bm25_wand.search(docs, docs.where(F.col("doc_id") % QUERY_EVERY == 0), TOP_K)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -81,6 +87,7 @@ QUERIES = {
     "op4_quality_cnn": op4_quality_cnn,
     "op5_secret_scan": op5_secret_scan,
     "op6_line_dedup": op6_line_dedup,
+    "op7_bm25_wand": op7_bm25_wand,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_license_scan": op10_license_scan,
