@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.common import id_type, utf8
 
-TRAIN_ROWS, TRAIN_BYTES, EPOCHS, BATCH = 2500, 20_000, 4, 32
+TRAIN_ROWS, TRAIN_BYTES, STEPS, BATCH = 2500, 20_000, 320, 32
 EMBED, WIDTH, STRIDE, FILTERS = 4, 12, 4, 16           # byte filters: chunks of 12 bytes, every 4
 LAGS, BLOCK, REPEAT_FILTERS = 16, 32, 6                # repetition: chunks of two blocks of 32 bytes
 SPAN = 1 << 16                                         # bytes in memory at a time, for long texts
@@ -35,15 +35,16 @@ def _chunks(data: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[::STRIDE]
 
 
-def _repeats(data: np.ndarray) -> np.ndarray:
+def _repeats(data: np.ndarray, before: int = 0) -> np.ndarray:
     """For overlapping chunks of two blocks, the share of bytes equal to the
-    byte 2..LAGS+1 before."""
-    n = max(2, -(-len(data) // BLOCK))
+    byte 2..LAGS+1 back; the first ``before`` bytes are only looked back at."""
+    size = len(data) - before
+    n = max(2, -(-size // BLOCK))
     same = np.zeros((LAGS, n * BLOCK), np.uint8)
     for k in range(LAGS):
-        lag = k + 2
-        if len(data) > lag:
-            np.equal(data[lag:], data[:-lag], out=same[k, lag:len(data)].view(bool))
+        first = max(before, k + 2)           # the first byte with one so far back
+        if len(data) > first:
+            np.equal(data[first:], data[first - k - 2:len(data) - k - 2], out=same[k, first - before:size].view(bool))
     block = same.reshape(LAGS, n, BLOCK).sum(axis=2, dtype=np.float32)
     return ((block[:, 1:] + block[:, :-1]) / (2 * BLOCK)).T
 
@@ -80,7 +81,8 @@ class ByteConvNet:
             part = data[at:at + SPAN]
             codes = _chunks(part)
             a = (table[codes].reshape(len(codes), -1) @ p["conv"]).max(axis=0) + p["conv_b"]
-            b = (_repeats(part) @ p["rep"]).max(axis=0) + p["rep_b"]
+            back = min(at, LAGS + 1)
+            b = (_repeats(data[at - back:at + SPAN], back) @ p["rep"]).max(axis=0) + p["rep_b"]
             both = np.concatenate([a, b])
             best = both if best is None else np.maximum(best, both)
         return np.maximum(best, 0)
@@ -89,7 +91,7 @@ class ByteConvNet:
         z = float(self.pooled(data) @ self.p["out"] + self.p["out_b"][0])
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    def fit(self, texts: list[bytes], labels: list[int], epochs: int = EPOCHS, seed: int = 11) -> ByteConvNet:
+    def fit(self, texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = 11) -> ByteConvNet:
         """Adam on the log-loss; gradients flow through each filter's best chunk."""
         g = np.random.default_rng(seed)
         data = [np.frombuffer(t, np.uint8) for t in texts]
@@ -97,10 +99,10 @@ class ByteConvNet:
         m = {k: np.zeros_like(v) for k, v in p.items()}
         s = {k: np.zeros_like(v) for k, v in p.items()}
         step = 0
-        for epoch in range(epochs):
-            rate = 0.01 * (1 - epoch / epochs)
+        while step < steps:
             order = g.permutation(len(data))
             for lo in range(0, len(order), BATCH):
+                rate = 0.01 * max(0.05, 1 - step / steps)
                 grad = {k: np.zeros_like(v) for k, v in p.items()}
                 some = order[lo:lo + BATCH]
                 for i in some:
