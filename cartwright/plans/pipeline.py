@@ -19,6 +19,7 @@ from cartwright.plans.analytics import (
     analytics_orders, master_from_tables, orders_summary, register_views,
 )
 from cartwright.plans.reports import REPORTS
+from cartwright.plans.sql_runner import PACKAGED_SQL, run_sql_files
 from cartwright.sinks import writers as K
 from cartwright.sources import readers as S
 from cartwright.sources.adapters import CommerceTables, load_commerce
@@ -26,15 +27,23 @@ from cartwright.sources.schemas import COUNTED_SOURCES, EXPECTED_COLUMNS, RAW_FI
 
 
 class RawCsvTables:
-    """Canonical tables read from a raw CSV drop (typed, tolerant)."""
-
-    def __init__(self, spark: SparkSession, raw_dir: str, file_names: dict[str, str] | None = None):
-        names = {**RAW_FILES, **(file_names or {})}
+    """Source tables read from a raw CSV drop (typed, tolerant, bound by
+    header).  ``null_tokens`` are the texts read as NULL: none for the
+    transform, ``readers.NULL_TOKENS`` for the profile."""
+
+    def __init__(self, spark: SparkSession, raw_dir: str, file_names: dict[str, str] | None = None,
+                 null_tokens: tuple[str, ...] = ()):
+        self.spark, self.raw_dir, self.file_names = spark, raw_dir.rstrip("/"), file_names
+        if unknown := set(file_names or ()) - set(RAW_FILES):
+            raise ValueError(f"no source table is called {sorted(unknown)}; known: {sorted(RAW_FILES)}")
         self.scans = {
-            name: S.tolerant_scan(spark, name, f"{raw_dir.rstrip('/')}/{fname}", RAW_SCHEMAS[name])
-            for name, fname in names.items()
+            name: S.tolerant_scan(spark, name, f"{self.raw_dir}/{fname}", RAW_SCHEMAS[name], null_tokens=null_tokens)
+            for name, fname in {**RAW_FILES, **(file_names or {})}.items()
         }
 
+    def for_profile(self) -> RawCsvTables:
+        return RawCsvTables(self.spark, self.raw_dir, self.file_names, S.NULL_TOKENS)
+
     def __getattr__(self, name: str) -> DataFrame:
         scans = self.__dict__.get("scans", {})
         if name not in scans:
@@ -51,20 +60,42 @@ class RawCsvTables:
         return {n: s.status for n, s in self.scans.items()}
 
 
-def open_inputs(spark: SparkSession, raw_dir: str | None = None,
-                tables_dir: str | None = None) -> CommerceTables | RawCsvTables:
+def open_inputs(spark: SparkSession, raw_dir: str | None = None, tables_dir: str | None = None,
+                file_names: dict[str, str] | None = None) -> CommerceTables | RawCsvTables:
     if raw_dir:
-        return RawCsvTables(spark, raw_dir)
+        return RawCsvTables(spark, raw_dir, file_names)
     if tables_dir:
         return load_commerce(spark, tables_dir)
     raise ValueError("give raw_dir (CSV drop) or tables_dir (parquet test tables)")
 
 
 def profile_job(inputs, out_path: str) -> DataFrame:
-    """Profile every available source table and write the profile as JSON."""
-    prof = P.profile_tables(inputs.as_dict(), EXPECTED_COLUMNS)
-    K.write_json(prof, out_path)
-    return prof
+    """Profile every source table and write the profile as JSON: a row for
+    each, with its status, what the header lacks or has besides, and the rows
+    that the CSV parser could not fit; tables that are missing or unreadable
+    have a row too.  Returns the written profile."""
+    spark, frames = None, []
+    if isinstance(inputs, RawCsvTables):
+        spark = inputs.spark
+        for name, scan in inputs.for_profile().scans.items():
+            if scan.frame is None:
+                frames.append(spark.range(1).select(
+                    F.lit(name).alias("table_name"), F.lit(scan.status).alias("status"), F.lit(scan.message).alias("message")))
+            else:
+                # with the data columns beside it: Spark does not read a corrupt-record column alone
+                row = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in scan.frame.columns])
+                corrupt = scan.frame.agg(F.count(F.when(F.col(S.CORRUPT).isNotNull(), row))).scalar()
+                frames.append(P.profile_table(scan.frame.drop(S.CORRUPT), name, EXPECTED_COLUMNS[name], True, scan.header)
+                              .withColumns({"status": F.lit(scan.status), "corrupt_rows": corrupt}))
+    else:
+        for name, df in inputs.as_dict().items():
+            spark = df.sparkSession
+            frames.append(P.profile_table(df, name, EXPECTED_COLUMNS[name], True).withColumn("status", F.lit("loaded")))
+    whole = frames[0]
+    for f in frames[1:]:
+        whole = whole.unionByName(f, allowMissingColumns=True)
+    K.write_json(whole, out_path)
+    return spark.read.schema(whole.schema).json(out_path)
 
 
 @dataclass
@@ -88,7 +119,9 @@ def transform_job(inputs, out_dir: str, partition_by: tuple[str, ...] = (),
     computed (no separate count jobs over the large tables); the master is
     persisted once for its two writes.  With ``buckets`` the master is
     bucketed on ``order_id`` (table ``master_orders``), so the reports job's
-    order-level dedup reads co-located buckets instead of shuffling."""
+    order-level dedup reads co-located buckets instead of shuffling.  Either
+    way the written table is read back and checked; ``ContractBroken`` is
+    raised if it does not hold what was written."""
     out_dir = out_dir.rstrip("/")
     observations, observed = {}, {}
     for name in MASTER_INPUTS:
@@ -99,11 +132,12 @@ def transform_job(inputs, out_dir: str, partition_by: tuple[str, ...] = (),
     try:
         master_path, summary_path = f"{out_dir}/master_orders", f"{out_dir}/orders_summary"
         if buckets:
-            K.write_bucketed(master, master_path, MASTER_TABLE, "order_id", buckets)
-            contract = {"written_rows": master.sparkSession.read.parquet(master_path).count()}
+            check = K.write_with_contract(
+                master, master_path, "master_orders",
+                write=lambda df: K.write_bucketed(df, master_path, MASTER_TABLE, "order_id", buckets))
         else:
-            contract = K.write_with_contract(
-                master, master_path, "master_orders", partition_by).collect()[0]
+            check = K.write_with_contract(master, master_path, "master_orders", partition_by)
+        contract = K.assert_contract(check)
         K.write_csv(orders_summary(master).drop("payment_types"), summary_path)
     finally:
         master.unpersist()
@@ -152,3 +186,15 @@ def reports_job(spark: SparkSession, master_path: str, reports_dir: str,
         return {name: K.write_report(fn(analytics), reports_dir, name) for name, fn in REPORTS.items()}
     finally:
         analytics.unpersist()
+
+
+def sql_job(spark: SparkSession, master_path: str, out_dir: str, sql_dir: str | None = None,
+            buckets: int | None = None) -> dict[str, str]:
+    """Run a folder of SQL files (the packaged ones by default) over the
+    analytics views and write each result as a header CSV."""
+    analytics = analytics_orders(read_master(spark, master_path, buckets)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = run_sql_files(spark, analytics, sql_dir or PACKAGED_SQL)
+        return {name: K.write_report(df, out_dir, name) for name, df in found.items()}
+    finally:
+        analytics.unpersist()

@@ -7,9 +7,9 @@ it.  Only report-grain results are written as a single file.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,9 +84,23 @@ def preview(df: DataFrame, n: int = 20) -> DataFrame:
     return df.limit(n)
 
 
-def write_with_contract(df: DataFrame, path: str, name: str,
-                        partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` as Parquet and return a one-row contract check.
+class ContractBroken(RuntimeError):
+    """A written output does not hold what was to be written."""
+
+
+def assert_contract(check: DataFrame) -> Row:
+    """The one row of a contract check; raises if it did not pass."""
+    row = check.first()
+    if not row["passed"]:
+        raise ContractBroken(f"{row['dataset']}: {row['written_rows']} of {row['expected_rows']} rows written, "
+                             f"schema match {row['schema_match']}, success marker {row['success_marker']}")
+    return row
+
+
+def write_with_contract(df: DataFrame, path: str, name: str, partition_by: Sequence[str] = (),
+                        write: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet (or by ``write``, whose output at ``path`` is
+    Parquet too) and return a one-row contract check.
 
     The expected row count is observed *during* the write (no separate
     count job); the check then reads the output back and compares row
@@ -94,7 +108,11 @@ def write_with_contract(df: DataFrame, path: str, name: str,
     """
     spark = df.sparkSession
     obs = Observation(f"contract_{name}")
-    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if write:
+        write(observed)
+    else:
+        write_parquet(observed, path, partition_by)
     expected_rows = int(obs.get["rows"])
     back = spark.read.parquet(path)
     want = {f.name: f.dataType for f in df.schema.fields}
@@ -102,7 +120,7 @@ def write_with_contract(df: DataFrame, path: str, name: str,
     same_schema = set(want) == set(got) and all(
         want[c].simpleString() == got[c].simpleString() or c in partition_by for c in want
     )
-    marker = file_exists(f"{path}/_SUCCESS")
+    marker = file_exists(spark, f"{path}/_SUCCESS")
     return back.agg(F.count(F.lit(1)).alias("written_rows")).select(
         F.lit(name).alias("dataset"),
         F.lit(expected_rows).cast(T.LongType()).alias("expected_rows"),

@@ -1,33 +1,32 @@
-"""Filesystem probes through Arrow (local, HDFS, S3, GCS, ...).
+"""Path probes through the session's Hadoop file systems.
 
-Used for facts Spark's file sources do not expose: whether a path exists
-before reading it, and hidden files such as the ``_SUCCESS`` job marker
-(Spark's listing skips names starting with ``_`` or ``.``).
+Spark's own configuration (credentials, mounts, schemes) applies, so every
+store that Spark can read can be probed: for facts its file sources do not
+expose, such as whether a path exists before it is read, and hidden files such
+as the ``_SUCCESS`` job marker.
 """
 
 from __future__ import annotations
 
-from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
-def _resolve(path: str):
-    uri = path
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    try:
-        return fs.FileSystem.from_uri(uri)
-    except Exception:  # noqa: BLE001 - plain local path
-        return fs.LocalFileSystem(), path
+def _resolve(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
-def path_type(path: str):
-    filesystem, inner = _resolve(path)
-    return filesystem.get_file_info(inner).type
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _resolve(spark, path)
+    return fs.exists(p)
 
 
-def file_exists(path: str) -> bool:
-    return path_type(path) == fs.FileType.File
+def file_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _resolve(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
-def path_exists(path: str) -> bool:
-    return path_type(path) in (fs.FileType.File, fs.FileType.Directory)
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove what a job wrote for itself (scratch data after use)."""
+    fs, p = _resolve(spark, path)
+    fs.delete(p, True)

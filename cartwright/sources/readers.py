@@ -1,12 +1,13 @@
 """Readers: typed CSV, tolerant CSV, Parquet and raw-text scans.
 
 All readers take explicit schemas, so no inference pass is spent over the
-data; CSV is read multi-line aware (quoted newlines stay in one record).
+data; CSV columns are bound by the header's names, for which Spark reads one
+line, and read multi-line aware (quoted newlines stay in one record).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,8 @@ from cartwright.sources.fs import path_exists
 
 CORRUPT = "_corrupt_record"
 
-# Text tokens read as NULL by the tolerant scan (the pandas
-# default missing-value spellings).
+# Text tokens that the profiler reads as NULL (the pandas default
+# missing-value spellings).
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
@@ -41,14 +42,40 @@ def csv_options(multiline: bool = False) -> dict[str, str]:
     return {**CSV_OPTIONS, "multiLine": "true" if multiline else "false"}
 
 
+class HeaderMismatch(ValueError):
+    """A CSV's header lacks columns that the reader was asked for."""
+
+
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV as its header has them (Spark reads one line),
+    without a byte-order mark or white space around names."""
+    return [c.strip("\ufeff \t") for c in spark.read.options(**csv_options()).csv(path).columns]
+
+
+def _by_header(spark: SparkSession, path: str, header: list[str], types: dict[str, T.DataType],
+               multiline: bool, extra: tuple[T.StructField, ...] = ()):
+    """Reader of the CSV under its header's own names and order.  ``enforceSchema`` is
+    off, so a part file with another header fails instead of being read by
+    position."""
+    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
+    return (spark.read.options(**csv_options(multiline)).option("enforceSchema", "false")
+            .option("mode", "PERMISSIVE").schema(T.StructType([*fields, *extra])))
+
+
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
                    infer: bool = False, multiline: bool = False) -> DataFrame:
-    """Header CSV with an explicit schema (``infer=True`` costs a full extra
-    pass and exists only for parity with schema-less sources)."""
-    reader = spark.read.options(**csv_options(multiline))
+    """Header CSV with typed columns, bound by header name and returned in the
+    order of ``schema``; further columns of the file are left out, and
+    ``HeaderMismatch`` names the missing ones.  ``infer=True`` takes the types
+    from the data (a full extra pass, for schema-less sources)."""
     if infer:
-        return reader.option("inferSchema", "true").csv(path)
-    return reader.schema(schema).csv(path)
+        return spark.read.options(**csv_options(multiline)).option("inferSchema", "true").csv(path)
+    header = csv_header(spark, path)
+    names = [f.name for f in schema.fields]
+    if lost := [c for c in names if c not in header]:
+        raise HeaderMismatch(f"{path}: header {header} lacks {lost}")
+    types = {f.name: f.dataType for f in schema.fields}
+    return _by_header(spark, path, header, types, multiline).csv(path).select(*[f"`{c}`" for c in names])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -61,13 +88,16 @@ class ScanResult:
     status: str            # loaded | missing | unreadable
     frame: DataFrame | None
     message: str = ""
+    header: list[str] = field(default_factory=list)            # as in the file
+    missing_columns: list[str] = field(default_factory=list)   # expected, not in the header: read as NULL
+    extra_columns: list[str] = field(default_factory=list)     # in the header, not expected: left out
 
 
-def _typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
+def _typed_from_text(df: DataFrame, schema: T.StructType, null_tokens: tuple[str, ...]) -> DataFrame:
     cols = []
     for f in schema.fields:
-        raw = F.col(f.name) if f.name in df.columns else F.lit(None).cast("string")
-        text = F.when(~F.trim(raw).isin(*NULL_TOKENS), raw)
+        raw = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string")
+        text = F.when(~F.trim(raw).isin(*null_tokens), raw) if null_tokens else raw
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             typed = safe_timestamp(text, T.StringType())
         elif isinstance(f.dataType, T.StringType):
@@ -78,37 +108,36 @@ def _typed_from_text(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols, CORRUPT)
 
 
-def tolerant_scan(spark: SparkSession, table_name: str, path: str,
-                  schema: T.StructType, multiline: bool | None = None) -> ScanResult:
+def tolerant_scan(spark: SparkSession, table_name: str, path: str, schema: T.StructType,
+                  multiline: bool | None = None, null_tokens: tuple[str, ...] = NULL_TOKENS) -> ScanResult:
     """Read a CSV that may be missing, empty or partly malformed.
 
     Missing paths produce a ``missing`` status instead of an exception.
-    Every field is read as text, pandas-style NULL tokens become NULL and
-    values are cast with ``try_cast`` (bad values -> NULL); rows the CSV
-    parser cannot fit keep their text in ``_corrupt_record``.  Quoted line
-    breaks are honoured for ``MULTILINE_TABLES`` (or ``multiline=True``).
+    Columns are bound by the header's names, whatever their order; expected
+    columns that it lacks are NULL and reported, further ones are reported and
+    left out.  Every field is read as text and cast with ``try_cast`` (bad
+    values -> NULL); rows the CSV parser cannot fit keep their text in
+    ``_corrupt_record``.  Text equal to one of ``null_tokens`` becomes NULL:
+    the profiler's rule, so the transform passes none and only empty fields
+    are NULL there.  Quoted line breaks are honoured for ``MULTILINE_TABLES``
+    (or ``multiline=True``).
     """
     if multiline is None:
         multiline = table_name in MULTILINE_TABLES
-    if "*" not in path and not path_exists(path):
+    if "*" not in path and not path_exists(spark, path):
         return ScanResult(table_name, "missing", None, f"path does not exist: {path}")
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-        + [T.StructField(CORRUPT, T.StringType(), True)]
-    )
     try:
-        raw = (
-            spark.read.options(**csv_options(multiline))
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("nullValue", "\u0000")
-            .schema(text_schema)
-            .csv(path)
-        )
+        header = csv_header(spark, path)
+        reader = _by_header(spark, path, header, {}, multiline, (T.StructField(CORRUPT, T.StringType(), True),))
+        raw = reader.option("columnNameOfCorruptRecord", CORRUPT).option(
+            "nullValue", "\u0000" if null_tokens else "").csv(path)
+        frame = _typed_from_text(raw, schema, null_tokens)
     except AnalysisException as err:
         status = "missing" if "PATH_NOT_FOUND" in str(err) or "does not exist" in str(err) else "unreadable"
         return ScanResult(table_name, status, None, str(err).splitlines()[0])
-    return ScanResult(table_name, "loaded", _typed_from_text(raw, schema))
+    names = [f.name for f in schema.fields]
+    return ScanResult(table_name, "loaded", frame, "", header,
+                      sorted(set(names) - set(header)), sorted(set(header) - set(names)))
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -13,8 +13,9 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-# Typed schemas of the canonical tables as this library produces them.
-# Keys are integral (the test tables use bigint keys); money is decimal(18,2).
+# Typed schemas of the canonical tables as this library produces them; the
+# column names are fixed values (the source data dictionary, including its own
+# misspelling "lenght").  Keys are integral (the test tables use bigint keys); money is decimal(18,2).
 SCHEMAS: dict[str, T.StructType] = {
     "orders": _struct(
         ("order_id", L), ("customer_id", L), ("order_status", S),
@@ -47,46 +48,6 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 
-# The expected column names per source table (names only; the
-# source data dictionary, including its own misspelling "lenght").
-EXPECTED_COLUMNS: dict[str, list[str]] = {
-    "orders": [
-        "order_id", "customer_id", "order_status", "order_purchase_timestamp",
-        "order_approved_at", "order_delivered_carrier_date",
-        "order_delivered_customer_date", "order_estimated_delivery_date",
-    ],
-    "order_items": [
-        "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
-        "price", "freight_value",
-    ],
-    "customers": [
-        "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
-        "customer_state",
-    ],
-    "products": [
-        "product_id", "product_category_name", "product_name_lenght",
-        "product_description_lenght", "product_photos_qty", "product_weight_g",
-        "product_length_cm", "product_height_cm", "product_width_cm",
-    ],
-    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
-    "payments": [
-        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value",
-    ],
-    "reviews": [
-        "review_id", "order_id", "review_score", "review_comment_title",
-        "review_comment_message", "review_creation_date", "review_answer_timestamp",
-    ],
-    "geolocation": [
-        "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng",
-        "geolocation_city", "geolocation_state",
-    ],
-    "category_translation": ["product_category_name", "product_category_name_english"],
-}
-
-# The five tables the transform reads row counts of, and the full input set.
-COUNTED_SOURCES = ("orders", "order_items", "customers", "products", "payments")
-REQUIRED_INPUTS = tuple(EXPECTED_COLUMNS)
-
 # Master-table column order, as the master build emits it.
 MASTER_COLUMNS = [
     "order_id", "customer_id", "order_status", "order_purchase_timestamp",
@@ -104,10 +65,6 @@ SUMMARY_COLUMNS = [
 ]
 
 
-# File name of each source table in a raw CSV drop (override per call).
-RAW_FILES: dict[str, str] = {name: f"{name}.csv" for name in EXPECTED_COLUMNS}
-
-
 def _raw_type(name: str, canonical: T.DataType) -> T.DataType:
     """Raw CSV drops carry text identifiers and zip prefixes (leading zeros
     matter); money is read straight into exact decimals."""
@@ -129,3 +86,17 @@ RAW_SCHEMAS["geolocation"] = _struct(
     ("geolocation_zip_code_prefix", S), ("geolocation_lat", D), ("geolocation_lng", D),
     ("geolocation_city", S), ("geolocation_state", S),
 )
+
+# The expected column names per source table, in the order of the profile.
+EXPECTED_COLUMNS: dict[str, list[str]] = {
+    table: RAW_SCHEMAS[table].names for table in (
+        "orders", "order_items", "customers", "products", "sellers", "payments", "reviews", "geolocation",
+        "category_translation")
+}
+
+# The five tables the transform reads row counts of, and the full input set.
+COUNTED_SOURCES = ("orders", "order_items", "customers", "products", "payments")
+REQUIRED_INPUTS = tuple(EXPECTED_COLUMNS)
+
+# File name of each source table in a raw CSV drop (override per call).
+RAW_FILES: dict[str, str] = {name: f"{name}.csv" for name in EXPECTED_COLUMNS}

@@ -1,10 +1,14 @@
 import os
 import tempfile
 
+import pytest
+
 from cartwright.plans import pipeline as PL
 from cartwright.plans.analytics import analytics_orders, master_from_tables
 from cartwright.plans.reports import REPORTS
+from cartwright.sinks import writers as K
 from cartwright.sinks.writers import write_csv
+from cartwright.sources import readers as S
 from cartwright.sources.adapters import load_commerce
 from conftest import SF_SMALL
 
@@ -29,6 +33,8 @@ def test_raw_csv_pipeline_matches_parquet_route(spark):
 
     prof = {r["table_name"]: r for r in PL.profile_job(inputs, f"{out}/profile").collect()}
     assert prof["orders"]["schema_valid"] and prof["orders"]["row_count"] > 0
+    assert prof["reviews"]["status"] == "missing" and prof["orders"]["corrupt_rows"] == 0
+    assert prof["orders"]["inferred_types"]["order_purchase_timestamp"] == "timestamp"
 
     res = PL.transform_job(inputs, out, ("purchase_year", "purchase_month"))
     assert res.master_rows == res.source_rows["orders"]
@@ -38,12 +44,8 @@ def test_raw_csv_pipeline_matches_parquet_route(spark):
     paths = PL.reports_job(spark, res.master_path, f"{out}/reports")
     direct = analytics_orders(master_from_tables(tables))
     for name, fn in REPORTS.items():
-        want = sorted(tuple("" if v is None else str(v) for v in r) for r in fn(direct).collect())
-        got_df = spark.read.option("header", True).csv(paths[name])
-        got = sorted(tuple("" if v is None else str(v) for v in r) for r in got_df.collect())
-        assert len(got) == len(want), name
-        # CSV text of doubles equals Python's str of the same doubles
-        assert [g[0] for g in got] == [w[0] for w in want], name
+        typed = S.read_csv_typed(spark, paths[name], fn(direct).schema)
+        assert sorted(map(tuple, typed.collect()), key=repr) == sorted(map(tuple, fn(direct).collect()), key=repr), name
 
 
 def test_bucketed_master_makes_report_dedup_shuffle_free(spark):
@@ -63,3 +65,36 @@ def test_bucketed_master_makes_report_dedup_shuffle_free(spark):
     direct = analytics_orders(master_from_tables(tables))
     assert sorted(map(tuple, analytics.collect()), key=repr) == sorted(map(tuple, direct.collect()), key=repr)
     spark.sql("DROP TABLE IF EXISTS master_orders")
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_a_truncated_output_makes_the_transform_raise(spark, monkeypatch, buckets):
+    tables, out = load_commerce(spark, SF_SMALL), tempfile.mkdtemp(prefix="cartwright-broken-")
+    for name in ("write_parquet", "write_bucketed"):
+        whole = getattr(K, name)
+        monkeypatch.setattr(K, name, lambda df, *a, w=whole: (df.count(), w(df.limit(3), *a)))
+    with pytest.raises(K.ContractBroken):
+        PL.transform_job(tables, out, buckets=buckets)
+    spark.sql("DROP TABLE IF EXISTS master_orders")
+
+
+def test_schema_validity_comes_from_the_header(spark):
+    raw = tempfile.mkdtemp(prefix="cartwright-raw-")
+    with open(f"{raw}/people.csv", "w", encoding="utf-8") as fh:
+        fh.write("customer_id,bogus\nc1,2\n")
+    inputs = PL.open_inputs(spark, raw_dir=raw, file_names={"customers": "people.csv"})
+    prof = {r["table_name"]: r for r in PL.profile_job(inputs, f"{raw}/profile").collect()}
+    assert len(prof) == 9 and prof["orders"]["status"] == "missing"
+    c = prof["customers"]
+    assert not c["schema_valid"] and c["extra_columns"] == ["bogus"] and "customer_state" in c["missing_columns"]
+    with pytest.raises(ValueError):
+        PL.open_inputs(spark, raw_dir=raw, file_names={"nobody": "x.csv"})
+
+
+def test_sql_job_writes_the_packaged_reports(spark):
+    tables, out = load_commerce(spark, SF_SMALL), tempfile.mkdtemp(prefix="cartwright-sql-")
+    res = PL.transform_job(tables, out)
+    paths = PL.sql_job(spark, res.master_path, f"{out}/sql")
+    assert set(paths) == {"status_revenue", "late_by_state"}
+    got = spark.read.option("header", True).csv(paths["status_revenue"])
+    assert sum(int(r["orders"]) for r in got.collect()) == res.master_rows

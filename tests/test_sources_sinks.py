@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from cartwright.session import scratch_path
@@ -101,8 +102,6 @@ class _FakeSession:
 
 
 def test_cluster_session_never_falls_back_to_a_local_temp_folder():
-    import pytest
-
     from cartwright.session import checkpoint_root
 
     with pytest.raises(RuntimeError):
@@ -110,5 +109,44 @@ def test_cluster_session_never_falls_back_to_a_local_temp_folder():
     shared = _FakeSession("yarn", "hdfs://nn/shared/ckpt/")
     assert checkpoint_root(shared) == "hdfs://nn/shared/ckpt"
     assert shared.sparkContext.getCheckpointDir() == "hdfs://nn/shared/ckpt/"
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_FakeSession("local-cluster[2,1,1024]"))     # executors of their own
     local = _FakeSession("local[2]")
     assert checkpoint_root(local).startswith("/")             # temp folder, local mode only
+
+
+def test_columns_are_bound_by_header(spark):
+    path = _write("ts,extra,product_category_name\n2018-01-01 10:00:00,9,x\n")
+    scan = S.tolerant_scan(spark, "t", path, SCHEMA)
+    assert scan.header == ["ts", "extra", "product_category_name"]
+    assert (scan.missing_columns, scan.extra_columns) == (["n"], ["extra"])
+    r = scan.frame.first()
+    assert (r["product_category_name"], r["n"], str(r["ts"])) == ("x", None, "2018-01-01 10:00:00")
+    with pytest.raises(S.HeaderMismatch, match="n"):
+        S.read_csv_typed(spark, path, SCHEMA)
+    back = S.read_csv_typed(spark, path, T.StructType([SCHEMA["product_category_name"], SCHEMA["ts"]]))
+    assert back.columns == ["product_category_name", "ts"] and back.first()[0] == "x"
+
+
+def test_part_files_with_another_header_are_not_read_by_position(spark):
+    path = _write("product_category_name,n,ts\nx,1,2018-01-01 00:00:00\n")
+    with open(os.path.join(path, "part2.csv"), "w", encoding="utf-8") as fh:
+        fh.write("n,product_category_name,ts\n2,y,2018-01-01 00:00:00\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        S.read_csv_typed(spark, path, SCHEMA).collect()
+
+
+def test_only_the_profiler_reads_words_as_null(spark):
+    path = _write("product_category_name,n,ts\nNone,1,2018-01-01 00:00:00\n   ,2,\n,3,\n")
+    names = lambda **how: [r[0] for r in S.tolerant_scan(spark, "t", path, SCHEMA, **how).frame.orderBy("n").collect()]
+    assert names() == [None, None, None]
+    assert names(null_tokens=()) == ["None", "   ", None]
+
+
+def test_paths_are_probed_through_hadoop(spark):
+    from cartwright.sources.fs import file_exists, path_exists
+
+    d = _write("a\n1\n")
+    for prefix in ("", "file:", "file://"):
+        assert path_exists(spark, prefix + d) and file_exists(spark, f"{prefix}{d}/part.csv")
+        assert not file_exists(spark, prefix + d) and not path_exists(spark, f"{prefix}{d}/none")
