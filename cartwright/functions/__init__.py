@@ -1,7 +1,7 @@
 from cartwright.functions.columns import (
     CANDIDATES,
     delivery_days_expr,
-    first_present,
+    UnresolvedFields,
     is_late_expr,
     resolve_fields,
 )
@@ -19,7 +19,7 @@ from cartwright.functions.scalars import (
 )
 
 __all__ = [
-    "CANDIDATES", "MONEY", "cents", "delivery_days_expr", "first_present", "half_up_ratio",
+    "CANDIDATES", "MONEY", "UnresolvedFields", "cents", "delivery_days_expr", "half_up_ratio",
     "is_late_expr", "late_flag", "money", "month_name", "normalize_boolean", "resolve_fields",
     "safe_cast", "safe_timestamp", "tier_label",
 ]

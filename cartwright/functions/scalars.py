@@ -42,6 +42,15 @@ CAST_FALSE = ("f", "false", "n", "no", "0")
 NUMERIC_WORDS = ("nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
+# Fixed value: what Spark's casts from text strip at both ends (white space
+# and control characters of ASCII).
+CAST_SPACE = "".join(map(chr, range(33))) + "\x7f"
+
+
+def trim_all(c: Column) -> Column:
+    return F.btrim(c, F.lit(CAST_SPACE))
+
+
 def safe_cast(c: str | Column, to: T.DataType | str, from_type: T.DataType | None = None) -> Column:
     """``try_cast`` with the same result, minus its slow path.
 
@@ -57,10 +66,10 @@ def safe_cast(c: str | Column, to: T.DataType | str, from_type: T.DataType | Non
         return c.try_cast(target)
     text = c.cast("string")
     if isinstance(target, T.BooleanType):
-        norm = F.lower(F.trim(text))
+        norm = F.lower(trim_all(text))
         return F.when(norm.isin(*CAST_TRUE), F.lit(True)).when(norm.isin(*CAST_FALSE), F.lit(False))
     if isinstance(target, T.NumericType):
-        plausible = text.rlike("[0-9]") | F.lower(F.trim(text)).isin(*NUMERIC_WORDS)
+        plausible = text.rlike("[0-9]") | F.lower(trim_all(text)).isin(*NUMERIC_WORDS)
         return F.when(plausible, text.try_cast(target))
     return text.try_cast(target)
 
@@ -119,7 +128,7 @@ def normalize_boolean(c: str | Column, dtype: T.DataType) -> Column:
     c = col_of(c)
     if isinstance(dtype, T.BooleanType):
         return c
-    text = F.lower(F.trim(c.cast("string")))
+    text = F.lower(trim_all(c.cast("string")))
     return (
         F.when(text.isin(*TRUE_TOKENS), F.lit(True))
         .when(text.isin(*FALSE_TOKENS), F.lit(False))

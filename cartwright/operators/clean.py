@@ -94,11 +94,22 @@ def positive_payments(payments: DataFrame, column: str = "payment_value") -> Dat
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
-    """Lower-case snake_case column names (trim, non-alphanumerics -> '_')."""
+    """Lower-case snake_case column names (trim, non-alphanumerics -> '_').
+    Names that become equal get ``_2``, ``_3`` ... in column order, skipping
+    suffixed names that another column has already."""
     import re
 
     def norm(name: str) -> str:
         s = re.sub(r"[^0-9a-zA-Z]+", "_", name.strip()).strip("_").lower()
         return s or "col"
 
-    return df.toDF(*[norm(c) for c in df.columns])
+    plain = [norm(c) for c in df.columns]
+    taken, out = set(), []
+    for name in plain:
+        free, k = name, 1
+        while free in taken or (k > 1 and free in plain):
+            k += 1
+            free = f"{name}_{k}"
+        taken.add(free)
+        out.append(free)
+    return df.toDF(*out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -55,7 +56,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        # local-cluster has executors of their own, as a cluster does
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is unset; point it at a shared folder"
             )

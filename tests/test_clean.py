@@ -61,3 +61,9 @@ def test_clean_column_names(spark):
     df = spark.createDataFrame([(1, 2)], T.StructType([
         T.StructField(" Order ID ", T.IntegerType()), T.StructField("Customer-State(raw)", T.IntegerType())]))
     assert clean_column_names(df).columns == ["order_id", "customer_state_raw"]
+
+
+def test_clean_column_names_keeps_names_apart(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], ["A b", "a-b", "a_b_2", " a  b ", "!!"])
+    got = clean_column_names(df).columns
+    assert got == ["a_b", "a_b_3", "a_b_2", "a_b_4", "col"] and len(set(got)) == 5

@@ -83,3 +83,30 @@ def test_safe_timestamp_ignores_session_zone_in_dst_gap(spark):
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert got == [dt.datetime(1996, 10, 6, 0, 0)]
     assert names == ["October"]
+
+
+def test_casts_strip_all_white_space(spark):
+    data = [("\ttrue\n",), ("\x0b yes \x7f",), ("\u00a0true",)]
+    assert one(spark, safe_cast("s", "boolean", T.StringType()), data, "s string") == [True, True, None]
+    assert one(spark, F.col("s").try_cast("boolean"), data, "s string") == [True, True, None]
+    assert one(spark, normalize_boolean("s", T.StringType()), [("\tN\n",)], "s string") == [False]
+
+
+def test_fields_resolve_together(spark):
+    import pytest
+
+    from cartwright.functions import UnresolvedFields, resolve_fields
+
+    names = ["ORDER_ID", "customer_id", "status", "order_date", "state", "revenue", "payment_value"]
+    df = spark.createDataFrame([tuple("x" * len(names))], names)
+    got = resolve_fields(df)
+    assert got["order_id"] == "ORDER_ID" and got["revenue"] == "payment_value" and got["is_late"] is None
+    with pytest.raises(UnresolvedFields) as e:
+        resolve_fields(df.drop("state", "order_date"))
+    assert "customer_state" in str(e.value) and "order_purchase_timestamp" in str(e.value)
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(UnresolvedFields, match="order_id"):
+            resolve_fields(df)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
