@@ -1,4 +1,4 @@
-"""Join operators: checked broadcast of dimensions and the master build."""
+"""Join operators: dimension lookups and the master build."""
 
 from __future__ import annotations
 
@@ -8,37 +8,14 @@ from pyspark.sql import functions as F
 from cartwright.operators.clean import fill_nulls
 from cartwright.sources.schemas import MASTER_COLUMNS
 
-# A dimension is broadcast only after a bounded probe proves it has at most
-# this many rows and bytes; beyond either bound the planner's shuffle join
-# (with AQE skew splitting and run-time broadcast conversion) is used.
-BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows whose JSON
-    text totals at most ``max_bytes``, else ``dim`` unchanged.
-
-    The probe takes at most ``max_rows + 1`` rows of the dimension's output
-    (a limit-then-aggregate job): for a scanned table it stops early, for a
-    derived one it costs what deriving the dimension costs anyway.
-    """
-    size = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns]))))
-    probe = dim.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), size.alias("bytes")).collect()[0]
-    if probe["rows"] <= max_rows and (probe["bytes"] or 0) <= max_bytes:
-        return F.broadcast(dim)
-    return dim
-
-
-def enrich_products(products: DataFrame, translation: DataFrame,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def enrich_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Fill missing product attributes, then left-join the category
-    translation (fill happens first, so 'unknown' finds no translation)."""
-    return fill_nulls(products).join(
-        bounded_broadcast(translation, max_rows), "product_category_name", "left"
-    )
+    translation (fill happens first, so 'unknown' finds no translation).
+
+    The planner and AQE broadcast the translation only if its measured size
+    is within ``spark.sql.autoBroadcastJoinThreshold``; beyond it the join
+    shuffles.  Building the plan runs no job."""
+    return fill_nulls(products).join(translation, "product_category_name", "left")
 
 
 def orders_items_join(orders: DataFrame, items_summary: DataFrame) -> DataFrame:

@@ -2,14 +2,16 @@
 
 The source pipeline profiles each table in one pandas process.  Here every
 metric is an executor-side aggregate: one pass computes the row count and,
-per column, the NULL count and logical byte size; a second, shuffled pass
-counts whole-row duplicates (map-side combined, so a value repeated in a
-third of all rows is collapsed before the shuffle).  Results are small
-long-format frames (one row per table or per column).
+per column, the NULL count, logical byte size and the type that its values'
+text fits; a second pass counts whole-row duplicates by hash and compares full
+rows only where hashes repeat.  Results are small long-format frames (one row
+per table or per column).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,20 +42,48 @@ def value_bytes(c: str, dtype: T.DataType) -> Column:
     return F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint"))
 
 
+# What a value's text must look like for each inferred type, in
+# the order in which the types are tried.
+INFERRED = (
+    ("bigint", r"^[+-]?[0-9]{1,18}$"),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"),
+    ("boolean", r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$"),
+)
+
+
+def _inferred(bits: Column) -> Column:
+    kind = F.lit("string")
+    for k, (name, _) in reversed(list(enumerate(INFERRED))):
+        kind = F.when(bits.bitwiseAND(F.lit(1 << k)) != 0, F.lit(name)).otherwise(kind)
+    return F.when(bits.isNull(), F.lit("void")).otherwise(kind)
+
+
 def column_stats(df: DataFrame, table_name: str) -> DataFrame:
-    """One row per column: table_name, position, column_name, data_type,
-    row_count, null_count, null_percentage, logical_bytes.  One scan."""
+    """One row per column: table_name, position, column_name, data_type
+    (declared), inferred_type, row_count, null_count, null_percentage,
+    logical_bytes.  One scan.
+
+    ``inferred_type`` comes from the values: the first type that the text of
+    every non-NULL value fits, else string; void where all are NULL."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         aggs.append(F.count_if(F.col(f.name).isNull()).alias(f"_n{i}"))
         aggs.append(F.sum(value_bytes(f.name, f.dataType)).alias(f"_b{i}"))
+        text = F.col(f.name).cast("string")
+        # a bit for each type that the text fits; those that all values fit remain
+        flags = F.lit(0)
+        for k, (_, pattern) in enumerate(INFERRED):
+            flags = flags + F.when(text.rlike(pattern), F.lit(1 << k)).otherwise(F.lit(0))
+        aggs.append(F.bit_and(F.when(text.isNotNull(), flags)).alias(f"_t{i}"))
     one = df.agg(*aggs)
     per_col = F.array(*[
         F.struct(
             F.lit(i + 1).alias("position"),
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
+            _inferred(F.col(f"_t{i}")).alias("inferred_type"),
             F.col(f"_n{i}").alias("null_count"),
             F.coalesce(F.col(f"_b{i}"), F.lit(0).cast("bigint")).alias("logical_bytes"),
         )
@@ -63,32 +93,34 @@ def column_stats(df: DataFrame, table_name: str) -> DataFrame:
         one.select(F.col("_rows").alias("row_count"), F.inline(per_col))
         .select(
             F.lit(table_name).alias("table_name"), "position", "column_name", "data_type",
-            "row_count", "null_count",
+            "inferred_type", "row_count", "null_count",
             half_up_ratio(F.col("null_count") * 100, "row_count", 2).alias("null_percentage"),
             "logical_bytes",
         )
     )
 
 
-def duplicate_row_count(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """One row: rows beyond the first of each group of identical rows
-    (NULLs compare equal, as in GROUP BY).
+def duplicate_row_count(df: DataFrame, row_hash: Callable[[list[str]], Column] | None = None) -> DataFrame:
+    """One row: rows beyond the first of each group of identical rows (NULLs
+    compare equal, as in GROUP BY).  Exact, in two phases.
 
-    Exact by default: the grouping shuffles whole rows.  ``approximate``
-    groups by a 64-bit hash of the row instead, shuffling 8 bytes per row;
-    distinct rows that collide are counted as duplicates (expected
-    collisions ~ rows^2 / 2^65: none below a billion rows).
+    First rows are counted by a 64-bit hash of the row (combined map-side, so
+    8 bytes and a count are shuffled).  Rows whose hash no other row has are
+    unique for certain; only the others are grouped by all their columns.
+    ``row_hash`` replaces the hash in tests.
     """
-    if approximate:
-        # xxhash64 skips NULL inputs, so the NULL positions are hashed too:
-        # otherwise (NULL, 'x') and ('x', NULL) would always collide.
-        nulls = F.array(*[F.col(c).isNull() for c in df.columns])
-        keyed = df.select(F.xxhash64(*[F.col(c) for c in df.columns], nulls).alias("_h"))
-        groups = keyed.groupBy("_h").count()
-    else:
-        groups = df.groupBy(*df.columns).count()
-    return groups.agg(
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    hashed = (row_hash or _row_hash)(df.columns)
+    repeated = df.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_hash")
+    rows = df.withColumn("_own_hash", hashed)
+    suspects = rows.join(repeated, rows["_own_hash"] == repeated["_hash"], "left_semi")
+    groups = suspects.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+
+
+def _row_hash(columns: list[str]) -> Column:
+    # xxhash64 skips NULLs, so their positions are hashed too
+    cols = [F.col(f"`{c}`") for c in columns]
+    return F.xxhash64(*cols, F.array(*[c.isNull() for c in cols]))
 
 
 def schema_diff(columns: list[str], expected: list[str]) -> tuple[bool, list[str], list[str]]:
@@ -98,16 +130,29 @@ def schema_diff(columns: list[str], expected: list[str]) -> tuple[bool, list[str
     return (not missing, missing, extra)
 
 
-def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = None) -> DataFrame:
+#: Per-column maps of the profile document: statistic, name of the map.
+COLUMN_MAPS = (("data_type", "data_types"), ("inferred_type", "inferred_types"), ("null_count", "null_counts"),
+               ("null_percentage", "null_percentages"))
+
+
+def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = None,
+                  columns: bool = False, found: list[str] | None = None) -> DataFrame:
     """One summary row: shape, NULL cells, logical bytes, duplicate rows and
-    schema validity against ``expected`` column names."""
+    schema validity against ``expected`` column names; with ``columns`` also
+    the per-column maps of ``COLUMN_MAPS``.  ``found`` are the names that the
+    source itself has (a CSV's header) where ``df`` was given others."""
+    def by_column(c: str) -> Column:
+        pairs = F.array_sort(F.collect_list(F.struct("position", F.struct("column_name", c).alias("kv"))))
+        return F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["kv"]["column_name"], p["kv"][c])))
+
     stats = column_stats(df, table_name).groupBy("table_name").agg(
         F.max("row_count").alias("row_count"),
         F.count(F.lit(1)).alias("column_count"),
         F.sum("null_count").alias("null_cells"),
         F.sum("logical_bytes").alias("logical_bytes"),
+        *([by_column(c).alias(name) for c, name in COLUMN_MAPS] if columns else []),
     )
-    valid, missing, extra = schema_diff(df.columns, expected if expected is not None else df.columns)
+    valid, missing, extra = schema_diff(found or df.columns, expected if expected is not None else df.columns)
     dups = duplicate_row_count(df).scalar()
     return stats.select(
         "table_name",
@@ -120,12 +165,13 @@ def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = N
         F.lit(valid).alias("schema_valid"),
         F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
         F.array(*[F.lit(c) for c in extra]).cast("array<string>").alias("extra_columns"),
+        *([name for _, name in COLUMN_MAPS] if columns else []),
     )
 
 
-def schema_check(df: DataFrame, table_name: str, expected: list[str]) -> DataFrame:
+def schema_check(df: DataFrame, table_name: str, expected: list[str], found: list[str] | None = None) -> DataFrame:
     """Row count plus the column-name check, without the full profile."""
-    valid, missing, extra = schema_diff(df.columns, expected)
+    valid, missing, extra = schema_diff(found or df.columns, expected)
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(table_name).alias("table_name"),
         "row_count",
@@ -143,5 +189,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def profile_tables(tables: dict[str, DataFrame], expected: dict[str, list[str]]) -> DataFrame:
-    return union_all([profile_table(df, name, expected.get(name)) for name, df in tables.items()])
+def profile_tables(tables: dict[str, DataFrame], expected: dict[str, list[str]], columns: bool = False,
+                   found: dict[str, list[str]] | None = None) -> DataFrame:
+    return union_all([profile_table(df, name, expected.get(name), columns, (found or {}).get(name))
+                      for name, df in tables.items()])

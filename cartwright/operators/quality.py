@@ -36,32 +36,43 @@ def null_key_count(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.count_if(F.col(key).isNull()).alias("null_keys"))
 
 
+RULES = ("required_columns", "filled_columns", "non_empty", "null_keys", "duplicate_keys")
+
+
 def dq_report(df: DataFrame, key: str | Sequence[str] = "order_id",
-              required: Sequence[str] = REQUIRED_MASTER_COLUMNS) -> DataFrame:
-    """Rules: required columns present, non-empty, no NULL key (all 'fail'),
-    duplicate keys (informational: an item-grain table legitimately repeats
-    order keys)."""
+              required: Sequence[str] = REQUIRED_MASTER_COLUMNS, rules: Sequence[str] = RULES) -> DataFrame:
+    """The chosen rules, one row each; only what they need is planned.
+
+    ``required_columns`` counts required columns that the frame lacks,
+    ``non_empty`` rows, ``null_keys`` rows with a NULL key column; these fail.
+    ``filled_columns`` (required columns that it has but that hold no value in
+    any of its rows) and ``duplicate_keys`` (an item-grain table legitimately
+    repeats order keys) inform.  Key rules need all key columns and are left
+    out without them.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    missing = sorted(set(required) - set(df.columns))
-    has_keys = all(k in df.columns for k in keys)
+    lost = [c for c in required if c not in df.columns]
+    held = [c for c in required if c in df.columns]
+    keyed = all(k in df.columns for k in keys)
     aggs = [F.count(F.lit(1)).alias("rows")]
-    if has_keys:
-        any_null = F.lit(False)
-        for k in keys:
-            any_null = any_null | F.col(k).isNull()
-        aggs.append(F.count_if(any_null).alias("null_keys"))
-    stats = df.agg(*aggs)
-    rules = [
-        _rule("required_columns", "fail", F.lit(len(missing)), F.lit(not missing)),
-        _rule("non_empty", "fail", F.col("rows"), F.col("rows") > 0),
-    ]
-    if has_keys:
+    if "filled_columns" in rules:
+        aggs += [F.count(F.col(f"`{c}`")).alias(f"_v{i}") for i, c in enumerate(held)]
+    if "null_keys" in rules and keyed:
+        aggs.append(F.count_if(~F.expr("true" if not keys else " AND ".join(f"`{k}` IS NOT NULL" for k in keys))).alias("null_keys"))
+    stats, out = df.agg(*aggs), []
+    if "required_columns" in rules:
+        out.append(_rule("required_columns", "fail", F.lit(len(lost)), F.lit(not lost)))
+    if "filled_columns" in rules:
+        hollow = sum((((F.col("rows") > 0) & (F.col(f"_v{i}") == 0)).cast("int") for i in range(len(held))), F.lit(0))
+        out.append(_rule("filled_columns", "info", hollow, hollow == 0))
+    if "non_empty" in rules:
+        out.append(_rule("non_empty", "fail", F.col("rows"), F.col("rows") > 0))
+    if "null_keys" in rules and keyed:
+        out.append(_rule("null_keys", "fail", F.col("null_keys"), F.col("null_keys") == 0))
+    if "duplicate_keys" in rules and keyed:
         dups = duplicate_keys(df, keys).agg(F.count(F.lit(1))).scalar()
-        rules += [
-            _rule("null_keys", "fail", F.col("null_keys"), F.col("null_keys") == 0),
-            _rule("duplicate_keys", "info", dups, F.lit(True)),
-        ]
-    return stats.select(F.inline(F.array(*rules)))
+        out.append(_rule("duplicate_keys", "info", dups, F.lit(True)))
+    return stats.select(F.inline(F.array(*out)))
 
 
 def assert_passed(report: DataFrame) -> None:

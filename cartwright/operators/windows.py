@@ -107,50 +107,31 @@ def dense_rank_distributed(df: DataFrame, value: str, name: str,
     """``DENSE_RANK() OVER (ORDER BY value DESC)`` without a single-partition
     window, for an unbounded number of rows.
 
-    The distinct values (map-side combined) are range-partitioned in
-    descending order and sorted within each range, then checkpointed to the
-    shared checkpoint folder so partition contents are fixed (a recomputed
-    range split could otherwise shift bounds).  One small job counts values
-    per range (one row per partition); each range then numbers its values
-    from its prefix offset in a vectorised ``mapInPandas``.  The ranks join
-    back on the value; a value shared by a third of all rows is a skewed
-    join key that AQE splits.  NULLs rank last, as in the window form.
+    The rows are range-partitioned on the value, highest first, and
+    checkpointed to the shared folder, which fixes the ranges (a recomputed
+    split could shift their bounds) and computes ``df`` once.  Equal values
+    share a range, so the built-in rank within a range plus the number of
+    distinct values in the ranges before it is the rank; one row per range is
+    all that is gathered for the offsets.  NULLs rank last, as in the window
+    form.
     """
-    import numpy as np
-
     from cartwright.session import checkpoint_root
 
     spark = df.sparkSession
     checkpoint_root(spark)
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    values = df.select(F.col(value).alias("_v")).where(F.col("_v").isNotNull()).distinct()
     ranged = (
-        values.repartitionByRange(n, F.col("_v").desc())
-        .sortWithinPartitions(F.col("_v").desc())
-        .withColumn("_pid", F.spark_partition_id())
+        df.repartitionByRange(n, F.col(value).desc_nulls_last())
+        .withColumn("_range", F.spark_partition_id())
         .checkpoint()
     )
-    sizes = {r["_pid"]: r["count"] for r in ranged.groupBy("_pid").count().collect()}
-    offsets, running = {}, 0
-    for pid in sorted(sizes):
-        offsets[pid] = running
-        running += sizes[pid]
-    total_distinct = running
-
-    def number(batches):
-        position = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            ranks = offsets[pid] + position + np.arange(1, len(pdf) + 1, dtype="int64")
-            position += len(pdf)
-            yield pdf.assign(_rank=ranks.astype("int32"))[["_v", "_rank"]]
-
-    ranks = ranged.mapInPandas(
-        number, schema=T.StructType([ranged.schema["_v"], T.StructField("_rank", T.IntegerType())])
+    within = Window.partitionBy("_range").orderBy(F.col(value).desc_nulls_last())
+    ranked = ranged.withColumn("_rank", F.dense_rank().over(within))
+    sizes = ranked.groupBy("_range").agg(F.max("_rank").alias("_distinct"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_distinct").over(before), F.lit(0)).alias("_offset"))
+    return (
+        ranked.join(F.broadcast(offsets), "_range")      # at most ``n`` rows
+        .withColumn(name, (F.col("_rank") + F.col("_offset")).cast("int"))
+        .drop("_range", "_rank", "_offset")
     )
-    joined = df.join(ranks, df[value].eqNullSafe(ranks["_v"]), "left").drop("_v")
-    return joined.withColumn(
-        name, F.coalesce(F.col("_rank"), F.when(F.col(value).isNull(), F.lit(total_distinct + 1)))
-    ).drop("_rank")

@@ -49,14 +49,27 @@ def canonical_projection(master: DataFrame) -> DataFrame:
     )
 
 
-def analytics_orders(master: DataFrame) -> DataFrame:
+def analytics_orders(master: DataFrame, unique: bool = False) -> DataFrame:
     """Canonical order rows: non-NULL ``order_id``, one row per order.
 
     The NULL filter sits on the dedup key, so Catalyst pushes it below the
-    aggregate and into the Parquet scan.
+    aggregate and into the Parquet scan.  ``unique`` declares that the master
+    has one row per order by construction, which skips the dedup and lets the
+    optimizer drop whatever a report does not read; a persisted or foreign
+    master makes no such promise.
     """
     rows = canonical_projection(master).where(F.col("order_id").isNotNull())
-    return dedup_by_key(rows, ["order_id"])
+    return rows if unique else dedup_by_key(rows, ["order_id"])
+
+
+def analytics_from_tables(t: CommerceTables) -> DataFrame:
+    """Analytics orders straight from the source tables.  Orders, items and
+    payments are at order grain; customers are reduced to one row per
+    ``customer_id`` (hash-partitioned as the join needs them), so no join can
+    repeat an order and no second dedup of whole order rows is needed."""
+    one_each = dedup_by_key(t.customers, ["customer_id"], prefer=["customer_unique_id", "customer_state"])
+    return analytics_orders(build_master(
+        clean_orders(t.orders), aggregate_items(t.order_items), one_each, aggregate_payments(t.payments)), unique=True)
 
 
 def delivery_view(analytics: DataFrame) -> DataFrame:

@@ -34,15 +34,16 @@ from cartwright.operators.joins import (
 from cartwright.plans import insights as D
 from cartwright.plans import reports as R
 from cartwright.plans.analytics import (
-    analytics_orders, canonical_projection, delivery_view, master_from_tables, orders_summary,
+    analytics_from_tables, canonical_projection, delivery_view, master_from_tables, orders_summary,
     register_views,
 )
+from cartwright.plans.sql_runner import run_sql_files
 from cartwright.session import scratch_path
 from cartwright.sinks import writers as K
 from cartwright.sources import readers as S
 from cartwright.sources.adapters import CommerceTables, load_commerce, read_table
 from cartwright.sources.schemas import (
-    COUNTED_SOURCES, EXPECTED_COLUMNS, MASTER_COLUMNS, REQUIRED_INPUTS, SCHEMAS,
+    COUNTED_SOURCES, EXPECTED_COLUMNS, MASTER_COLUMNS, RAW_SCHEMAS, REQUIRED_INPUTS, SCHEMAS, SUMMARY_COLUMNS,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,7 +75,7 @@ def _master(spark, sf_dir) -> DataFrame:
 
 
 def _analytics(spark, sf_dir) -> DataFrame:
-    return analytics_orders(_master(spark, sf_dir))
+    return analytics_from_tables(_tables(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- reports (R1-R6)
@@ -403,12 +404,16 @@ def q_delivery_view(spark, sf_dir):
 
 @query("run_reports")
 def q_run_reports(spark, sf_dir):
+    """Every value of every report, in long form."""
     reports = R.run_reports(_analytics(spark, sf_dir))
-    return P.union_all([
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("report_name"), "row_count")
-        for name, df in reports.items()
-    ])
+    return P.union_all([R.long_form(n, df, R.KEY_COLUMNS.get(n, 1)) for n, df in reports.items()])
+
+
+@query("sql_file_reports")
+def q_sql_file_reports(spark, sf_dir):
+    """The packaged SQL files over the registered views, in long form."""
+    found = run_sql_files(spark, _analytics(spark, sf_dir))
+    return P.union_all([R.long_form(n, df) for n, df in sorted(found.items())])
 
 
 @query("report_preview")
@@ -486,7 +491,7 @@ def q_null_percentage(spark, sf_dir):
 @query("column_types")
 def q_column_types(spark, sf_dir):
     return P.union_all([P.column_stats(df, n) for n, df in _registry(spark, sf_dir).items()]) \
-        .select("table_name", "position", "column_name", "data_type")
+        .select("table_name", "position", "column_name", "data_type", "inferred_type")
 
 
 @query("logical_bytes")
@@ -542,30 +547,41 @@ def q_schema_diff(spark, sf_dir):
 
 # ---------------------------------------------------------------- data quality (Q8-Q11, Q16)
 
-@query("dq_report")
-def q_dq_report(spark, sf_dir):
+def _dq_datasets(spark, sf_dir) -> dict[str, tuple]:
+    """Dataset: frame, keys, required columns.  The last three break rules: a
+    source that does not follow the data dictionary, approvals that were never
+    filled in, and a status that no order has."""
     t = _tables(spark, sf_dir)
-    master = master_from_tables(t)
+    order = ("order_id", "order_status")
+    unapproved = t.orders.withColumn("order_approved_at", F.when(F.col("order_id") < 0, F.col("order_approved_at")))
+    return {
+        "master_orders": (master_from_tables(t), ["order_id"], order),
+        "order_items": (t.order_items, ["order_id", "order_item_id"], ("order_id", "order_item_id")),
+        "raw_orders": (read_table(spark, sf_dir, "orders"), ["order_id"], order),
+        "unapproved_orders": (unapproved, ["order_id"], (*order, "order_approved_at")),
+        "lost_orders": (t.orders.where(F.col("order_status") == "lost"), ["order_id"], order),
+    }
+
+
+def _dq(spark, sf_dir, rules=Q.RULES) -> DataFrame:
     return P.union_all([
-        Q.dq_report(master, "order_id").select(F.lit("master_orders").alias("dataset"), "*"),
-        Q.dq_report(t.order_items, ["order_id", "order_item_id"],
-                    ("order_id", "order_item_id")).select(
-            F.lit("order_items").alias("dataset"), "*"),
-    ])
+        Q.dq_report(df, keys, required, rules).select(F.lit(name).alias("dataset"), "*")
+        for name, (df, keys, required) in _dq_datasets(spark, sf_dir).items()])
 
 
-def _rule(spark, sf_dir, rule):
-    return q_dq_report(spark, sf_dir).where(F.col("rule") == rule)
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    return _dq(spark, sf_dir)
 
 
 @query("dq_required_columns")
 def q_dq_required(spark, sf_dir):
-    return _rule(spark, sf_dir, "required_columns")
+    return _dq(spark, sf_dir, ["required_columns", "filled_columns"])
 
 
 @query("dq_non_empty")
 def q_dq_non_empty(spark, sf_dir):
-    return _rule(spark, sf_dir, "non_empty")
+    return _dq(spark, sf_dir, ["non_empty"])
 
 
 @query("null_key_count")
@@ -598,29 +614,13 @@ def q_source_row_counts(spark, sf_dir):
     ])
 
 
-_CSV_DROPS: dict[tuple[str, str], dict[str, str]] = {}
-
-
 def _write_registry_csv(spark, sf_dir) -> dict[str, str]:
-    """The canonical tables as a CSV drop under the shared scratch folder.
-
-    The scan operators (tolerant scan, text profile, empty fields) are what
-    these keys measure; the drop they read is deterministic, so it is
-    written once per application and input directory and reused while its
-    files exist.  (Writes are measured by the round-trip keys.)
-    """
-    from cartwright.sources.fs import path_exists
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    paths = _CSV_DROPS.get(key)
-    if paths and all(path_exists(p) for p in paths.values()):
-        return paths
+    """The canonical tables as a CSV drop under the shared scratch folder."""
     root = scratch_path(spark, "raw_csv")
     paths = {}
     for name, df in _registry(spark, sf_dir).items():
         paths[name] = f"{root}/{name}"
         K.write_csv(df, paths[name])
-    _CSV_DROPS[key] = paths
     return paths
 
 
@@ -631,6 +631,24 @@ def q_scan_csv_roundtrip(spark, sf_dir):
     return S.read_csv_typed(spark, path, SCHEMAS["orders"])
 
 
+@query("csv_header_binding")
+def q_csv_header_binding(spark, sf_dir):
+    """A seller drop whose header is in another order, lacks the zip prefix
+    and has a column of its own: values must come by name, and the scan must
+    say what the header lacks and has besides."""
+    sellers = _tables(spark, sf_dir).sellers
+    path = scratch_path(spark, "sellers_csv")
+    K.write_csv(sellers.select(
+        "seller_state", F.concat(F.lit("x"), F.col("seller_id").cast("string")).alias("seller_note"), "seller_city",
+        "seller_id"), path)
+    scan = S.tolerant_scan(spark, "sellers", path, SCHEMAS["sellers"])
+    valid, _, _ = P.schema_diff(scan.header, EXPECTED_COLUMNS["sellers"])
+    return scan.frame.drop(S.CORRUPT).select(
+        "*", F.lit(scan.status).alias("status"), F.lit(valid).alias("schema_valid"),
+        F.lit(",".join(scan.header)).alias("header"), F.lit(",".join(scan.missing_columns)).alias("missing_columns"),
+        F.lit(",".join(scan.extra_columns)).alias("extra_columns"))
+
+
 @query("empty_fields")
 def q_empty_fields(spark, sf_dir):
     """Empty CSV fields per written table (NULLs are written as empty)."""
@@ -646,27 +664,34 @@ def q_empty_fields(spark, sf_dir):
     return P.union_all(frames)
 
 
-@query("tolerant_scan")
-def q_tolerant_scan(spark, sf_dir):
-    """All data-dictionary inputs; reviews and geolocation have no data and
-    report ``missing`` instead of failing the scan."""
+def _scans(spark, sf_dir) -> dict[str, S.ScanResult]:
+    """All data-dictionary inputs of a drop that has no reviews and no
+    geolocation and in which one row of the order items is too long."""
     paths = _write_registry_csv(spark, sf_dir)
     root = next(iter(paths.values())).rsplit("/", 1)[0]
+    broken = spark.range(1).select(F.lit("1,1,1,1,1996-01-01T00:00:00.000,1.00,1.00,one field too many").alias("value"))
+    header = spark.range(1).select(F.lit(",".join(SCHEMAS["order_items"].names)).alias("value"))
+    header.unionByName(broken).coalesce(1).write.mode("append").text(paths["order_items"])
+    return {name: S.tolerant_scan(spark, name, paths.get(name, f"{root}/{name}"),
+                                  SCHEMAS.get(name) or RAW_SCHEMAS[name]) for name in REQUIRED_INPUTS}
+
+
+@query("tolerant_scan")
+def q_tolerant_scan(spark, sf_dir):
+    """Status, rows, rows that the parser could not fit and rows with NULLs of
+    every input; absent ones report ``missing`` instead of failing the scan."""
     frames = []
-    for name in REQUIRED_INPUTS:
-        schema = SCHEMAS.get(name) or T.StructType(
-            [T.StructField(c, T.StringType()) for c in EXPECTED_COLUMNS[name]])
-        scan = S.tolerant_scan(spark, name, paths.get(name, f"{root}/{name}"), schema)
+    for name, scan in _scans(spark, sf_dir).items():
         if scan.frame is None:
             frames.append(spark.range(1).select(
                 F.lit(name).alias("table_name"), F.lit(scan.status).alias("status"),
                 F.lit(0).cast("bigint").alias("row_count"), F.lit(0).cast("bigint").alias("corrupt_rows"),
                 F.lit(0).cast("bigint").alias("rows_with_nulls")))
         else:
-            data_cols = [c for c in scan.frame.columns if c != S.CORRUPT]
             any_null = F.lit(False)
-            for c in data_cols:
-                any_null = any_null | F.col(c).isNull()
+            for c in scan.frame.columns:
+                if c != S.CORRUPT:
+                    any_null = any_null | F.col(c).isNull()
             frames.append(scan.frame.agg(
                 F.count(F.lit(1)).alias("row_count"),
                 F.count(S.CORRUPT).alias("corrupt_rows"),
@@ -678,42 +703,35 @@ def q_tolerant_scan(spark, sf_dir):
 
 @query("input_completeness")
 def q_input_completeness(spark, sf_dir):
-    reg = _registry(spark, sf_dir)
+    """Which required inputs storage holds, readable and with rows."""
     frames = []
-    for name in REQUIRED_INPUTS:
-        if name in reg:
-            frames.append(reg[name].agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("table_name"), F.lit(True).alias("present"), "row_count"))
-        else:
-            frames.append(spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(False).alias("present"),
-                F.lit(0).cast("bigint").alias("row_count")))
+    for name, scan in _scans(spark, sf_dir).items():
+        counted = (scan.frame if scan.frame is not None else spark.range(0)).agg(F.count(F.lit(1)).alias("row_count"))
+        frames.append(counted.select(
+            F.lit(name).alias("table_name"), F.lit(scan.status != "missing").alias("present"),
+            (F.lit(scan.status == "loaded") & (F.col("row_count") > 0)).alias("complete"), "row_count"))
     return P.union_all(frames)
 
 
 @query("text_profile")
 def q_text_profile(spark, sf_dir):
-    """Per written CSV table: records (CSV-aware), naive line-based rows,
-    header width and text, files and bytes."""
-    paths = _write_registry_csv(spark, sf_dir)
+    """Per written CSV table: records (CSV-aware), line-based data rows, header
+    and the bytes without headers.  Only values that do not depend on how the
+    writer split the files; the header is all that is read while building."""
     frames = []
-    for name, path in paths.items():
-        csv = spark.read.options(**S.csv_options()).csv(path)
-        header = ",".join(csv.columns)
-        lines = S.text_lines(spark, path)
-        per_file = lines.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("lines"))
+    for name, path in _write_registry_csv(spark, sf_dir).items():
+        names = S.csv_header(spark, path)
+        header = ",".join(names)
+        records = spark.read.schema(", ".join(f"`{c}` string" for c in names)).options(
+            **S.csv_options(name in S.MULTILINE_TABLES)).csv(path).agg(F.count(F.lit(1))).scalar()
+        per_file = S.text_lines(spark, path).groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("lines"))
         frames.append(per_file.agg(
-            F.count(F.lit(1)).alias("files"),
             F.sum(F.col("lines") - 1).alias("line_rows"),
-            F.sum("file_size").alias("file_bytes"),
+            F.sum(F.col("file_size") - F.lit(len(header.encode()) + 1)).alias("data_bytes"),
         ).select(
-            F.lit(name).alias("table_name"),
-            F.lit(csv.count()).cast("bigint").alias("records"),
-            F.col("line_rows").cast("bigint").alias("line_rows"),
-            F.lit(len(csv.columns)).alias("header_columns"),
-            F.lit(header).alias("header"),
-            "files", F.col("file_bytes").cast("bigint").alias("file_bytes"),
-        ))
+            F.lit(name).alias("table_name"), records.alias("records"), F.col("line_rows").cast("bigint").alias("line_rows"),
+            F.lit(len(names)).alias("header_columns"), F.lit(header).alias("header"),
+            F.col("data_bytes").cast("bigint").alias("data_bytes")))
     return P.union_all(frames)
 
 
@@ -730,24 +748,35 @@ def q_master_parquet_roundtrip(spark, sf_dir):
 
 @query("report_csv_roundtrip")
 def q_report_csv_roundtrip(spark, sf_dir):
+    """Every value of the report CSVs, read back, in long form."""
     root = scratch_path(spark, "reports")
     frames = []
     analytics = _analytics(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, df in R.run_reports(analytics).items():
-            path = K.write_report(df, root, name)
-            back = S.read_csv_typed(spark, path, df.schema)
-            frames.append(back.agg(
-                F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(name).alias("report_name"), "row_count",
-                F.lit(len(back.columns)).alias("column_count")))
+            back = S.read_csv_typed(spark, K.write_report(df, root, name), df.schema)
+            frames.append(R.long_form(name, back, R.KEY_COLUMNS.get(name, 1)))
     finally:
         analytics.unpersist()
     return P.union_all(frames)
 
 
+@query("orders_summary_csv")
+def q_orders_summary_csv(spark, sf_dir):
+    """The order summary as the transform writes it, read back."""
+    summary = orders_summary(_master(spark, sf_dir))
+    path = scratch_path(spark, "orders_summary")
+    K.write_csv(summary, path)
+    return edge(S.read_csv_typed(spark, path, summary.schema).select(*SUMMARY_COLUMNS))
+
+
 @query("profile_json")
 def q_profile_json(spark, sf_dir):
     path = scratch_path(spark, "profile_json")
-    K.write_json(P.profile_tables(_registry(spark, sf_dir), EXPECTED_COLUMNS), path)
-    return spark.read.json(path)
+    profile = P.profile_tables(_registry(spark, sf_dir), EXPECTED_COLUMNS, columns=True)
+    K.write_json(profile, path)
+    back = spark.read.schema(profile.schema).json(path)
+    # maps as sorted "name=value" lists, which compare alike everywhere
+    return back.withColumns({
+        name: F.array_sort(F.transform(F.map_entries(name), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))))
+        for _, name in P.COLUMN_MAPS})

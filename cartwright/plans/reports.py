@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.functions.scalars import cents, half_up_ratio, month_name
 from cartwright.operators.windows import (
@@ -165,3 +166,25 @@ def run_reports(analytics: DataFrame) -> dict[str, DataFrame]:
     """All reports over one analytics relation (cache it first when several
     reports are executed)."""
     return {name: fn(analytics) for name, fn in REPORTS.items()}
+
+
+def long_form(name: str, report: DataFrame, keys: int = 1) -> DataFrame:
+    """A report's values in one shape for all reports: report_name, row_key
+    (its first ``keys`` columns as text), column_name, text_value,
+    number_value."""
+    columns = report.schema.fields
+    key = F.concat_ws("|", *[F.col(f.name).cast("string") for f in columns[:keys]])
+
+    def cell(f):
+        text = isinstance(f.dataType, (T.StringType, T.DateType, T.BooleanType))
+        return F.struct(
+            F.lit(f.name).alias("column_name"),
+            (F.col(f.name).cast("string") if text else F.lit(None).cast("string")).alias("text_value"),
+            (F.lit(None).cast("double") if text else F.col(f.name).cast("double")).alias("number_value"))
+
+    return report.select(F.lit(name).alias("report_name"), key.alias("row_key"),
+                         F.inline(F.array(*[cell(f) for f in columns])))
+
+
+#: Leading columns that tell a report's rows apart, where it is not just one.
+KEY_COLUMNS = {"monthly_revenue": 2}

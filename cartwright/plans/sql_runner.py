@@ -21,7 +21,11 @@ def read_statement(path: str) -> str:
         return fh.read().strip().rstrip(";").strip()
 
 
-def run_sql_files(spark: SparkSession, analytics: DataFrame, sql_dir: str) -> dict[str, DataFrame]:
+#: Report statements that come with the library.
+PACKAGED_SQL = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "sql")
+
+
+def run_sql_files(spark: SparkSession, analytics: DataFrame, sql_dir: str = PACKAGED_SQL) -> dict[str, DataFrame]:
     register_views(spark, analytics)
     files = sorted(glob.glob(os.path.join(sql_dir, "*.sql")))
     statements = {os.path.splitext(os.path.basename(f))[0]: read_statement(f) for f in files}

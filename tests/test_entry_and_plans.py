@@ -6,10 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from cartwright.plans.catalog import CATALOG
 from cartwright.operators.windows import dense_rank_distributed, share_of_total
 from conftest import SF_SMALL
 
-ROWS_ONLY = {"text_profile"}
+ROWS_ONLY: set[str] = set()
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -21,9 +22,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_unless_rows_only():
-    q, sql = E.queries(), E.oracle_sql()
-    assert set(q) - set(sql) == ROWS_ONLY
-    assert set(sql) <= set(q)
+    sql = E.oracle_sql()
+    assert set(CATALOG) - set(sql) == ROWS_ONLY
+    assert set(CATALOG) <= set(E.queries()) and set(sql) <= set(E.queries())
 
 
 def _norm(v):
@@ -53,7 +54,9 @@ def duck():
 
 SPOT = ["order_status_report", "monthly_revenue_report", "state_performance_report",
         "running_revenue_report", "delivery_analysis_report", "build_master", "dedup_order_lines",
-        "seller_performance", "profile_all_tables", "dq_report", "share_of_total", "schema_resolve"]
+        "seller_performance", "profile_json", "dq_report", "share_of_total", "schema_resolve",
+        "csv_header_binding", "text_profile", "input_completeness", "tolerant_scan", "column_types",
+        "run_reports", "sql_file_reports", "orders_summary_csv", "duplicate_rows", "item_master"]
 
 
 @pytest.mark.parametrize("key", SPOT)
@@ -80,9 +83,10 @@ def _plan(df):
 
 
 def test_no_cartesian_products_anywhere(spark):
-    for key, fn in E.queries().items():
+    for key, fn in CATALOG.items():
         if key in ROWS_ONLY or "roundtrip" in key or key in (
-                "output_contract", "empty_fields", "tolerant_scan", "profile_json"):
+                "output_contract", "empty_fields", "tolerant_scan", "profile_json", "input_completeness",
+                "text_profile", "csv_header_binding", "orders_summary_csv"):
             continue
         plan = _plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in plan, key
@@ -121,9 +125,33 @@ def _single_partition_inputs(plan: str):
 def test_single_partition_exchanges_only_take_aggregated_rows(spark):
     """A global window or total may only gather rows that an aggregate has
     already reduced (report grain, or one partial row per partition)."""
-    writers = {"output_contract", "empty_fields", "tolerant_scan", "profile_json", "text_profile"}
-    for key, fn in E.queries().items():
+    writers = {"output_contract", "empty_fields", "tolerant_scan", "profile_json", "text_profile",
+               "input_completeness", "csv_header_binding", "orders_summary_csv"}
+    for key, fn in CATALOG.items():
         if "roundtrip" in key or key in writers:
             continue
         for child in _single_partition_inputs(_plan(fn(spark, SF_SMALL))):
             assert child in ("HashAggregate", "ObjectHashAggregate", "SortAggregate"), (key, child)
+
+
+def _jobs(spark, build):
+    """Jobs that run while a query is built."""
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("key", ["enrich_products", "item_master", "order_status_report", "duplicate_rows", "dq_report"])
+def test_building_a_query_runs_no_job(spark, key):
+    assert _jobs(spark, lambda: CATALOG[key](spark, SF_SMALL)) == 0
+
+
+def test_order_status_reads_only_what_it_needs(spark):
+    plan = _plan(CATALOG["order_status_report"](spark, SF_SMALL))
+    assert "customer.parquet" not in plan and "nation.parquet" not in plan
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") <= 1
+    assert plan.count("Exchange hashpartitioning") <= 3
+    assert "l_extendedprice" not in plan

@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from cartwright.operators import profile as P
 from cartwright.operators import quality as Q
 from conftest import rows
@@ -15,9 +17,27 @@ def test_duplicate_rows_treats_nulls_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, None), (2, "x"), (2, "y")], "a int, b string")
     assert P.duplicate_row_count(df).collect()[0][0] == 2
     assert P.duplicate_row_count(df.limit(0)).collect()[0][0] == 0
-    assert P.duplicate_row_count(df, approximate=True).collect()[0][0] == 2
     swapped = spark.createDataFrame([(None, "x"), ("x", None)], "a string, b string")
-    assert P.duplicate_row_count(swapped, approximate=True).collect()[0][0] == 0
+    assert P.duplicate_row_count(swapped).collect()[0][0] == 0
+
+
+def test_duplicate_rows_are_exact_when_hashes_collide(spark):
+    df = spark.createDataFrame([(i, str(i % 3)) for i in range(20)] + [(3, "0"), (3, "0")], "a int, b string")
+    for modulus in (1, 2, 7):
+        got = P.duplicate_row_count(df, row_hash=lambda cols: F.col(cols[0]) % modulus).collect()[0][0]
+        assert got == 2
+    plan = P.duplicate_row_count(df)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan                      # full rows are compared only where hashes repeat
+
+
+def test_inferred_types_follow_the_values(spark):
+    df = spark.createDataFrame([("1", "1.5", "2018-01-02", "true", "x", None), ("-7", "2", "2018-01-02 03:04:05", "FALSE", "1", None)],
+                               "a string, b string, c string, d string, e string, f string")
+    got = {r["column_name"]: (r["data_type"], r["inferred_type"]) for r in P.column_stats(df, "t").collect()}
+    assert got == {"a": ("string", "bigint"), "b": ("string", "double"), "c": ("string", "timestamp"),
+                   "d": ("string", "boolean"), "e": ("string", "string"), "f": ("string", "void")}
+    p = P.profile_table(df, "t", columns=True).collect()[0]
+    assert p["inferred_types"]["b"] == "double" and p["null_counts"] == {**dict.fromkeys("abcde", 0), "f": 2}
 
 
 def test_profile_table_schema_diff(spark):
@@ -43,3 +63,10 @@ def test_dq_report_rules_and_gate(spark):
     empty = spark.createDataFrame([], "order_id string, order_status string")
     with pytest.raises(RuntimeError):
         Q.assert_passed(Q.dq_report(empty))
+
+
+def test_required_columns_must_hold_values(spark):
+    hollow = spark.createDataFrame([(1, None), (2, None)], "order_id int, order_status string")
+    got = Q.dq_report(hollow, rules=["required_columns", "filled_columns"]).collect()
+    assert [(r["rule"], r["observed"], r["passed"]) for r in got] == [
+        ("required_columns", 0, True), ("filled_columns", 1, False)]
