@@ -293,8 +293,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(id, class_id): one row per row of ``docs``; class_id is the least id
-    among the rows that are connected by pairs of similarity >= threshold.
+    """(id, class_id, class_size, class_key, text_key): one row per row of
+    ``docs``; class_id is the least id among the rows that are connected by
+    pairs of similarity >= threshold, class_key a hash that tells classes apart
+    where ids do not, text_key the hash of the row's text.
 
     Equal texts are always one class (texts are told apart by a 64-bit hash);
     NULL counts as the empty text.  Texts without words are in a class with
@@ -329,6 +331,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
         "b", "lo", "hi").mapInArrow(_verify(threshold), "a bigint, b bigint")
     roots = components(links)
     grouped = rows.select("id", "t").join(roots, F.col("t") == F.col("node"), "left").select(
-        "id", F.coalesce("root", "t").alias("g"))
+        "id", F.coalesce("root", "t").alias("g"), "t")
     first = grouped.groupBy("g").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return grouped.join(first, "g").select(F.col("id").alias(id_col), "class_id", "class_size")
+    return grouped.join(first, "g").select(
+        F.col("id").alias(id_col), "class_id", "class_size", F.col("g").alias("class_key"), F.col("t").alias("text_key"))

@@ -184,21 +184,20 @@ def apply_bitmap(text: bytes, bitmap: bytes | None) -> tuple[int, int, bytes]:
 
 def dedup_lines(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, min_chars: int = 1,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row columns of ``docs``, _n_lines, _n_dropped, _kept): lines whose key
-    has at least ``min_chars`` characters and stands in at least ``min_docs``
-    documents are dropped, all of them or all but the first occurrence (least
-    id, then position).
+    """(row, n_lines, n_dropped, kept): ``row`` is a struct of all columns of
+    ``docs`` as they were, ``kept`` the UTF-8 of the remaining lines.  Lines
+    whose key has at least ``min_chars`` characters and stands in at least
+    ``min_docs`` documents are dropped, all of them or all but the first
+    occurrence (least id, then position).
 
     Rows of equal id count as one document; NULL ids are one document too.
-    NULL and empty texts are one empty line, which has no key to drop.  All
-    columns of ``docs`` are returned unchanged; the three new names must not
-    occur in it.  An empty table stays empty.
+    NULL and empty texts are one empty line, which has no key to drop.  An
+    empty table stays empty.
     """
-    marks = keep_bitmaps(docs, min_docs, keep_first, min_chars, id_col, text_col).select(
-        F.col("doc").alias("_doc"), F.col("txt").alias("_txt"), F.col("dropped").alias("_dropped"))
-    rows = docs.withColumn("_utf8", utf8(text_col))
-    joined = rows.join(marks, F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("_doc"))
-                       & (F.xxhash64("_utf8") == F.col("_txt")), "left")
+    marks = keep_bitmaps(docs, min_docs, keep_first, min_chars, id_col, text_col)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col(f"`{id_col}`").cast("bigint").alias("own"), utf8(text_col).alias("utf8"))
+    joined = rows.join(marks, F.col("own").eqNullSafe(F.col("doc")) & (F.xxhash64("utf8") == F.col("txt")), "left")
 
     @F.pandas_udf("n_lines bigint, n_dropped bigint, kept binary")
     def split(text, bitmap):
@@ -207,6 +206,4 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, min
         done = [apply_bitmap(t, b) for t, b in zip(text, bitmap)]
         return pd.DataFrame(done, columns=["n_lines", "n_dropped", "kept"])
 
-    return joined.withColumn("_s", split("_utf8", "_dropped")).select(
-        *(F.col(f"`{c}`") for c in docs.columns), F.col("_s.n_lines").alias("_n_lines"),
-        F.col("_s.n_dropped").alias("_n_dropped"), F.col("_s.kept").alias("_kept"))
+    return joined.select("row", split("utf8", "dropped").alias("s")).select("row", "s.*")

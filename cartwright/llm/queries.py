@@ -24,7 +24,7 @@ TEMPLATE_TURNS = [(-7, 0, "user", TEMPLATE_TEXT), (-7, 1, "assistant", TEMPLATE_
 
 
 def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dart_minhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return dart_minhash.near_duplicates(load(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,8 +54,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, LINE_MIN_DOCS, keep_first=False).select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"))
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op7_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,8 +28,10 @@ def brute(rows, min_docs, keep_first, min_chars=1):
 
 def got(spark, rows, **how):
     df = L.dedup_lines(table(spark, rows), **how)
-    assert df.columns[:9] == table(spark, []).columns
-    return sorted(((r["doc_id"], r["_n_lines"], r["_n_dropped"], bytes(r["_kept"]).decode()) for r in df.collect()), key=repr)
+    back = df.select("row.*")
+    assert back.schema == table(spark, rows).schema
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, table(spark, rows).collect()), key=repr)
+    return sorted(((r["row"]["doc_id"], r["n_lines"], r["n_dropped"], bytes(r["kept"]).decode()) for r in df.collect()), key=repr)
 
 
 def corpus():
