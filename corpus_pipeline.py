@@ -21,32 +21,38 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(quality_cnn.score_column(net, spark) >= quality_cnn.THRESHOLD)
 
 
-def _with_text(docs: DataFrame, text) -> list:
-    """The columns of ``docs`` with another text and its length."""
+def _row(docs: DataFrame):
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def _with_text(rows: DataFrame, text, columns: list[str]) -> DataFrame:
+    """The columns, held by the struct ``row``, with another text and its length."""
     new = {"text": text, "n_chars": F.length(text).cast("bigint")}
-    return [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
+    return rows.select(*(new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand in ten or more documents go."""
-    return line_dedup.dedup_lines(docs, LINE_MIN_DOCS, keep_first=False).select(
-        *_with_text(docs, F.col("_kept").cast("string")))
+    return _with_text(line_dedup.dedup_lines(docs, LINE_MIN_DOCS, keep_first=False), F.col("kept").cast("string"),
+                      docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays: the one with the least id (of rows
-    of that id, the one whose text hashes lowest)."""
+    """One document of each class stays: the one with the least id, NULL last
+    (of equal ids, the one whose text hashes lowest; of repeated rows, one)."""
     classes = dart_minhash.near_duplicates(docs)
-    leaders = classes.groupBy(F.col("class_id").alias("_keep")).agg(F.count("*").alias("_rows")).select("_keep")
-    first = docs.withColumn("_h", F.xxhash64(utf8())).join(
-        leaders, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return first.groupBy("doc_id").agg(F.min_by(F.struct(*names), "_h").alias("_r")).select("_r.*")
+    least = classes.groupBy("class_key").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("i"), F.col("text_key").alias("t"))).alias("m"))
+    rows = docs.select(_row(docs), F.col("doc_id").alias("id"), F.xxhash64(utf8()).alias("text_hash"))
+    kept = rows.join(least.select("m.i", "m.t"), F.col("id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")),
+                     "left_semi")
+    return kept.groupBy("id", "text_hash").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are redacted within the texts."""
-    return docs.select(*_with_text(docs, secrets.redacted_column()))
+    rows = docs.select(_row(docs), secrets.redacted_column().alias("redacted"))
+    return _with_text(rows, F.col("redacted"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
