@@ -22,7 +22,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 SKIP = {"tolerant_scan", "text_profile", "profile_json", "empty_fields", "output_contract",
-        "scan_csv_roundtrip", "master_parquet_roundtrip", "report_csv_roundtrip"}
+        "scan_csv_roundtrip", "master_parquet_roundtrip", "report_csv_roundtrip", "input_completeness",
+        "csv_header_binding", "orders_summary_csv"}
 
 
 def summarize(plan: str) -> dict:
@@ -45,11 +46,12 @@ def main() -> int:
     ap.add_argument("--out", default=os.path.join(ROOT, "PLANS.md"))
     args = ap.parse_args()
 
-    import __spark_entry__ as E
     from cartwright.session import build_session
 
     spark = build_session(master="local[4]", shuffle_partitions=8)
-    qs = E.queries()
+    from cartwright.plans.catalog import CATALOG
+
+    qs = dict(CATALOG)
     rows = []
     for key, fn in qs.items():
         if key in SKIP:
