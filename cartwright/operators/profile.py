@@ -52,6 +52,26 @@ INFERRED = (
 )
 
 
+def _fits(f: T.StructField) -> Column:
+    """Bits of the types in ``INFERRED`` that a value's text fits.  What the
+    text of integers, decimals, dates, timestamps and booleans looks like is
+    known, so only text and floating-point values are matched."""
+    c, bit = F.col(f.name), {name: 1 << k for k, (name, _) in enumerate(INFERRED)}
+    if isinstance(f.dataType, T.IntegralType):
+        return F.when(F.abs(c.cast("decimal(20,0)")) < F.lit(10 ** 18).cast("decimal(20,0)"),
+                      F.lit(bit["bigint"] | bit["double"])).otherwise(F.lit(bit["double"]))
+    if isinstance(f.dataType, T.DecimalType) and f.dataType.scale > 0:
+        return F.lit(bit["double"])
+    if isinstance(f.dataType, T.BooleanType):
+        return F.lit(bit["boolean"])
+    if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.when(F.year(c).between(0, 9999), F.lit(bit["timestamp"])).otherwise(F.lit(0))
+    text, flags = c.cast("string"), F.lit(0)
+    for name, pattern in INFERRED:
+        flags = flags + F.when(text.rlike(pattern), F.lit(bit[name])).otherwise(F.lit(0))
+    return flags
+
+
 def _inferred(bits: Column) -> Column:
     kind = F.lit("string")
     for k, (name, _) in reversed(list(enumerate(INFERRED))):
@@ -59,31 +79,29 @@ def _inferred(bits: Column) -> Column:
     return F.when(bits.isNull(), F.lit("void")).otherwise(kind)
 
 
-def column_stats(df: DataFrame, table_name: str) -> DataFrame:
+def column_stats(df: DataFrame, table_name: str, infer: bool = True) -> DataFrame:
     """One row per column: table_name, position, column_name, data_type
     (declared), inferred_type, row_count, null_count, null_percentage,
     logical_bytes.  One scan.
 
     ``inferred_type`` comes from the values: the first type that the text of
-    every non-NULL value fits, else string; void where all are NULL."""
+    every non-NULL value fits, else string; void where all are NULL.  Without
+    ``infer`` it is NULL."""
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         aggs.append(F.count_if(F.col(f.name).isNull()).alias(f"_n{i}"))
         aggs.append(F.sum(value_bytes(f.name, f.dataType)).alias(f"_b{i}"))
-        text = F.col(f.name).cast("string")
-        # a bit for each type that the text fits; those that all values fit remain
-        flags = F.lit(0)
-        for k, (_, pattern) in enumerate(INFERRED):
-            flags = flags + F.when(text.rlike(pattern), F.lit(1 << k)).otherwise(F.lit(0))
-        aggs.append(F.bit_and(F.when(text.isNotNull(), flags)).alias(f"_t{i}"))
+        if infer:
+            # a bit for each type that a value fits; those that all values fit remain
+            aggs.append(F.bit_and(F.when(F.col(f.name).isNotNull(), _fits(f))).alias(f"_t{i}"))
     one = df.agg(*aggs)
     per_col = F.array(*[
         F.struct(
             F.lit(i + 1).alias("position"),
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
-            _inferred(F.col(f"_t{i}")).alias("inferred_type"),
+            (_inferred(F.col(f"_t{i}")) if infer else F.lit(None).cast("string")).alias("inferred_type"),
             F.col(f"_n{i}").alias("null_count"),
             F.coalesce(F.col(f"_b{i}"), F.lit(0).cast("bigint")).alias("logical_bytes"),
         )
@@ -145,7 +163,7 @@ def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = N
         pairs = F.array_sort(F.collect_list(F.struct("position", F.struct("column_name", c).alias("kv"))))
         return F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["kv"]["column_name"], p["kv"][c])))
 
-    stats = column_stats(df, table_name).groupBy("table_name").agg(
+    stats = column_stats(df, table_name, infer=columns).groupBy("table_name").agg(
         F.max("row_count").alias("row_count"),
         F.count(F.lit(1)).alias("column_count"),
         F.sum("null_count").alias("null_cells"),

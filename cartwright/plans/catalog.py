@@ -478,13 +478,13 @@ def _registry(spark, sf_dir) -> dict[str, DataFrame]:
 
 @query("null_counts")
 def q_null_counts(spark, sf_dir):
-    return P.union_all([P.column_stats(df, n) for n, df in _registry(spark, sf_dir).items()]) \
+    return P.union_all([P.column_stats(df, n, infer=False) for n, df in _registry(spark, sf_dir).items()]) \
         .select("table_name", "column_name", "null_count")
 
 
 @query("null_percentage")
 def q_null_percentage(spark, sf_dir):
-    return P.union_all([P.column_stats(df, n) for n, df in _registry(spark, sf_dir).items()]) \
+    return P.union_all([P.column_stats(df, n, infer=False) for n, df in _registry(spark, sf_dir).items()]) \
         .select("table_name", "column_name", "null_percentage")
 
 
@@ -496,7 +496,7 @@ def q_column_types(spark, sf_dir):
 
 @query("logical_bytes")
 def q_logical_bytes(spark, sf_dir):
-    stats = P.union_all([P.column_stats(df, n) for n, df in _registry(spark, sf_dir).items()])
+    stats = P.union_all([P.column_stats(df, n, infer=False) for n, df in _registry(spark, sf_dir).items()])
     return stats.groupBy("table_name").agg(F.sum("logical_bytes").cast("bigint").alias("logical_bytes"))
 
 
