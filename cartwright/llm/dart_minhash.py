@@ -318,7 +318,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     once = buckets.groupBy("n", "f", "m").agg(F.min("b").alias("b")).select("b", "n")
     members = materialize(banded.join(once, "b"), "dart-buckets")
     involved = members.select("t", "id").distinct()
-    found = base.join(involved.withColumnRenamed("t", "t2").withColumnRenamed("id", "id2"),
+    # the involved texts grow with the corpus, so the plan shuffles them at every size
+    found = base.join(involved.withColumnRenamed("t", "t2").withColumnRenamed("id", "id2").hint("merge"),
                       (F.col("t") == F.col("t2")) & F.col("id").eqNullSafe(F.col("id2")), "left_semi")
     cells = materialize(found.select("t", "utf8").mapInArrow(
         _packed_cells, "t bigint, low binary, cells binary"), "dart-cells").dropDuplicates(["t"])
