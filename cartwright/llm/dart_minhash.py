@@ -333,6 +333,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     roots = components(links)
     grouped = rows.select("id", "t").join(roots, F.col("t") == F.col("node"), "left").select(
         "id", F.coalesce("root", "t").alias("g"), "t")
-    first = grouped.groupBy("g").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    # written, so that the join below has a shuffle of its own on either side and a hot class can be split
+    first = materialize(grouped.groupBy("g").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size")),
+                        "dart-classes")
     return grouped.join(first, "g").select(
         F.col("id").alias(id_col), "class_id", "class_size", F.col("g").alias("class_key"), F.col("t").alias("text_key"))
