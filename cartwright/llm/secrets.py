@@ -6,8 +6,9 @@ what random data in that encoding would look like: uniform use of the
 alphabet (chi-squared), runs above and below the alphabet's middle
 (Wald-Wolfowitz), and lag-1 serial correlation.  The three p-values are
 combined by Fisher's method; Benjamini-Hochberg over a document's tokens,
-with each level scaled by the token's length, decides which tokens are
-clearly not random.  The rest, if long enough for the tests to have power,
+with the levels of tokens shorter than the mean scaled down by their length,
+decides which tokens are clearly not random.  No level passes FDR, whatever a
+token's length and neighbours.  The rest, if long enough for the tests to have power,
 are reported.
 """
 
@@ -99,11 +100,15 @@ def random_spans(text: str) -> list[tuple[int, int, str, float]]:
             if mixed:
                 found.append((m.start(), m.end(), kind[0], battery(token, kind[1]), len(token)))
     # Benjamini-Hochberg: rejected tokens are not random; a longer token bears
-    # a stricter test, so its level is larger in proportion to its length.
-    found.sort(key=lambda f: f[3] / f[4])
+    # a stricter test, so its level is larger in proportion to its length, but
+    # never above FDR, however long it is beside the document's other tokens.
     mean = sum(f[4] for f in found) / len(found) if found else 1
-    rejected = max((k for k, f in enumerate(found, 1)
-                    if f[3] <= FDR * k / len(found) * f[4] / mean), default=0)
+
+    def scaled(f: tuple) -> float:
+        return f[3] / min(1.0, f[4] / mean)
+
+    found.sort(key=scaled)
+    rejected = max((k for k, f in enumerate(found, 1) if scaled(f) <= FDR * k / len(found)), default=0)
     return [f[:4] for f in found[rejected:]]
 
 

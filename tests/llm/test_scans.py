@@ -54,6 +54,18 @@ def test_longer_tokens_are_held_to_stricter_tests():
     assert S.least_length(64) == 20 and S.least_length(16) == 20
 
 
+@pytest.mark.parametrize("length,slugs", [(200, 20), (400, 200), (1000, 20), (1000, 200)])
+def test_long_random_tokens_among_many_slugs(length, slugs):
+    rnd = random.Random(length + slugs)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    other = " ".join(f"articles/2021/{k % 90 + 10}/introduction" for k in range(slugs))
+    found = 0
+    for _ in range(100):
+        token = "".join(rnd.choice(b64) for _ in range(length))
+        found += (0, length) in [(s, e) for s, e, _, _ in S.random_spans(f"{token} {other}")]
+    assert found >= 88
+
+
 def test_redaction():
     text = 'x password = "hunter2hunter2" y'
     _, spans = S.scan_text(text)
