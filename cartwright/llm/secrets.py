@@ -5,10 +5,11 @@ encoding by its characters (hex, base32, base64 and the like) and tested for
 what random data in that encoding would look like: uniform use of the
 alphabet (chi-squared), runs above and below the alphabet's middle
 (Wald-Wolfowitz), and lag-1 serial correlation.  The three p-values are
-combined by Fisher's method; Benjamini-Hochberg over a document's tokens,
-with the levels of tokens shorter than the mean scaled down by their length,
-decides which tokens are clearly not random.  No level passes FDR, whatever a
-token's length and neighbours.  The rest, if long enough for the tests to have power,
+combined by Fisher's method; a token without digits must also change case as
+random letters do.  Benjamini-Hochberg over a document's tokens, with the
+levels of tokens shorter than the mean scaled down by their length, decides
+which tokens are clearly not random.  No level passes FDR, whatever a token's
+length and neighbours.  The rest, if long enough for the tests to have power,
 are reported.
 """
 
@@ -29,9 +30,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "random")
 
-# A token of digits alone is a number and one of letters alone may be a word,
-# so a candidate has both; the look-ahead wants them within the token.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])[A-Za-z0-9+/_-]{20,}={0,2}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+LOWER, UPPER, DIGIT = (re.compile(c) for c in ("[a-z]", "[A-Z]", "[0-9]"))
 
 _D, _U, _L = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = (          # the first whose alphabet has all of a token's characters
@@ -90,15 +90,31 @@ def least_length(size: int) -> int:
     return max(20, math.ceil(80 / math.log2(size)))
 
 
+def is_mixed(token: str) -> bool:
+    """Whether two of lower case, upper case and digits stand anywhere in the
+    token: digits alone are a number, letters of one case may be a word."""
+    return sum(c.search(token) is not None for c in (LOWER, UPPER, DIGIT)) > 1
+
+
+def case_changes(token: str) -> float:
+    """p-value of so few changes of case between neighbouring letters; small:
+    words.  Random letters change in half of the places."""
+    case = [c.isupper() for c in token if c.isalpha()]
+    n = len(case) - 1
+    changes = sum(a != b for a, b in zip(case, case[1:]))
+    return _normal_sf((n - 1 - 2 * changes) / math.sqrt(n)) if n > 0 else 1.0
+
+
 def random_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, encoding, p) of the tokens that no test tells from random."""
     found = []
     for m in CANDIDATE.finditer(text):
         token = m[0].rstrip("=")
-        if (kind := encoding_of(token)) and len(token) >= least_length(len(kind[1])):
-            mixed = any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-            if mixed:
-                found.append((m.start(), m.end(), kind[0], battery(token, kind[1]), len(token)))
+        if is_mixed(token) and (kind := encoding_of(token)) and len(token) >= least_length(len(kind[1])):
+            p = battery(token, kind[1])
+            if not DIGIT.search(token):     # words joined by marks or by capitals
+                p = min(1.0, 2 * min(p, case_changes(token)))
+            found.append((m.start(), m.end(), kind[0], p, len(token)))
     # Benjamini-Hochberg: rejected tokens are not random; a longer token bears
     # a stricter test, so its level is larger in proportion to its length, but
     # never above FDR, however long it is beside the document's other tokens.

@@ -66,6 +66,22 @@ def test_long_random_tokens_among_many_slugs(length, slugs):
     assert found >= 88
 
 
+def test_candidates_are_read_to_their_end():
+    rnd = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def draw(alphabet, n):
+        return "".join(rnd.choice(alphabet) for _ in range(n))
+
+    late = [draw(letters, 45) + draw(letters + "0123456789", 30) for _ in range(100)]
+    alone = [draw(letters, n) for n in (20, 24, 32, 40) for _ in range(50)]
+    for tokens in (late, alone):
+        assert sum(bool(S.random_spans(f"see {t} here")) for t in tokens) >= 0.85 * len(tokens)
+    for text in ("Documents/Projects/Library", "The_quick_brown_fox_jumps", "AbstractSingletonProxyFactoryBean",
+                 "About-Us-and-our-Company-History", "THE_NAME_OF_ONE_LONG_CONSTANT", "getElementsByTagNameAndClass", "x" * 70_000):
+        assert S.random_spans(text) == []
+
+
 def test_redaction():
     text = 'x password = "hunter2hunter2" y'
     _, spans = S.scan_text(text)
