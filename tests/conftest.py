@@ -4,10 +4,10 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-SF_SMALL = "/root/testdata/sf0.001"
+from support import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -28,9 +28,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (optionally a column subset), sorted."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=repr)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from cartwright.operators.clean import (
     clean_column_names, clean_orders, dedup_by_key, fill_nulls, positive_payments,
 )
-from conftest import rows
+from support import rows
 
 ORDER_SCHEMA = ("order_id string, customer_id string, order_status string, "
                 "order_purchase_timestamp string, order_approved_at string, "

@@ -4,7 +4,7 @@ import subprocess
 import sys
 import tempfile
 
-from conftest import ROOT, SF_SMALL
+from support import ROOT, SF_SMALL
 
 
 def test_cli_all_jobs_on_test_tables():

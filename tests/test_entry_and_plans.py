@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from cartwright.plans.catalog import CATALOG
 from cartwright.operators.windows import dense_rank_distributed, share_of_total
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 ROWS_ONLY: set[str] = set()
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "

@@ -5,7 +5,7 @@ from cartwright.operators.aggregate import aggregate_items, aggregate_payments
 from cartwright.operators.joins import build_master, enrich_products
 from cartwright.operators.clean import clean_orders
 from cartwright.sources.schemas import MASTER_COLUMNS
-from conftest import rows
+from support import rows
 
 
 def _orders(spark):

@@ -10,7 +10,7 @@ from cartwright.sinks import writers as K
 from cartwright.sinks.writers import write_csv
 from cartwright.sources import readers as S
 from cartwright.sources.adapters import load_commerce
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def _raw_drop(spark, tables) -> str:

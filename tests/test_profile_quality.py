@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cartwright.operators import profile as P
 from cartwright.operators import quality as Q
-from conftest import rows
+from support import rows
 
 
 def test_column_stats_nulls_bytes_and_percentages(spark):

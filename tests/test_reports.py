@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cartwright.plans import reports as R
 from cartwright.plans.analytics import analytics_orders, master_from_tables
 from cartwright.sources.adapters import load_commerce
-from conftest import rows
+from support import rows
 
 SCHEMA = ("order_id string, customer_id string, order_status string, "
           "order_purchase_timestamp timestamp_ntz, customer_state string, revenue decimal(28,2), "

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cartwright.operators.aggregate import aggregate_payments
 from cartwright.operators.clean import dedup_by_key
 from cartwright.plans.insights import review_score_distribution
-from conftest import rows
+from support import rows
 
 
 def _plan(df):

@@ -4,7 +4,7 @@ import tempfile
 from decimal import Decimal
 
 from cartwright.plans.sql_runner import run_sql_files
-from conftest import rows
+from support import rows
 
 
 def test_sql_files_run_against_views(spark):
