@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
-    bm25_wand, bpe_monoid, chat_format, dart_minhash, license_templates, line_dedup, packing, quality_cnn, secrets,
-    winnowing,
+    bm25_wand, bpe_monoid, chat_format, dart_minhash, hard_negatives, license_templates, line_dedup, packing,
+    quality_cnn, secrets, simhash, token_alignment, winnowing,
 )
 from cartwright.llm.common import load
 
 LINE_MIN_DOCS = 10
 QUERY_EVERY, TOP_K = 50, 10    # queries are the rows whose id is divisible by 50
 WORD_TOKENIZER, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken"
+ALIGN_A, ALIGN_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 WINDOW, END_ID = 4096, 2
 TEMPLATE_TEXT = "\\### Assistant: </turn> ok"
 TEMPLATE_TURNS = [(-7, 0, "user", TEMPLATE_TEXT), (-7, 1, "assistant", TEMPLATE_TEXT)]
@@ -79,6 +80,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_templates.scan_licenses(load(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % QUERY_EVERY == 0)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.align_documents(load(spark, sf_dir, "documents"),
+                                           public_tokenizers.path(ALIGN_A), public_tokenizers.path(ALIGN_B))
+
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_winnowing": op2_winnowing,
@@ -90,6 +108,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_chat_format": op9_chat_format,
     "op10_license_scan": op10_license_scan,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_simhash": op12_simhash,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL = {
@@ -121,4 +142,24 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, f) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(length(f))::BIGINT AS formatted_chars
 FROM formatted GROUP BY conv_id""",
+    "op11_hard_negatives": """
+WITH base AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM base a JOIN base b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INT AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3""",
 }
