@@ -30,11 +30,13 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.common import ARROW, as_text, id_type, materialize, utf8
 
-CHUNK_BYTES = 4 << 20       # of texts aligned together
-SEGMENT = 1 << 20           # characters of a long text tokenised together
+CHUNK_BYTES = 2 << 20       # of texts aligned together
+MEMO_WORDS, MEMO_LENGTH = 400_000, 64   # words whose ids a worker remembers, and their longest
+LEARNED = 64                # words tokenised in one text
 LEAPS = 16                  # looks in turn, before all ends of an interval's half are looked up at once
 HASHED = 1 << 16            # ids written out together
-CUT = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")    # neither tokenizer joins across such a space
+CUT = re.compile(r"(?<=\S) (?=\S)")                     # neither tokenizer joins across such a space
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
 
 def _byte_of() -> dict[str, int]:
@@ -64,35 +66,77 @@ class Pair:
                         for i, p in enumerate(pieces)]
         self.size_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self.size_b = np.array(list(map(len, self.bytes_b)), np.int64)
-        self.segments = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.apart = not any("▁" in p.lstrip("▁") for p in pieces)
         ids = range(max(len(self.bytes_a), len(self.bytes_b)))
         self.written = [b"%d%s" % (i, sep) for sep in (b",", b"|", b";") for i in ids]
         self.written_step = len(ids)
-
-    def split(self, text: str) -> list[str]:
-        """The text in segments that are tokenised alike by themselves; each
-        but the first without the space before it."""
-        parts, at = [], 0
-        while self.segments and len(text) - at > SEGMENT and (cut := CUT.search(text, at + SEGMENT)):
-            parts.append(text[at:cut.start()])
-            at = cut.end()
-        return [*parts, text[at:]]
+        self.ids_a: dict[str, bytes] = {}
+        self.ids_b: dict[str, bytes] = {}
+        self.odd: set[str] = set()      # words whose tokens' bytes are not space + word
+
+    def words(self, text: str) -> list[str]:
+        """The text between the single spaces that stand between other
+        characters.  A's split takes such a space to what follows, and no piece
+        of B has a space after another character, so each word is tokenised by
+        itself as it is in the text.  (One word, where B has such pieces.)"""
+        if not self.apart:
+            return [text]
+        single = not (text.startswith(" ") or text.endswith(" ") or any(
+            c in text and (c + " " in text or " " + c in text) for c in WHITE))
+        return text.split(" ") if single else CUT.split(text)
+
+    def _same(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        whole = b" " + raw
+        return (b"".join(map(self.bytes_a.__getitem__, a)) == whole
+                and b"".join(map(self.bytes_b.__getitem__, b)) == whole)
+
+    def _encode(self, texts: list[str]):
+        by_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        return zip(texts, (e.ids for e in by_a), self.b.encode(texts, num_threads=1))
+
+    def _learn(self, words: list[str]) -> None:
+        """Tokenises words, many in one text where no space of their own
+        stands at their ends; tokens end where the words end."""
+        alone = [w for w in words if w != w.strip() or not w]
+        inner = [w for w in words if w == w.strip() and w]
+        groups = [inner[k:k + LEARNED] for k in range(0, len(inner), LEARNED)]
+        for some, (text, a, b) in zip(groups, self._encode([" ".join(g) for g in groups])):
+            stops = np.cumsum([len(w.encode()) + 1 for w in some])
+            if not self._same(text.encode(), a, b):
+                alone += some
+                continue
+            for ids, size, memo in ((a, self.size_a, self.ids_a), (b, self.size_b, self.ids_b)):
+                ids = np.array(ids, "<i4")
+                at = (np.searchsorted(np.cumsum(size[ids]), stops) + 1).tolist()
+                packed = ids.tobytes()
+                memo.update((w, packed[4 * lo:4 * hi]) for w, lo, hi in zip(some, [0, *at], at))
+        for word, a, b in self._encode(alone):
+            self.ids_a[word], self.ids_b[word] = (np.array(x, "<i4").tobytes() for x in (a, b))
+            if not self._same(word.encode(), a, b):
+                self.odd.add(word)
 
     def tokens(self, raws: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids by A of space + text and by B of the text; none where the texts
         are empty or the tokens' bytes are not space + text."""
-        parts = [self.split(as_text(r)) for r in raws]
-        flat = [p for some in parts for p in some]
-        by_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        by_b = self.b.encode(flat, num_threads=1)
-        out, at, none = [], 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        for raw, some in zip(raws, parts):
-            a, b = ([i for ids in by[at:at + len(some)] for i in ids] if len(some) > 1 else by[at] for by in (by_a, by_b))
-            at += len(some)
-            whole = b" " + raw
-            same = raw and (b"".join(map(self.bytes_a.__getitem__, a)) == whole
-                            and b"".join(map(self.bytes_b.__getitem__, b)) == whole)
-            out.append((np.array(a, np.int64), np.array(b, np.int64)) if same else none)
+        texts = [as_text(r) for r in raws]
+        words = [self.words(t) if r else [] for t, r in zip(texts, raws)]
+        if len(self.ids_a) > MEMO_WORDS:
+            for memo in (self.ids_a, self.ids_b, self.odd):
+                memo.clear()
+        new = list(set().union(*words).difference(self.ids_a))
+        self._learn(new)
+        out = []
+        for raw, text, some in zip(raws, texts, words):
+            if self.odd and not self.odd.isdisjoint(some):
+                (_, a, b), = self._encode([text])
+                a, b = (np.array(x if self._same(raw, a, b) else [], "<i4").tobytes() for x in (a, b))
+            else:
+                a, b = (b"".join(map(ids.__getitem__, some)) for ids in (self.ids_a, self.ids_b))
+            out.append((np.frombuffer(a, "<i4"), np.frombuffer(b, "<i4")))
+        for word in new:
+            if len(word) > MEMO_LENGTH:
+                del self.ids_a[word], self.ids_b[word]
+                self.odd.discard(word)
         return out
 
 
@@ -154,8 +198,9 @@ def shared_cuts(end_a: np.ndarray, end_b: np.ndarray, last_a: np.ndarray, last_b
         i, j = i[cut], j[cut]
         cuts_a.append(i)
         cuts_b.append(j)
-        a_lo, a_hi = np.concatenate((a_lo[cut], i + 1)), np.concatenate((i + 1, a_hi[cut]))
-        b_lo, b_hi = np.concatenate((b_lo[cut], j + 1)), np.concatenate((j + 1, b_hi[cut]))
+        # the two halves of each interval side by side: in order, so that looks stay near each other
+        a_lo, a_hi = np.column_stack((a_lo[cut], i + 1)).ravel(), np.column_stack((i + 1, a_hi[cut])).ravel()
+        b_lo, b_hi = np.column_stack((b_lo[cut], j + 1)).ravel(), np.column_stack((j + 1, b_hi[cut])).ravel()
     return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
@@ -172,12 +217,13 @@ def align(pair: Pair, tokens: list[tuple[np.ndarray, np.ndarray]]):
     digests = [""] * len(tokens)
     if not filled.any():
         return n_a, n_b, zeros, zeros, digests, np.zeros(0, np.int64)
-    a, b = (np.concatenate([t[k] for t in tokens]) for k in (0, 1))
+    a, b = (np.concatenate([t[k] for t in tokens]).astype(np.int64) for k in (0, 1))
     end_a, end_b = np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b])
     stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
     cut_a, cut_b = shared_cuts(end_a, end_b, stop_a[filled] - 1, stop_b[filled] - 1)
     n_groups = np.diff(np.searchsorted(cut_a, stop_a), prepend=0)
-    cuts = np.union1d(end_a, end_b)
+    cuts = np.sort(np.concatenate((end_a, end_b)), kind="stable")
+    cuts = cuts[np.append(cuts[1:] != cuts[:-1], True)]
     n_links = np.zeros(len(tokens), np.int64)
     n_links[filled] = np.diff(np.searchsorted(cuts, end_a[stop_a[filled] - 1], side="right"), prepend=0)
     pairs = a[np.searchsorted(end_a, cuts)] * len(pair.bytes_b) + b[np.searchsorted(end_b, cuts)]

@@ -61,14 +61,26 @@ def test_rows_equal_plain_loops(spark, monkeypatch):
     assert sum(r[1] > 0 for r in expected) > 15 and any(r[1] == 0 and r[0] == 31 for r in expected)
 
 
-def test_chunks_and_segments_do_not_change_rows(monkeypatch):
-    """Long texts in segments; texts one by one and together."""
+def test_words_are_tokenised_as_in_the_whole_text():
+    """The memo of words against the libraries on whole texts."""
+    pair = token_alignment.Pair(A, B)
+    texts = [t for _, t in [*HARD, *ODD] if t] + [prose(5, 500) + "\n\n x  y\t z. 'll it's \u00a0 \u3000 a\x1c b\x85 c ▁ d"]
+    for _ in range(2):      # learned, and remembered
+        for text, (a, b) in zip(texts, pair.tokens([t.encode() for t in texts])):
+            if len(a):
+                assert a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids
+                assert b.tolist() == pair.b.encode(text)
+    assert pair.apart and max(map(len, pair.ids_a)) <= token_alignment.MEMO_LENGTH
+
+
+def test_chunks_do_not_change_rows(monkeypatch):
+    """Texts one by one and together; a memo that overflows."""
     pair = token_alignment.Pair(A, B)
     raws = [prose(k, 300).encode() for k in range(5)] + ["日本 語 ".encode() * 40]
     whole = pair.tokens(raws)
-    monkeypatch.setattr(token_alignment, "SEGMENT", 50)
-    assert len(pair.split(raws[0].decode())) > 10
-    for (a, b), (c, d) in zip(whole, pair.tokens(raws)):
+    monkeypatch.setattr(token_alignment, "MEMO_WORDS", 20)
+    for (a, b), raw in zip(whole, raws):
+        (c, d), = pair.tokens([raw])
         assert (a == c).all() and (b == d).all()
     together = token_alignment.align(pair, whole)
     monkeypatch.setattr(token_alignment, "HASHED", 7)
