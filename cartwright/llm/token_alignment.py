@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cartwright.llm.common import ARROW, as_text, id_type, materialize, utf8
 
 CHUNK_BYTES = 2 << 20       # of texts aligned together
-MEMO_WORDS, MEMO_LENGTH = 400_000, 64   # words whose ids a worker remembers, and their longest
+MEMO_WORDS, MEMO_LENGTH = 250_000, 64   # words whose ids a worker remembers, and their longest
 LEARNED = 64                # words tokenised in one text
 LEAPS = 16                  # looks in turn, before all ends of an interval's half are looked up at once
 HASHED = 1 << 16            # ids written out together
