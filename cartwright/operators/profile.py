@@ -1,22 +1,25 @@
 """Distributed table profiling.
 
 The source pipeline profiles each table in one pandas process.  Here every
-metric is an executor-side aggregate: one pass computes the row count and,
-per column, the NULL count, logical byte size and the type that its values'
-text fits; a second pass counts whole-row duplicates by hash and compares full
-rows only where hashes repeat.  Results are small long-format frames (one row
-per table or per column).
+metric is an executor-side aggregate.  A profile reads its table once: the row
+count and, per column, the NULL count, logical byte size and the type that its
+values' text fits are observed while a hash of every row is written; only where
+hashes repeat is the table read again, for the rows that a sketch of these
+hashes lets through.  Results are small long-format frames (one row per table
+or per column).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.functions.scalars import half_up_ratio
+from cartwright.session import scratch_path
 
 # Bytes per non-NULL value of fixed-width types.
 FIXED_WIDTH = {
@@ -79,23 +82,21 @@ def _inferred(bits: Column) -> Column:
     return F.when(bits.isNull(), F.lit("void")).otherwise(kind)
 
 
-def column_stats(df: DataFrame, table_name: str, infer: bool = True) -> DataFrame:
-    """One row per column: table_name, position, column_name, data_type
-    (declared), inferred_type, row_count, null_count, null_percentage,
-    logical_bytes.  One scan.
-
-    ``inferred_type`` comes from the values: the first type that the text of
-    every non-NULL value fits, else string; void where all are NULL.  Without
-    ``infer`` it is NULL."""
-    fields = df.schema.fields
+def _stat_aggs(fields: list[T.StructField], infer: bool) -> list[Column]:
+    """Aggregates of a table's statistics, one column each."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
-        aggs.append(F.count_if(F.col(f.name).isNull()).alias(f"_n{i}"))
+        col = F.col(f"`{f.name}`")
+        aggs.append(F.count_if(col.isNull()).alias(f"_n{i}"))
         aggs.append(F.sum(value_bytes(f.name, f.dataType)).alias(f"_b{i}"))
         if infer:
             # a bit for each type that a value fits; those that all values fit remain
-            aggs.append(F.bit_and(F.when(F.col(f.name).isNotNull(), _fits(f))).alias(f"_t{i}"))
-    one = df.agg(*aggs)
+            aggs.append(F.bit_and(F.when(col.isNotNull(), _fits(f))).alias(f"_t{i}"))
+    return aggs
+
+
+def _stat_rows(one: DataFrame, fields: list[T.StructField], table_name: str, infer: bool) -> DataFrame:
+    """One row per column from the one row of ``_stat_aggs``."""
     per_col = F.array(*[
         F.struct(
             F.lit(i + 1).alias("position"),
@@ -118,20 +119,64 @@ def column_stats(df: DataFrame, table_name: str, infer: bool = True) -> DataFram
     )
 
 
-def duplicate_row_count(df: DataFrame, row_hash: Callable[[list[str]], Column] | None = None) -> DataFrame:
+def column_stats(df: DataFrame, table_name: str, infer: bool = True) -> DataFrame:
+    """One row per column: table_name, position, column_name, data_type
+    (declared), inferred_type, row_count, null_count, null_percentage,
+    logical_bytes.  One scan.
+
+    ``inferred_type`` comes from the values: the first type that the text of
+    every non-NULL value fits, else string; void where all are NULL.  Without
+    ``infer`` it is NULL."""
+    fields = df.schema.fields
+    return _stat_rows(df.agg(*_stat_aggs(fields, infer)), fields, table_name, infer)
+
+
+# Bits of the sketch of repeated hashes: for each of them, at least and at most.
+SKETCH_PER_HASH, SKETCH_LEAST, SKETCH_MOST = 32, 1 << 10, 1 << 26
+
+
+def _sketch_of(repeated: DataFrame) -> Column:
+    """A bitmap, as one array of 64-bit words, in which the bit of every hash
+    in the column ``_hash`` is set.  Its size is the power of two next above
+    ``SKETCH_PER_HASH`` bits a hash; beyond ``SKETCH_MOST`` bits (8 MB) more
+    rows pass it, and results stay the same."""
+    wanted = F.pow(F.lit(2.0), F.ceil(F.log2(F.count(F.lit(1)) * SKETCH_PER_HASH + 1.0)))
+    size = repeated.agg(F.least(F.greatest(wanted, F.lit(SKETCH_LEAST)), F.lit(SKETCH_MOST)).cast("bigint").alias("bits"))
+    bit = F.pmod("_hash", size.scalar())
+    marked = repeated.select(F.shiftright(bit, 6).alias("word"),
+                             F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int")).alias("v"))
+    zeros = size.select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.shiftright("bits", 6) - 1)).alias("word"),
+                        F.lit(0).cast("bigint").alias("v"))
+    words = marked.union(zeros).groupBy("word").agg(F.bit_or("v").alias("v")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("word", "v"))), lambda x: x["v"]).alias("words"))
+    return words.scalar()
+
+
+def _in_sketch(hashed: Column, words: Column) -> Column:
+    bit = F.pmod(hashed, F.size(words).cast("bigint") * 64)
+    return F.getbit(F.get(words, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(63).cast("int")) == 1
+
+
+def _repeated(hashes: DataFrame) -> DataFrame:
+    return hashes.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_hash")
+
+
+def duplicate_row_count(df: DataFrame, row_hash: Callable[[list[str]], Column] | None = None,
+                        hashes: DataFrame | None = None) -> DataFrame:
     """One row: rows beyond the first of each group of identical rows (NULLs
     compare equal, as in GROUP BY).  Exact, in two phases.
 
     First rows are counted by a 64-bit hash of the row (combined map-side, so
-    8 bytes and a count are shuffled).  Rows whose hash no other row has are
-    unique for certain; only the others are grouped by all their columns.
-    ``row_hash`` replaces the hash in tests.
+    8 bytes and a count are shuffled).  The hashes that more than one row has
+    go into a bitmap, which every task gets as a value: rows whose bit is not
+    set are unique for certain and never leave their scan; only the others are
+    grouped by all their columns.  ``row_hash`` replaces the hash in tests;
+    ``hashes`` are the rows' hashes (``_hash``) where they are at hand.
     """
     hashed = (row_hash or _row_hash)(df.columns)
-    repeated = df.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_hash")
-    rows = df.withColumn("_own_hash", hashed)
-    suspects = rows.join(repeated, rows["_own_hash"] == repeated["_hash"], "left_semi")
-    groups = suspects.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    words = _sketch_of(_repeated(df.select(hashed.alias("_hash")) if hashes is None else hashes))
+    groups = df.where(_in_sketch(hashed, words)).groupBy(*[f"`{c}`" for c in df.columns]).agg(
+        F.count(F.lit(1)).alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -153,37 +198,71 @@ COLUMN_MAPS = (("data_type", "data_types"), ("inferred_type", "inferred_types"),
                ("null_percentage", "null_percentages"))
 
 
+@dataclass(frozen=True)
+class TablePass:
+    """What one scan of a table gave: a row of statistics, and the hash of
+    each row, written to the shared folder."""
+    stats: DataFrame
+    hashes: DataFrame
+    corrupt_rows: int
+    repeats: bool
+
+
+def scan_once(df: DataFrame, infer: bool, corrupt: str | None = None) -> TablePass:
+    """Reads the table once, in a job of its own: statistics and the number of
+    rows whose column ``corrupt`` is filled are observed while the row hashes
+    are written.  A second small job finds whether any hash repeats."""
+    spark = df.sparkSession
+    data = [f for f in df.schema.fields if f.name != corrupt]
+    aggs = _stat_aggs(data, infer)
+    if corrupt:
+        aggs.append(F.count(f"`{corrupt}`").alias("_corrupt"))
+    observation, path = Observation(), scratch_path(spark, "row-hashes")
+    df.observe(observation, *aggs).select(_row_hash([f.name for f in data]).alias("_hash")).write.parquet(path)
+    found = observation.get
+    hashes = spark.read.schema("_hash bigint").parquet(path)
+    stats = spark.range(1).select(*[F.lit(v).cast("bigint" if k[1] != "t" else "int").alias(k)
+                                    for k, v in found.items() if k != "_corrupt"])
+    return TablePass(stats, hashes, int(found.get("_corrupt") or 0), not _repeated(hashes).isEmpty())
+
+
 def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = None,
-                  columns: bool = False, found: list[str] | None = None) -> DataFrame:
+                  columns: bool = False, found: list[str] | None = None, corrupt: str | None = None) -> DataFrame:
     """One summary row: shape, NULL cells, logical bytes, duplicate rows and
     schema validity against ``expected`` column names; with ``columns`` also
-    the per-column maps of ``COLUMN_MAPS``.  ``found`` are the names that the
-    source itself has (a CSV's header) where ``df`` was given others."""
+    the per-column maps of ``COLUMN_MAPS``; with ``corrupt``, a column that is
+    no part of the data, the number of rows where it is filled.  ``found`` are
+    the names that the source itself has (a CSV's header) where ``df`` was
+    given others.  The table is read by ``scan_once`` while the profile is
+    built, and once more only if row hashes repeat."""
     def by_column(c: str) -> Column:
         pairs = F.array_sort(F.collect_list(F.struct("position", F.struct("column_name", c).alias("kv"))))
         return F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["kv"]["column_name"], p["kv"][c])))
 
-    stats = column_stats(df, table_name, infer=columns).groupBy("table_name").agg(
+    once = scan_once(df, columns, corrupt)
+    data = df.drop(corrupt) if corrupt else df
+    stats = _stat_rows(once.stats, data.schema.fields, table_name, columns).groupBy("table_name").agg(
         F.max("row_count").alias("row_count"),
         F.count(F.lit(1)).alias("column_count"),
         F.sum("null_count").alias("null_cells"),
         F.sum("logical_bytes").alias("logical_bytes"),
         *([by_column(c).alias(name) for c, name in COLUMN_MAPS] if columns else []),
     )
-    valid, missing, extra = schema_diff(found or df.columns, expected if expected is not None else df.columns)
-    dups = duplicate_row_count(df).scalar()
+    valid, missing, extra = schema_diff(found or data.columns, expected if expected is not None else data.columns)
+    dups = duplicate_row_count(data, hashes=once.hashes).scalar() if once.repeats else F.lit(0)
     return stats.select(
         "table_name",
         F.col("row_count").cast("bigint").alias("row_count"),
         F.col("column_count").cast("bigint").alias("column_count"),
-        F.lit(",".join(df.columns)).alias("column_names"),
+        F.lit(",".join(data.columns)).alias("column_names"),
         F.col("null_cells").cast("bigint").alias("null_cells"),
         F.col("logical_bytes").cast("bigint").alias("logical_bytes"),
-        dups.alias("duplicate_rows"),
+        dups.cast("bigint").alias("duplicate_rows"),
         F.lit(valid).alias("schema_valid"),
         F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
         F.array(*[F.lit(c) for c in extra]).cast("array<string>").alias("extra_columns"),
         *([name for _, name in COLUMN_MAPS] if columns else []),
+        *([F.lit(once.corrupt_rows).cast("bigint").alias("corrupt_rows")] if corrupt else []),
     )
 
 

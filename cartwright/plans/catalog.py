@@ -42,6 +42,8 @@ from cartwright.session import scratch_path
 from cartwright.sinks import writers as K
 from cartwright.sources import readers as S
 from cartwright.sources.adapters import CommerceTables, load_commerce, read_table
+from cartwright.sources.fs import path_exists
+from cartwright.sources.heads import Heads, file_heads, group_heads
 from cartwright.sources.schemas import (
     COUNTED_SOURCES, EXPECTED_COLUMNS, MASTER_COLUMNS, RAW_SCHEMAS, REQUIRED_INPUTS, SCHEMAS, SUMMARY_COLUMNS,
 )
@@ -652,10 +654,9 @@ def q_csv_header_binding(spark, sf_dir):
 @query("empty_fields")
 def q_empty_fields(spark, sf_dir):
     """Empty CSV fields per written table (NULLs are written as empty)."""
-    paths = _write_registry_csv(spark, sf_dir)
+    scans = S.tolerant_scans(spark, _write_registry_csv(spark, sf_dir), SCHEMAS)
     frames = []
-    for name, path in paths.items():
-        scan = S.tolerant_scan(spark, name, path, SCHEMAS[name])
+    for name, scan in scans.items():
         df = scan.frame.drop(S.CORRUPT)
         total = sum((F.col(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
         frames.append(df.agg(F.sum(total).alias("empty_fields")).select(
@@ -664,29 +665,60 @@ def q_empty_fields(spark, sf_dir):
     return P.union_all(frames)
 
 
+def _write_lines(df: DataFrame, path: str, header: list[str], line_end: str) -> None:
+    """CSV files with a header and line ends of one's own, each file with its header."""
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)]))
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0     # of its partition, and so of its file
+    df.select(F.when(first, F.concat(F.lit(",".join(header) + line_end), line)).otherwise(line).alias("value")) \
+        .write.option("lineSep", line_end).text(path)
+
+
+def _write_hard_drop(spark, sf_dir) -> dict[str, str]:
+    """A drop as it should not be.  Every third customer lies in files whose
+    header has another order, the sellers' lines end in CR LF, the products'
+    header has a name twice, the orders have files without a line, reviews is
+    such a file only and there is no geolocation."""
+    t, root = _tables(spark, sf_dir), scratch_path(spark, "hard_csv")
+    paths = {name: f"{root}/{name}" for name in REQUIRED_INPUTS}
+    for name in ("orders", "order_items", "payments", "category_translation"):
+        K.write_csv(getattr(t, name), paths[name])
+    third = F.col("customer_id") % 3 == 0
+    K.write_csv(t.customers.where(~third), paths["customers"])
+    t.customers.where(third).select(*reversed(t.customers.columns)).write.mode("append").option("header", True).csv(
+        paths["customers"])
+    _write_lines(t.sellers, paths["sellers"], t.sellers.columns, "\r\n")
+    twice = F.col("product_weight_g") + 1
+    _write_lines(t.products.withColumn("again", twice), paths["products"], [*t.products.columns, "product_weight_g"], "\n")
+    none = spark.range(0).select(F.lit("").alias("value"))
+    none.write.mode("append").text(paths["orders"])
+    none.write.text(paths["reviews"])
+    return paths
+
+
 def _scans(spark, sf_dir) -> dict[str, S.ScanResult]:
-    """All data-dictionary inputs of a drop that has no reviews and no
-    geolocation and in which one row of the order items is too long."""
-    paths = _write_registry_csv(spark, sf_dir)
-    root = next(iter(paths.values())).rsplit("/", 1)[0]
+    """All data-dictionary inputs of the hard drop, in which moreover one row
+    of the order items is too long."""
+    paths = _write_hard_drop(spark, sf_dir)
     broken = spark.range(1).select(F.lit("1,1,1,1,1996-01-01T00:00:00.000,1.00,1.00,one field too many").alias("value"))
     header = spark.range(1).select(F.lit(",".join(SCHEMAS["order_items"].names)).alias("value"))
     header.unionByName(broken).coalesce(1).write.mode("append").text(paths["order_items"])
-    return {name: S.tolerant_scan(spark, name, paths.get(name, f"{root}/{name}"),
-                                  SCHEMAS.get(name) or RAW_SCHEMAS[name]) for name in REQUIRED_INPUTS}
+    return S.tolerant_scans(spark, paths, {**RAW_SCHEMAS, **SCHEMAS})
 
 
 @query("tolerant_scan")
 def q_tolerant_scan(spark, sf_dir):
-    """Status, rows, rows that the parser could not fit and rows with NULLs of
-    every input; absent ones report ``missing`` instead of failing the scan."""
+    """Status, header groups, names that occur twice, rows, rows that the
+    parser could not fit and rows with NULLs of every input; absent and empty
+    ones are reported instead of failing the scan."""
     frames = []
     for name, scan in _scans(spark, sf_dir).items():
+        said = [F.lit(name).alias("table_name"), F.lit(scan.status).alias("status"),
+                F.lit(len(scan.heads.groups)).cast("bigint").alias("header_groups"),
+                F.lit(",".join(scan.duplicate_columns)).alias("duplicate_columns")]
         if scan.frame is None:
-            frames.append(spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(scan.status).alias("status"),
-                F.lit(0).cast("bigint").alias("row_count"), F.lit(0).cast("bigint").alias("corrupt_rows"),
-                F.lit(0).cast("bigint").alias("rows_with_nulls")))
+            none = F.lit(0).cast("bigint")
+            frames.append(spark.range(1).select(*said, none.alias("row_count"), none.alias("corrupt_rows"),
+                                                none.alias("rows_with_nulls")))
         else:
             any_null = F.lit(False)
             for c in scan.frame.columns:
@@ -696,8 +728,7 @@ def q_tolerant_scan(spark, sf_dir):
                 F.count(F.lit(1)).alias("row_count"),
                 F.count(S.CORRUPT).alias("corrupt_rows"),
                 F.count_if(any_null).alias("rows_with_nulls")).select(
-                F.lit(name).alias("table_name"), F.lit(scan.status).alias("status"),
-                "row_count", "corrupt_rows", "rows_with_nulls"))
+                *said, "row_count", "corrupt_rows", "rows_with_nulls"))
     return P.union_all(frames)
 
 
@@ -715,23 +746,22 @@ def q_input_completeness(spark, sf_dir):
 
 @query("text_profile")
 def q_text_profile(spark, sf_dir):
-    """Per written CSV table: records (CSV-aware), line-based data rows, header
-    and the bytes without headers.  Only values that do not depend on how the
-    writer split the files; the header is all that is read while building."""
+    """Per table of the hard drop: records (CSV-aware), line-based data rows,
+    header of the most files' bytes, headers in use and the bytes without
+    headers, whatever the line ends.  Only values that do not depend on how the
+    writer split the files; the heads are all that is read while building."""
     frames = []
-    for name, path in _write_registry_csv(spark, sf_dir).items():
-        names = S.csv_header(spark, path)
-        header = ",".join(names)
-        records = spark.read.schema(", ".join(f"`{c}` string" for c in names)).options(
-            **S.csv_options(name in S.MULTILINE_TABLES)).csv(path).agg(F.count(F.lit(1))).scalar()
-        per_file = S.text_lines(spark, path).groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("lines"))
-        frames.append(per_file.agg(
-            F.sum(F.col("lines") - 1).alias("line_rows"),
-            F.sum(F.col("file_size") - F.lit(len(header.encode()) + 1)).alias("data_bytes"),
-        ).select(
-            F.lit(name).alias("table_name"), records.alias("records"), F.col("line_rows").cast("bigint").alias("line_rows"),
-            F.lit(len(names)).alias("header_columns"), F.lit(header).alias("header"),
-            F.col("data_bytes").cast("bigint").alias("data_bytes")))
+    for name, path in _write_hard_drop(spark, sf_dir).items():
+        heads = group_heads(file_heads(spark, path)) if path_exists(spark, path) else Heads()
+        files = [f for g in heads.groups for f in g.files]
+        header = heads.groups[0].header if files else ()
+        records = S.group_records(spark, heads, path, name in S.MULTILINE_TABLES).scalar() if files else F.lit(0)
+        lines = S.text_lines(spark, path).agg(F.count(F.lit(1))).scalar() if files else F.lit(0)
+        frames.append(spark.range(1).select(
+            F.lit(name).alias("table_name"), records.cast("bigint").alias("records"),
+            (lines - len(files)).cast("bigint").alias("line_rows"), F.lit(len(header)).alias("header_columns"),
+            F.lit(",".join(header)).alias("header"), F.lit(len(heads.groups)).cast("bigint").alias("header_groups"),
+            F.lit(sum(f.size - f.head_bytes for f in files)).cast("bigint").alias("data_bytes")))
     return P.union_all(frames)
 
 

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +38,9 @@ class RawCsvTables:
         self.spark, self.raw_dir, self.file_names = spark, raw_dir.rstrip("/"), file_names
         if unknown := set(file_names or ()) - set(RAW_FILES):
             raise ValueError(f"no source table is called {sorted(unknown)}; known: {sorted(RAW_FILES)}")
-        self.scans = {
-            name: S.tolerant_scan(spark, name, f"{self.raw_dir}/{fname}", RAW_SCHEMAS[name], null_tokens=null_tokens)
-            for name, fname in {**RAW_FILES, **(file_names or {})}.items()
-        }
+        self.scans = S.tolerant_scans(
+            spark, {name: f"{self.raw_dir}/{fname}" for name, fname in {**RAW_FILES, **(file_names or {})}.items()},
+            RAW_SCHEMAS, null_tokens=null_tokens)
 
     def for_profile(self) -> RawCsvTables:
         return RawCsvTables(self.spark, self.raw_dir, self.file_names, S.NULL_TOKENS)
@@ -69,28 +70,36 @@ def open_inputs(spark: SparkSession, raw_dir: str | None = None, tables_dir: str
     raise ValueError("give raw_dir (CSV drop) or tables_dir (parquet test tables)")
 
 
+def _profile_scan(spark: SparkSession, name: str, scan: S.ScanResult) -> DataFrame:
+    """A table's profile; the row of a table that could not be read says why."""
+    status, message = scan.status, scan.message
+    if scan.frame is not None:
+        try:
+            return P.profile_table(scan.frame, name, EXPECTED_COLUMNS[name], True, scan.header, S.CORRUPT).select(
+                "*", F.lit(status).alias("status"), F.lit(message).alias("message"),
+                *[F.array(*[F.lit(c) for c in found]).cast("array<string>").alias(label) for label, found in (
+                    ("partial_columns", scan.partial_columns), ("duplicate_columns", scan.duplicate_columns))],
+                F.lit(len(scan.heads.groups)).alias("header_groups"), F.lit(len(scan.heads.empty)).alias("empty_files"))
+        except (PySparkException, Py4JJavaError) as err:    # a file that breaks while it is read
+            status, message = "unreadable", str(err).splitlines()[0]
+    return spark.range(1).select(F.lit(name).alias("table_name"), F.lit(status).alias("status"),
+                                 F.lit(message).alias("message"))
+
+
 def profile_job(inputs, out_path: str) -> DataFrame:
     """Profile every source table and write the profile as JSON: a row for
-    each, with its status, what the header lacks or has besides, and the rows
-    that the CSV parser could not fit; tables that are missing or unreadable
-    have a row too.  Returns the written profile."""
-    spark, frames = None, []
+    each, with its status, what the headers lack or have besides, and the rows
+    that the CSV parser could not fit; tables that are missing, empty or
+    unreadable have a row too, and leave the others as they are.  Each table is
+    read once.  Returns the written profile."""
     if isinstance(inputs, RawCsvTables):
         spark = inputs.spark
-        for name, scan in inputs.for_profile().scans.items():
-            if scan.frame is None:
-                frames.append(spark.range(1).select(
-                    F.lit(name).alias("table_name"), F.lit(scan.status).alias("status"), F.lit(scan.message).alias("message")))
-            else:
-                # with the data columns beside it: Spark does not read a corrupt-record column alone
-                row = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in scan.frame.columns])
-                corrupt = scan.frame.agg(F.count(F.when(F.col(S.CORRUPT).isNotNull(), row))).scalar()
-                frames.append(P.profile_table(scan.frame.drop(S.CORRUPT), name, EXPECTED_COLUMNS[name], True, scan.header)
-                              .withColumns({"status": F.lit(scan.status), "corrupt_rows": corrupt}))
+        frames = [_profile_scan(spark, name, scan) for name, scan in inputs.for_profile().scans.items()]
     else:
-        for name, df in inputs.as_dict().items():
-            spark = df.sparkSession
-            frames.append(P.profile_table(df, name, EXPECTED_COLUMNS[name], True).withColumn("status", F.lit("loaded")))
+        tables = inputs.as_dict()
+        spark = next(iter(tables.values())).sparkSession
+        frames = [P.profile_table(df, name, EXPECTED_COLUMNS[name], True).withColumn("status", F.lit("loaded"))
+                  for name, df in tables.items()]
     whole = frames[0]
     for f in frames[1:]:
         whole = whole.unionByName(f, allowMissingColumns=True)

@@ -26,6 +26,20 @@ def file_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def first_bytes(spark: SparkSession, path: str, most: int) -> tuple[bytes, int]:
+    """(the first ``most`` bytes of a file's content, the file's size); a file
+    that is compressed by its name, as Spark reads it, is expanded."""
+    fs, p = _resolve(spark, path)
+    size = fs.getFileStatus(p).getLen()
+    codec = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    stream = fs.open(p)
+    try:
+        return bytes((codec.createInputStream(stream) if codec else stream).readNBytes(most)), size
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove what a job wrote for itself (scratch data after use)."""
     fs, p = _resolve(spark, path)

@@ -1,14 +1,15 @@
 """Readers: typed CSV, tolerant CSV, Parquet and raw-text scans.
 
 All readers take explicit schemas, so no inference pass is spent over the
-data; CSV columns are bound by the header's names, for which Spark reads one
-line, and read multi-line aware (quoted newlines stay in one record).
+data; CSV columns are bound by the names of each file's own header (``heads``),
+and read multi-line aware (quoted newlines stay in one record).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from cartwright.functions.scalars import safe_cast, safe_timestamp
 from cartwright.sources.fs import path_exists
+from cartwright.sources.heads import HeaderGroup, Heads, file_heads, group_heads
 
 CORRUPT = "_corrupt_record"
 
@@ -43,39 +45,60 @@ def csv_options(multiline: bool = False) -> dict[str, str]:
 
 
 class HeaderMismatch(ValueError):
-    """A CSV's header lacks columns that the reader was asked for."""
+    """A CSV's header lacks columns that the reader was asked for, or has one
+    of them twice."""
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV as its header has them (Spark reads one line),
-    without a byte-order mark or white space around names."""
-    return [c.strip("\ufeff \t") for c in spark.read.options(**csv_options()).csv(path).columns]
+def _read_group(spark: SparkSession, group: HeaderGroup, paths: str | list[str], types: dict[str, T.DataType],
+                multiline: bool, corrupt: bool = False, **options: str) -> DataFrame:
+    """Files of one header, read by position under its names (its header line
+    is skipped); of a name that occurs more than once, the first column."""
+    own = {k: group.header[k] for k in group.columns}
+    fields = [T.StructField(f"c{k}", types.get(own[k], T.StringType()) if k in own else T.StringType(), True)
+              for k in range(len(group.header))]
+    if corrupt:
+        fields.append(T.StructField(CORRUPT, T.StringType(), True))
+        options["columnNameOfCorruptRecord"] = CORRUPT
+    raw = spark.read.options(**csv_options(multiline), **options).option("mode", "PERMISSIVE").schema(
+        T.StructType(fields)).csv(paths)
+    return raw.select(*[F.col(f"c{k}").alias(c) for k, c in own.items()], *([CORRUPT] if corrupt else []))
 
 
-def _by_header(spark: SparkSession, path: str, header: list[str], types: dict[str, T.DataType],
-               multiline: bool, extra: tuple[T.StructField, ...] = ()):
-    """Reader of the CSV under its header's own names and order.  ``enforceSchema`` is
-    off, so a part file with another header fails instead of being read by
-    position."""
-    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
-    return (spark.read.options(**csv_options(multiline)).option("enforceSchema", "false")
-            .option("mode", "PERMISSIVE").schema(T.StructType([*fields, *extra])))
+def _paths_of(heads: Heads, group: HeaderGroup, path: str) -> str | list[str]:
+    """The table's own path where all its files can be read alike."""
+    return path if len(heads.groups) == 1 and not heads.unreadable else group.paths
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for f in frames[1:]:
+        whole = whole.union(f)
+    return whole
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
                    infer: bool = False, multiline: bool = False) -> DataFrame:
-    """Header CSV with typed columns, bound by header name and returned in the
-    order of ``schema``; further columns of the file are left out, and
-    ``HeaderMismatch`` names the missing ones.  ``infer=True`` takes the types
-    from the data (a full extra pass, for schema-less sources)."""
+    """Header CSV with typed columns, bound by each file's own header and
+    returned in the order of ``schema``; further columns of the files are left
+    out, empty files have no rows, and ``HeaderMismatch`` names columns that a
+    header lacks or has twice.  ``infer=True`` takes the types from the data (a
+    full extra pass, for schema-less sources)."""
     if infer:
         return spark.read.options(**csv_options(multiline)).option("inferSchema", "true").csv(path)
-    header = csv_header(spark, path)
     names = [f.name for f in schema.fields]
-    if lost := [c for c in names if c not in header]:
-        raise HeaderMismatch(f"{path}: header {header} lacks {lost}")
     types = {f.name: f.dataType for f in schema.fields}
-    return _by_header(spark, path, header, types, multiline).csv(path).select(*[f"`{c}`" for c in names])
+    heads = group_heads(file_heads(spark, path))
+    if heads.unreadable:
+        raise HeaderMismatch("; ".join(heads.unreadable.values()))
+    for group in heads.groups:
+        if lost := [c for c in names if c not in group.header]:
+            raise HeaderMismatch(f"{group.paths[0]}: header {list(group.header)} lacks {lost}")
+        if twice := [c for c in group.duplicates if c in names]:
+            raise HeaderMismatch(f"{group.paths[0]}: header {list(group.header)} has {twice} more than once")
+    if not heads.groups:
+        return spark.createDataFrame([], schema)
+    return _union([_read_group(spark, g, _paths_of(heads, g, path), types, multiline).select(*[f"`{c}`" for c in names])
+                   for g in heads.groups])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -85,12 +108,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 @dataclass
 class ScanResult:
     table_name: str
-    status: str            # loaded | missing | unreadable
+    status: str            # loaded | empty | missing | unreadable
     frame: DataFrame | None
     message: str = ""
-    header: list[str] = field(default_factory=list)            # as in the file
-    missing_columns: list[str] = field(default_factory=list)   # expected, not in the header: read as NULL
-    extra_columns: list[str] = field(default_factory=list)     # in the header, not expected: left out
+    header: list[str] = field(default_factory=list)             # the names of all files' headers
+    missing_columns: list[str] = field(default_factory=list)    # expected, in no header: read as NULL
+    extra_columns: list[str] = field(default_factory=list)      # in a header, not expected: left out
+    partial_columns: list[str] = field(default_factory=list)    # expected, in some files' headers only
+    duplicate_columns: list[str] = field(default_factory=list)  # more than once in a header: the first is read
+    heads: Heads = field(default_factory=Heads)
 
 
 def _typed_from_text(df: DataFrame, schema: T.StructType, null_tokens: tuple[str, ...]) -> DataFrame:
@@ -108,36 +134,70 @@ def _typed_from_text(df: DataFrame, schema: T.StructType, null_tokens: tuple[str
     return df.select(*cols, CORRUPT)
 
 
-def tolerant_scan(spark: SparkSession, table_name: str, path: str, schema: T.StructType,
-                  multiline: bool | None = None, null_tokens: tuple[str, ...] = NULL_TOKENS) -> ScanResult:
-    """Read a CSV that may be missing, empty or partly malformed.
-
-    Missing paths produce a ``missing`` status instead of an exception.
-    Columns are bound by the header's names, whatever their order; expected
-    columns that it lacks are NULL and reported, further ones are reported and
-    left out.  Every field is read as text and cast with ``try_cast`` (bad
-    values -> NULL); rows the CSV parser cannot fit keep their text in
-    ``_corrupt_record``.  Text equal to one of ``null_tokens`` becomes NULL:
-    the profiler's rule, so the transform passes none and only empty fields
-    are NULL there.  Quoted line breaks are honoured for ``MULTILINE_TABLES``
-    (or ``multiline=True``).
+def tolerant_scans(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType],
+                   multiline: bool | None = None, null_tokens: tuple[str, ...] = NULL_TOKENS) -> dict[str, ScanResult]:
+    """Read the CSV tables of a drop, any of which may be missing, empty or
+    partly malformed; whatever is wrong with one leaves the others as they are.
+
+    The head of every file is read first.  Files without a line of text are
+    ``empty``, and so is a table that has no other; missing paths are
+    ``missing``; a table none of whose files has a header that can be read is
+    ``unreadable``.  Files are read in groups of equal headers, by the header's
+    names, whatever their order, and put together by name.  Expected columns
+    that no header has are NULL and reported, so are those that only some have
+    (``partial_columns``), further ones (left out) and names that a header has
+    more than once (the first is read).  Every field is read as text and cast
+    with ``try_cast`` (bad values -> NULL); rows the CSV parser cannot fit keep
+    their text in ``_corrupt_record``.  Text equal to one of ``null_tokens``
+    becomes NULL: the profiler's rule, so the transform passes none and only
+    empty fields are NULL there.  Quoted line breaks are honoured for
+    ``MULTILINE_TABLES`` (or ``multiline=True``).
     """
-    if multiline is None:
-        multiline = table_name in MULTILINE_TABLES
-    if "*" not in path and not path_exists(spark, path):
-        return ScanResult(table_name, "missing", None, f"path does not exist: {path}")
+    return {name: _scan(spark, name, path, schemas[name], name in MULTILINE_TABLES if multiline is None else multiline,
+                        null_tokens) for name, path in paths.items()}
+
+
+def _scan(spark: SparkSession, name: str, path: str, schema: T.StructType, multiline: bool,
+          null_tokens: tuple[str, ...]) -> ScanResult:
     try:
-        header = csv_header(spark, path)
-        reader = _by_header(spark, path, header, {}, multiline, (T.StructField(CORRUPT, T.StringType(), True),))
-        raw = reader.option("columnNameOfCorruptRecord", CORRUPT).option(
-            "nullValue", "\u0000" if null_tokens else "").csv(path)
-        frame = _typed_from_text(raw, schema, null_tokens)
-    except AnalysisException as err:
-        status = "missing" if "PATH_NOT_FOUND" in str(err) or "does not exist" in str(err) else "unreadable"
-        return ScanResult(table_name, status, None, str(err).splitlines()[0])
-    names = [f.name for f in schema.fields]
-    return ScanResult(table_name, "loaded", frame, "", header,
-                      sorted(set(names) - set(header)), sorted(set(header) - set(names)))
+        if "*" not in path and not path_exists(spark, path):
+            return ScanResult(name, "missing", None, f"path does not exist: {path}")
+        heads = group_heads(file_heads(spark, path))
+        frames = [_scan_group(spark, heads, g, path, schema, multiline, null_tokens) for g in heads.groups]
+    except (AnalysisException, Py4JJavaError) as err:
+        status = "missing" if "PATH_NOT_FOUND" in str(err) else "unreadable"
+        return ScanResult(name, status, None, str(err).splitlines()[0])
+    if not frames:
+        status = "unreadable" if heads.unreadable else "empty"
+        why = "; ".join(heads.unreadable.values()) or f"no file with a line of text: {path}"
+        return ScanResult(name, status, None, why, heads=heads)
+    names, held = set(schema.names), [set(g.header) for g in heads.groups]
+    return ScanResult(
+        name, "loaded", _union(frames), "; ".join(heads.unreadable.values()), heads.header,
+        sorted(names - set.union(*held)), sorted(set.union(*held) - names),
+        sorted(names & (set.union(*held) - set.intersection(*held))), heads.duplicates, heads)
+
+
+def _scan_group(spark: SparkSession, heads: Heads, group: HeaderGroup, path: str, schema: T.StructType, multiline: bool,
+                null_tokens: tuple[str, ...]) -> DataFrame:
+    raw = _read_group(spark, group, _paths_of(heads, group, path), {}, multiline, corrupt=True,
+                      nullValue="\u0000" if null_tokens else "")
+    return _typed_from_text(raw, schema, null_tokens)
+
+
+def tolerant_scan(spark: SparkSession, table_name: str, path: str, schema: T.StructType,
+                  multiline: bool | None = None, null_tokens: tuple[str, ...] = NULL_TOKENS) -> ScanResult:
+    """``tolerant_scans`` of one table."""
+    return tolerant_scans(spark, {table_name: path}, {table_name: schema}, multiline, null_tokens)[table_name]
+
+
+def group_records(spark: SparkSession, heads: Heads, path: str, multiline: bool = False) -> DataFrame:
+    """One row: the CSV records of all files, headers not counted."""
+    if not heads.groups:
+        return spark.range(1).select(F.lit(0).cast("bigint").alias("records"))
+    one = [_read_group(spark, g, _paths_of(heads, g, path), {}, multiline).select(F.lit(1).alias("one"))
+           for g in heads.groups]
+    return _union(one).agg(F.count("one").alias("records"))
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:

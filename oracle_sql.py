@@ -350,24 +350,30 @@ def _any_null(t: str) -> str:
 
 
 def _inputs(kind: str) -> str:
-    """The drop lacks reviews and geolocation, and has one order item line with
-    a field too many, which is a row without NULLs that the parser marks."""
+    """The drop lacks geolocation, reviews is a file without a line, customers
+    have two headers, the products' header has a name twice, and order items
+    have one line with a field too many, which is a row without NULLs that the
+    parser marks."""
     parts = []
     for t in ALL_INPUTS:
         view, one = CANON_VIEW.get(t), int(t == "order_items")
         rows = f"CAST(count(*) + {one} AS BIGINT)"
-        if view and kind == "completeness":
-            parts.append(f"SELECT '{t}' AS table_name, true AS present, count(*) > 0 AS complete, "
-                         f"{rows} AS row_count FROM {view}")
-        elif view:
-            parts.append(f"SELECT '{t}' AS table_name, 'loaded' AS status, {rows} AS row_count, "
-                         f"CAST({one} AS BIGINT) AS corrupt_rows, "
+        if kind == "completeness":
+            parts.append(f"SELECT '{t}' AS table_name, true AS present, count(*) > 0 AS complete, {rows} AS row_count FROM {view}"
+                         if view else f"SELECT '{t}' AS table_name, {str(t == 'reviews').lower()} AS present, "
+                                      "false AS complete, CAST(0 AS BIGINT) AS row_count")
+            continue
+        status = "loaded" if view else "empty" if t == "reviews" else "missing"
+        groups = 2 if t == "customers" else 1 if view else 0
+        twice = "product_weight_g" if t == "products" else ""
+        said = (f"SELECT '{t}' AS table_name, '{status}' AS status, CAST({groups} AS BIGINT) AS header_groups, "
+                f"'{twice}' AS duplicate_columns, ")
+        if view:
+            parts.append(f"{said}{rows} AS row_count, CAST({one} AS BIGINT) AS corrupt_rows, "
                          f"CAST(count(*) FILTER (WHERE {_any_null(t)}) AS BIGINT) AS rows_with_nulls FROM {view}")
-        elif kind == "completeness":
-            parts.append(f"SELECT '{t}' AS table_name, false AS present, false AS complete, CAST(0 AS BIGINT) AS row_count")
         else:
-            parts.append(f"SELECT '{t}' AS table_name, 'missing' AS status, CAST(0 AS BIGINT) AS row_count, "
-                         f"CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS rows_with_nulls")
+            parts.append(f"{said}CAST(0 AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS corrupt_rows, "
+                         "CAST(0 AS BIGINT) AS rows_with_nulls")
     return "\nUNION ALL ".join(parts)
 
 
@@ -384,14 +390,23 @@ def _csv_text(name: str, kind: str) -> str:
 
 
 def _text_profile() -> str:
+    """Sellers' lines end in two bytes; the products' lines have their weight
+    and one again at the end; customers have two headers of the same names."""
     parts = []
-    for t in REGISTRY:
-        line = " + 1 + ".join(f"strlen({_csv_text(n, k)})" for n, k in COLUMNS[t])   # separators, then the line's end
-        header = ",".join(n for n, _ in COLUMNS[t])
+    for t in ALL_INPUTS:
+        if t not in REGISTRY:
+            parts.append(f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS records, CAST(0 AS BIGINT) AS line_rows, "
+                         "0 AS header_columns, '' AS header, CAST(0 AS BIGINT) AS header_groups, CAST(0 AS BIGINT) AS data_bytes")
+            continue
+        names = [n for n, _ in COLUMNS[t]] + ["product_weight_g"] * (t == "products")
+        texts = [_csv_text(n, k) for n, k in COLUMNS[t]] + ["COALESCE(CAST(product_weight_g + 1 AS VARCHAR), '')"] * (
+            t == "products")
+        line = " + 1 + ".join(f"strlen({x})" for x in texts)   # separators, then the line's end
         parts.append(
             f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS records, CAST(count(*) AS BIGINT) AS line_rows, "
-            f"{len(COLUMNS[t])} AS header_columns, '{header}' AS header, "
-            f"CAST(sum({line} + 1) AS BIGINT) AS data_bytes FROM {CANON_VIEW[t]}")
+            f"{len(names)} AS header_columns, '{','.join(names)}' AS header, "
+            f"CAST({2 if t == 'customers' else 1} AS BIGINT) AS header_groups, "
+            f"CAST(sum({line} + {2 if t == 'sellers' else 1}) AS BIGINT) AS data_bytes FROM {CANON_VIEW[t]}")
     return "\nUNION ALL ".join(parts)
 
 

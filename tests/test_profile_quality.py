@@ -26,8 +26,48 @@ def test_duplicate_rows_are_exact_when_hashes_collide(spark):
     for modulus in (1, 2, 7):
         got = P.duplicate_row_count(df, row_hash=lambda cols: F.col(cols[0]) % modulus).collect()[0][0]
         assert got == 2
-    plan = P.duplicate_row_count(df)._jdf.queryExecution().executedPlan().toString()
-    assert "LeftSemi" in plan                      # full rows are compared only where hashes repeat
+
+
+def test_unique_rows_stay_in_their_scan(spark):
+    """Full rows are exchanged only above the sketch's filter, which lets the
+    repeated rows through and few others."""
+    df = spark.range(20_000).select("id", F.col("id").cast("string").alias("text"))
+    df = df.union(df.where("id % 100 = 0"))
+    plan = P.duplicate_row_count(df)._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Join" not in plan
+    wide = [k for k, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning(id" in line]
+    assert len(wide) == 1
+    below = plan.splitlines()[wide[0]:]
+    assert any("Filter (getbit" in line or "Filter (bit_get" in line or "Filter" in line and "scalar-subquery" in line
+               for line in below)
+    words = P._sketch_of(P._repeated(df.select(P._row_hash(df.columns).alias("_hash"))))
+    passed = df.where(P._in_sketch(P._row_hash(df.columns), words))
+    assert 400 <= passed.count() <= 400 + 20_000 * 2 / P.SKETCH_PER_HASH
+    assert P.duplicate_row_count(df).first()[0] == 200
+
+
+@pytest.mark.parametrize("most", [1 << 26, 1 << 10])
+def test_a_full_sketch_changes_no_result(spark, monkeypatch, most):
+    monkeypatch.setattr(P, "SKETCH_MOST", most)
+    df = spark.range(3000).select((F.col("id") % 1500).alias("a"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("b"))
+    expected = df.count() - df.distinct().count()
+    assert P.duplicate_row_count(df).first()[0] == expected == 1500
+
+
+def test_a_profile_reads_its_table_once(spark, tmp_path):
+    """No scan of the table is left in the profile's plan, unless rows repeat."""
+    df = spark.range(500).select("id", F.when(F.col("id") % 5 > 0, F.lit("x")).alias("s"))
+    once = P.scan_once(df.withColumn("_bad", F.when(F.col("id") < 7, F.lit("line"))), True, "_bad")
+    assert (once.corrupt_rows, once.repeats, once.hashes.count()) == (7, False, 500)
+    path = str(tmp_path / "t")
+    df.write.parquet(path)
+    profile = P.profile_table(spark.read.parquet(path), "t", columns=True)
+    assert path not in profile._jdf.queryExecution().executedPlan().toString()
+    r = profile.first()
+    assert (r["row_count"], r["null_cells"], r["duplicate_rows"], r["null_counts"]) == (500, 100, 0, {"id": 0, "s": 100})
+    twice = P.profile_table(df.union(df.where("id < 3")), "t").first()
+    assert (twice["row_count"], twice["duplicate_rows"]) == (503, 3)
+    assert P.profile_table(df.limit(0), "t", columns=True).first()["inferred_types"] == {"id": "void", "s": "void"}
 
 
 def test_inferred_types_follow_the_values(spark):

@@ -128,12 +128,74 @@ def test_columns_are_bound_by_header(spark):
     assert back.columns == ["product_category_name", "ts"] and back.first()[0] == "x"
 
 
-def test_part_files_with_another_header_are_not_read_by_position(spark):
-    path = _write("product_category_name,n,ts\nx,1,2018-01-01 00:00:00\n")
-    with open(os.path.join(path, "part2.csv"), "w", encoding="utf-8") as fh:
-        fh.write("n,product_category_name,ts\n2,y,2018-01-01 00:00:00\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        S.read_csv_typed(spark, path, SCHEMA).collect()
+def _write_files(files: dict[str, bytes]) -> str:
+    d = tempfile.mkdtemp(prefix="cartwright csv-")
+    for name, raw in files.items():
+        with open(os.path.join(d, name), "wb") as fh:
+            fh.write(raw)
+    return d
+
+
+def test_part_files_are_read_by_their_own_headers(spark):
+    files = {"a.csv": b"product_category_name,n,ts\nx,1,2018-01-01 00:00:00\n",
+             "b.csv": b"n,product_category_name,ts\n2,y,2018-01-01 00:00:00\n", "c.csv": b""}
+    path = _write_files(files)
+    assert sorted(r[:2] for r in map(tuple, S.read_csv_typed(spark, path, SCHEMA).collect())) == [("x", 1), ("y", 2)]
+    with pytest.raises(S.HeaderMismatch, match="ts"):
+        S.read_csv_typed(spark, _write_files({**files, "d.csv": b"n,product_category_name\n"}), SCHEMA)
+    with pytest.raises(S.HeaderMismatch, match="more than once"):
+        S.read_csv_typed(spark, _write_files({"d.csv": b"n,product_category_name,ts,n\n"}), SCHEMA)
+    assert S.read_csv_typed(spark, _write_files({"c.csv": b""}), SCHEMA).collect() == []
+
+
+def test_tolerant_scan_groups_files_by_header(spark):
+    path = _write_files({
+        "a.csv": b"\xef\xbb\xbfproduct_category_name,n,ts\r\nx,1,\r\n", "b.csv": b"ts,n,product_category_name\n,2,y\n",
+        "c.csv": b"", "d.csv": b"\n \n", "e.csv": b"n,more\n3,z\n", "f.csv": b"n,product_category_name,n\n4,v,9\n",
+        "g.csv": b"n,product_category_name\r5,w\r", "h.csv": b"\n\nn,product_category_name\n6,u\n"})
+    scan = S.tolerant_scan(spark, "t", path, SCHEMA)
+    assert scan.status == "loaded" and len(scan.heads.groups) == 5
+    assert sorted((tuple(r)[:2] for r in scan.frame.collect()), key=lambda r: r[1]) == [
+        ("x", 1), ("y", 2), (None, 3), ("v", 4), ("w", 5), ("u", 6)]
+    assert (scan.missing_columns, scan.extra_columns) == ([], ["more"])
+    assert scan.partial_columns == ["product_category_name", "ts"] and scan.duplicate_columns == ["n"]
+    assert [os.path.basename(f.path) for f in scan.heads.empty] == ["c.csv", "d.csv"]
+
+
+def test_whatever_is_wrong_with_one_table_leaves_the_others(spark):
+    root = _write_files({"ok.csv": b"n\n1\n", "empty.csv": b"", "quote.csv": b'n,"ts\n1,2\n', "zip.csv.gz": b"no gzip",
+                         "header.csv": b"n,ts"})
+    names = {"ok": "ok.csv", "empty": "empty.csv", "quote": "quote.csv", "zip": "zip.csv.gz", "header": "header.csv",
+             "none": "none.csv"}
+    scans = S.tolerant_scans(spark, {k: f"{root}/{v}" for k, v in names.items()}, dict.fromkeys(names, SCHEMA))
+    assert {k: s.status for k, s in scans.items()} == {
+        "ok": "loaded", "empty": "empty", "quote": "unreadable", "zip": "unreadable", "header": "loaded", "none": "missing"}
+    assert scans["ok"].frame.count() == 1 and scans["header"].frame.count() == 0
+    assert all(s.message for k, s in scans.items() if s.frame is None)
+
+
+def test_first_lines_and_their_bytes():
+    from cartwright.sources.heads import FileHead, first_line
+
+    assert first_line(b"a,b\n1,2\n", True) == (b"a,b", 4)
+    assert first_line(b"\xef\xbb\xbfa,b\r\n1", True) == (b"a,b", 8)
+    assert first_line(b"\r\n \na,b\r1", True) == (b"a,b", 8)
+    assert first_line(b"a,b", True) == (b"a,b", 3)
+    assert first_line(b"a,b", False) is None and first_line(b"\n\n", False) is None
+    assert first_line(b"", True) == (None, 0) and first_line(b" \n", True) == (None, 2)
+    assert FileHead("p", 9, b' a ,"b,c","d""e"').header() == ("a", "b,c", 'd"e')
+
+
+def test_long_headers_are_fetched_whole(spark, monkeypatch):
+    from cartwright.sources import heads
+
+    monkeypatch.setattr(heads, "FIRST", 8)
+    path = _write_files({"a.csv": b"\n" * 20 + b"n,product_category_name,ts\n1,x,\n"})
+    (head,) = heads.file_heads(spark, path)
+    assert head.header() == ("n", "product_category_name", "ts") and head.head_bytes == 47
+    monkeypatch.setattr(heads, "LONGEST", 16)
+    (head,) = heads.file_heads(spark, _write_files({"a.csv": b"n" * 500 + b"\n"}))
+    assert "does not end" in head.error
 
 
 def test_only_the_profiler_reads_words_as_null(spark):
