@@ -600,9 +600,16 @@ def q_duplicate_keys(spark, sf_dir):
 
 @query("output_contract")
 def q_output_contract(spark, sf_dir):
+    """The master, written as it is, and one written with another state for
+    its first order: as many rows of the same schema, which must not pass."""
     master = _master(spark, sf_dir)
-    path = scratch_path(spark, "master_orders")
-    return K.write_with_contract(master, path, "master_orders", ("purchase_year", "purchase_month"))
+    first = master.agg(F.min("order_id")).scalar()
+    state = F.when(F.col("order_id") == first, F.concat(F.coalesce("customer_state", F.lit("")), F.lit("?"))).otherwise(
+        F.col("customer_state"))
+    return K.write_with_contract(
+        master, scratch_path(spark, "master_orders"), "master_orders", ("purchase_year", "purchase_month")).union(
+        K.write_with_contract(master, scratch_path(spark, "changed_orders"), "changed_orders",
+                              write=lambda df, to: df.withColumn("customer_state", state).write.parquet(to)))
 
 
 # ---------------------------------------------------------------- sources and sinks (S, K)

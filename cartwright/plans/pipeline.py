@@ -129,8 +129,9 @@ def transform_job(inputs, out_dir: str, partition_by: tuple[str, ...] = (),
     persisted once for its two writes.  With ``buckets`` the master is
     bucketed on ``order_id`` (table ``master_orders``), so the reports job's
     order-level dedup reads co-located buckets instead of shuffling.  Either
-    way the written table is read back and checked; ``ContractBroken`` is
-    raised if it does not hold what was written."""
+    way the written table is read back and its content checked before it takes
+    the former one's place; ``ContractBroken`` is raised if it does not hold
+    what was written, and the former master stays."""
     out_dir = out_dir.rstrip("/")
     observations, observed = {}, {}
     for name in MASTER_INPUTS:
@@ -140,13 +141,9 @@ def transform_job(inputs, out_dir: str, partition_by: tuple[str, ...] = (),
     master = master_from_tables(_Observed(observed, inputs)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         master_path, summary_path = f"{out_dir}/master_orders", f"{out_dir}/orders_summary"
-        if buckets:
-            check = K.write_with_contract(
-                master, master_path, "master_orders",
-                write=lambda df: K.write_bucketed(df, master_path, MASTER_TABLE, "order_id", buckets))
-        else:
-            check = K.write_with_contract(master, master_path, "master_orders", partition_by)
-        contract = K.assert_contract(check)
+        contract = K.assert_contract(K.write_with_contract(
+            master, master_path, "master_orders", partition_by,
+            buckets=(MASTER_TABLE, "order_id", buckets) if buckets else None))
         K.write_csv(orders_summary(master).drop("payment_types"), summary_path)
     finally:
         master.unpersist()

@@ -40,6 +40,19 @@ def first_bytes(spark: SparkSession, path: str, most: int) -> tuple[bytes, int]:
         stream.close()
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename within one file system; the target must not exist."""
+    fs, p = _resolve(spark, source)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    parent = to.getParent()
+    if fs.exists(to):
+        raise FileExistsError(target)
+    if parent is not None:
+        fs.mkdirs(parent)
+    if not fs.rename(p, to):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove what a job wrote for itself (scratch data after use)."""
     fs, p = _resolve(spark, path)

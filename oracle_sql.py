@@ -670,9 +670,11 @@ def _bodies() -> dict[str, str]:
         "null_key_count": "SELECT CAST(count(*) FILTER (WHERE order_id IS NULL) AS BIGINT) AS null_keys FROM c_master",
         "duplicate_keys": """SELECT order_id, order_item_id, CAST(count(*) AS BIGINT) AS count FROM c_items
             GROUP BY order_id, order_item_id HAVING count(*) > 1""",
-        "output_contract": """SELECT 'master_orders' AS dataset, CAST(count(*) AS BIGINT) AS expected_rows,
-            CAST(count(*) AS BIGINT) AS written_rows, true AS schema_match, true AS success_marker,
-            true AS passed FROM c_master""",
+        "output_contract": """SELECT d.dataset, CAST(count(*) AS BIGINT) AS expected_rows,
+            CAST(count(*) AS BIGINT) AS written_rows, true AS schema_match, d.whole AS content_match,
+            true AS success_marker, d.whole AS passed
+            FROM c_master, (VALUES ('master_orders', true), ('changed_orders', false)) d(dataset, whole)
+            GROUP BY d.dataset, d.whole""",
         "source_row_counts": _registry_counts(["orders", "order_items", "customers", "products", "payments"]),
         "scan_csv_roundtrip": "SELECT * FROM c_orders",
         "empty_fields": _empty_fields(),

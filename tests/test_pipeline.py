@@ -70,7 +70,7 @@ def test_bucketed_master_makes_report_dedup_shuffle_free(spark):
 @pytest.mark.parametrize("buckets", [None, 3])
 def test_a_truncated_output_makes_the_transform_raise(spark, monkeypatch, buckets):
     tables, out = load_commerce(spark, SF_SMALL), tempfile.mkdtemp(prefix="cartwright-broken-")
-    for name in ("write_parquet", "write_bucketed"):
+    for name in ("_parquet", "write_bucketed"):
         whole = getattr(K, name)
         monkeypatch.setattr(K, name, lambda df, *a, w=whole: (df.count(), w(df.limit(3), *a)))
     with pytest.raises(K.ContractBroken):
@@ -78,6 +78,25 @@ def test_a_truncated_output_makes_the_transform_raise(spark, monkeypatch, bucket
     spark.sql("DROP TABLE IF EXISTS master_orders")
 
 
+def test_a_table_that_breaks_while_it_is_read_leaves_the_others(spark):
+    import gzip
+
+    raw = tempfile.mkdtemp(prefix="cartwright-raw-")
+    lines = "\n".join(f"s{i},{i},city{i * 7919 % 10007},SP" for i in range(50_000))
+    packed = gzip.compress(f"seller_id,seller_zip_code_prefix,seller_city,seller_state\n{lines}\n".encode())
+    with open(f"{raw}/sellers.csv.gz", "wb") as fh:
+        fh.write(packed[:len(packed) // 2])
+    with open(f"{raw}/customers.csv", "w", encoding="utf-8") as fh:
+        fh.write("customer_id,customer_state\nc1,SP\nc1,SP\n")
+    open(f"{raw}/payments.csv", "w").close()
+    inputs = PL.open_inputs(spark, raw_dir=raw, file_names={"sellers": "sellers.csv.gz"})
+    assert inputs.statuses()["payments"] == "empty"
+    prof = {r["table_name"]: r for r in PL.profile_job(inputs, f"{raw}/profile").collect()}
+    assert prof["sellers"]["status"] == "unreadable" and prof["sellers"]["message"]
+    assert prof["payments"]["status"] == "empty"
+    assert (prof["customers"]["status"], prof["customers"]["duplicate_rows"]) == ("loaded", 1)
+
+
 def test_schema_validity_comes_from_the_header(spark):
     raw = tempfile.mkdtemp(prefix="cartwright-raw-")
     with open(f"{raw}/people.csv", "w", encoding="utf-8") as fh:

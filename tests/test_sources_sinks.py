@@ -54,6 +54,79 @@ def test_typed_csv_roundtrip_and_contract(spark):
     assert c["passed"]
 
 
+def _fails_at(k):
+    from pyspark.sql import functions as F
+
+    return F.when(F.col("id") == k, F.raise_error(F.lit("broken row")).cast("bigint")).otherwise(F.col("id"))
+
+
+@pytest.mark.parametrize("write", ["write_parquet", "write_csv", "write_json"])
+def test_a_failing_job_leaves_the_former_output(spark, tmp_path, write):
+    path, read = str(tmp_path / "out"), {"write_parquet": spark.read.parquet, "write_json": spark.read.json,
+                                         "write_csv": spark.read.option("header", True).csv}[write]
+    getattr(K, write)(spark.range(5), path)
+    with pytest.raises(Exception, match="broken row"):
+        getattr(K, write)(spark.range(100, numPartitions=4).select(_fails_at(77).alias("id")), path)
+    assert read(path).count() == 5
+    getattr(K, write)(read(path).union(read(path)), path)       # a job may replace what it reads
+    assert read(path).count() == 10
+    assert sorted(os.listdir(tmp_path)) == ["out"]              # no staging, no former output left behind
+
+
+def test_a_failing_bucketed_job_leaves_the_former_table(spark, tmp_path):
+    path = str(tmp_path / "out")
+    K.write_bucketed(spark.range(5), path, "t_staged", "id", 2)
+    with pytest.raises(Exception, match="broken row"):
+        K.write_bucketed(spark.range(100).select(_fails_at(77).alias("id")), path, "t_staged", "id", 2)
+    assert spark.table("t_staged").count() == spark.read.parquet(path).count() == 5
+    K.write_bucketed(spark.range(9), path, "t_staged", "id", 2)
+    assert spark.table("t_staged").count() == 9
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("t_staged")] == ["t_staged"]
+    spark.sql("DROP TABLE t_staged")
+
+
+def test_a_failed_rename_puts_the_former_output_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    K.write_parquet(spark.range(5), path)
+    real = K.rename
+
+    def once_broken(spark, source, target):
+        if "-staging-" in source:
+            raise OSError("no rename")
+        real(spark, source, target)
+
+    monkeypatch.setattr(K, "rename", once_broken)
+    with pytest.raises(OSError):
+        K.write_parquet(spark.range(9), path)
+    assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_path) == ["out"]
+
+
+def test_contract_compares_content(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.range(50).select("id", (F.col("id") % 3).cast("int").alias("p"), F.array(F.lit(None), F.col("id")).alias("a"),
+                                F.when(F.col("id") % 2 == 0, F.lit("x")).alias("s"),
+                                F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    path = str(tmp_path / "out")
+    assert K.write_with_contract(df, path, "t", ("p",)).first()["passed"]
+    changes = {
+        "one value": lambda d: d.withColumn("s", F.when(F.col("id") == 7, F.lit("y")).otherwise(F.col("s"))),
+        "values between rows": lambda d: d.withColumn("s", F.when(F.col("id") % 2 == 1, F.lit("x"))),
+        "a row twice for another": lambda d: d.where("id <> 7").union(d.where("id = 9")),
+        "inside an array": lambda d: d.withColumn("a", F.reverse("a")),
+        "a row less": lambda d: d.where("id <> 7"),
+    }
+    for what, change in changes.items():
+        broken = K.write_with_contract(df, path, "t", write=lambda d, to, c=change: c(d).write.parquet(to))
+        row = broken.first()
+        assert not row["passed"] and not row["content_match"], what
+        assert (row["written_rows"] == 50) == (what != "a row less") and row["schema_match"]
+        with pytest.raises(K.ContractBroken, match="content match False"):
+            K.assert_contract(broken)
+        assert "p=0" in os.listdir(path)                         # the former output is still there
+    assert K.write_with_contract(df.limit(0), path, "t").first()["passed"]
+
+
 def test_scratch_paths_are_fresh_and_under_checkpoint_dir(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b
