@@ -5,7 +5,8 @@ status / state / month / day, a row count fixed by the calendar and the
 number of groups rather than by the data volume, so the single-partition
 exchange Spark plans for them moves a few thousand rows at any scale.
 For row-level inputs use ``share_of_total`` (scalar-subquery total, no
-single-partition window).
+single-partition window), ``dense_rank_distributed``, and ``prefix`` for lags,
+running sums and moving averages.
 """
 
 from __future__ import annotations
@@ -107,31 +108,34 @@ def dense_rank_distributed(df: DataFrame, value: str, name: str,
     """``DENSE_RANK() OVER (ORDER BY value DESC)`` without a single-partition
     window, for an unbounded number of rows.
 
-    The rows are range-partitioned on the value, highest first, and
-    checkpointed to the shared folder, which fixes the ranges (a recomputed
-    split could shift their bounds) and computes ``df`` once.  Equal values
-    share a range, so the built-in rank within a range plus the number of
-    distinct values in the ranges before it is the rank; one row per range is
-    all that is gathered for the offsets.  NULLs rank last, as in the window
-    form.
+    Only the distinct values are ranked: reduced map-side, range-partitioned,
+    highest first, and checkpointed to the shared folder, which fixes the
+    ranges (a recomputed split could shift their bounds).  A value's place in
+    its range plus the number of values in the ranges before it is its rank;
+    one row per range is all that is gathered for the offsets.  The ranks are
+    joined back to the rows, ``df`` itself being checkpointed so that it is
+    computed once, by a join that AQE splits where one value (or NULL) holds
+    many rows.  NULLs rank last, as in the window form.
     """
     from cartwright.session import checkpoint_root
 
     spark = df.sparkSession
     checkpoint_root(spark)
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.checkpoint()
+    by_value = F.col("_value").desc_nulls_last()
     ranged = (
-        df.repartitionByRange(n, F.col(value).desc_nulls_last())
+        rows.select(F.col(f"`{value}`").alias("_value")).distinct()
+        .repartitionByRange(n, by_value)
         .withColumn("_range", F.spark_partition_id())
         .checkpoint()
     )
-    within = Window.partitionBy("_range").orderBy(F.col(value).desc_nulls_last())
-    ranked = ranged.withColumn("_rank", F.dense_rank().over(within))
-    sizes = ranked.groupBy("_range").agg(F.max("_rank").alias("_distinct"))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_distinct"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_distinct").over(before), F.lit(0)).alias("_offset"))
-    return (
-        ranked.join(F.broadcast(offsets), "_range")      # at most ``n`` rows
-        .withColumn(name, (F.col("_rank") + F.col("_offset")).cast("int"))
-        .drop("_range", "_rank", "_offset")
+    ranks = (
+        ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy(by_value)))
+        .join(F.broadcast(offsets), "_range")            # at most ``n`` rows
+        .select("_value", (F.col("_place") + F.col("_offset")).cast("int").alias(name))
     )
+    return rows.join(ranks, F.col(f"`{value}`").eqNullSafe(F.col("_value"))).drop("_value")

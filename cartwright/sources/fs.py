@@ -40,6 +40,20 @@ def first_bytes(spark: SparkSession, path: str, most: int) -> tuple[bytes, int]:
         stream.close()
 
 
+def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Paths of the files in a folder whose names end in ``suffix``, by name."""
+    fs, p = _resolve(spark, folder)
+    if not fs.exists(p):
+        raise FileNotFoundError(folder)
+    found = [f.getPath().toString() for f in fs.listStatus(p) if f.isFile()]
+    return sorted(f for f in found if f.endswith(suffix))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's whole text (UTF-8)."""
+    return first_bytes(spark, path, (1 << 31) - 1)[0].decode("utf-8")
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Rename within one file system; the target must not exist."""
     fs, p = _resolve(spark, source)
