@@ -11,6 +11,7 @@ or per column).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.functions.scalars import half_up_ratio
+from cartwright.operators.widening import text_fits, widens_to
 from cartwright.session import scratch_path
 
 # Bytes per non-NULL value of fixed-width types.
@@ -55,11 +57,11 @@ INFERRED = (
 )
 
 
-def _fits(f: T.StructField) -> Column:
+def _fits(f: T.StructField, col: Column | None = None) -> Column:
     """Bits of the types in ``INFERRED`` that a value's text fits.  What the
     text of integers, decimals, dates, timestamps and booleans looks like is
     known, so only text and floating-point values are matched."""
-    c, bit = F.col(f.name), {name: 1 << k for k, (name, _) in enumerate(INFERRED)}
+    c, bit = F.col(f"`{f.name}`") if col is None else col, {name: 1 << k for k, (name, _) in enumerate(INFERRED)}
     if isinstance(f.dataType, T.IntegralType):
         return F.when(F.abs(c.cast("decimal(20,0)")) < F.lit(10 ** 18).cast("decimal(20,0)"),
                       F.lit(bit["bigint"] | bit["double"])).otherwise(F.lit(bit["double"]))
@@ -82,16 +84,22 @@ def _inferred(bits: Column) -> Column:
     return F.when(bits.isNull(), F.lit("void")).otherwise(kind)
 
 
-def _stat_aggs(fields: list[T.StructField], infer: bool) -> list[Column]:
-    """Aggregates of a table's statistics, one column each."""
+def _stat_aggs(fields: list[T.StructField], infer: bool, texts: str | None = None) -> list[Column]:
+    """Aggregates of a table's statistics, one column each.  With ``texts``, a
+    struct of the fields' texts as their files have them, types are inferred
+    from these, and values whose text does not fit the field's type counted."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
         col = F.col(f"`{f.name}`")
         aggs.append(F.count_if(col.isNull()).alias(f"_n{i}"))
         aggs.append(F.sum(value_bytes(f.name, f.dataType)).alias(f"_b{i}"))
+        text = F.col(f"{texts}.`{f.name}`") if texts else None
         if infer:
             # a bit for each type that a value fits; those that all values fit remain
-            aggs.append(F.bit_and(F.when(col.isNotNull(), _fits(f))).alias(f"_t{i}"))
+            value = T.StructField(f.name, T.StringType()) if texts else f
+            aggs.append(F.bit_and(F.when((text if texts else col).isNotNull(), _fits(value, text))).alias(f"_t{i}"))
+        if texts:
+            aggs.append(F.count_if(text.isNotNull() & ~text_fits(text, f.dataType)).alias(f"_x{i}"))
     return aggs
 
 
@@ -206,15 +214,17 @@ class TablePass:
     hashes: DataFrame
     corrupt_rows: int
     repeats: bool
+    misfits: dict[str, int]     # column: values whose text does not fit its type
 
 
-def scan_once(df: DataFrame, infer: bool, corrupt: str | None = None) -> TablePass:
+def scan_once(df: DataFrame, infer: bool, corrupt: str | None = None, texts: str | None = None) -> TablePass:
     """Reads the table once, in a job of its own: statistics and the number of
     rows whose column ``corrupt`` is filled are observed while the row hashes
-    are written.  A second small job finds whether any hash repeats."""
+    are written.  ``texts`` is a struct of the columns' texts, where they came
+    from text.  A second small job finds whether any hash repeats."""
     spark = df.sparkSession
-    data = [f for f in df.schema.fields if f.name != corrupt]
-    aggs = _stat_aggs(data, infer)
+    data = [f for f in df.schema.fields if f.name not in (corrupt, texts)]
+    aggs = _stat_aggs(data, infer, texts)
     if corrupt:
         aggs.append(F.count(f"`{corrupt}`").alias("_corrupt"))
     observation, path = Observation(), scratch_path(spark, "row-hashes")
@@ -223,24 +233,28 @@ def scan_once(df: DataFrame, infer: bool, corrupt: str | None = None) -> TablePa
     hashes = spark.read.schema("_hash bigint").parquet(path)
     stats = spark.range(1).select(*[F.lit(v).cast("bigint" if k[1] != "t" else "int").alias(k)
                                     for k, v in found.items() if k != "_corrupt"])
-    return TablePass(stats, hashes, int(found.get("_corrupt") or 0), not _repeated(hashes).isEmpty())
+    misfits = {f.name: n for i, f in enumerate(data) if (n := found.get(f"_x{i}"))}
+    return TablePass(stats, hashes, int(found.get("_corrupt") or 0), not _repeated(hashes).isEmpty(), misfits)
 
 
 def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = None,
-                  columns: bool = False, found: list[str] | None = None, corrupt: str | None = None) -> DataFrame:
+                  columns: bool = False, found: list[str] | None = None, corrupt: str | None = None,
+                  texts: str | None = None) -> DataFrame:
     """One summary row: shape, NULL cells, logical bytes, duplicate rows and
     schema validity against ``expected`` column names; with ``columns`` also
     the per-column maps of ``COLUMN_MAPS``; with ``corrupt``, a column that is
-    no part of the data, the number of rows where it is filled.  ``found`` are
-    the names that the source itself has (a CSV's header) where ``df`` was
-    given others.  The table is read by ``scan_once`` while the profile is
+    no part of the data, the number of rows where it is filled; with ``texts``,
+    a struct of the columns' texts, types are inferred from these, and
+    ``misfits`` has the number of values that do not fit their column's type,
+    by column.  ``found`` are the names that the source itself has (a CSV's
+    header) where ``df`` was given others.  The table is read by ``scan_once`` while the profile is
     built, and once more only if row hashes repeat."""
     def by_column(c: str) -> Column:
         pairs = F.array_sort(F.collect_list(F.struct("position", F.struct("column_name", c).alias("kv"))))
         return F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["kv"]["column_name"], p["kv"][c])))
 
-    once = scan_once(df, columns, corrupt)
-    data = df.drop(corrupt) if corrupt else df
+    once = scan_once(df, columns, corrupt, texts)
+    data = df.drop(*[c for c in (corrupt, texts) if c])
     stats = _stat_rows(once.stats, data.schema.fields, table_name, columns).groupBy("table_name").agg(
         F.max("row_count").alias("row_count"),
         F.count(F.lit(1)).alias("column_count"),
@@ -263,19 +277,41 @@ def profile_table(df: DataFrame, table_name: str, expected: list[str] | None = N
         F.array(*[F.lit(c) for c in extra]).cast("array<string>").alias("extra_columns"),
         *([name for _, name in COLUMN_MAPS] if columns else []),
         *([F.lit(once.corrupt_rows).cast("bigint").alias("corrupt_rows")] if corrupt else []),
+        *([F.from_json(F.lit(json.dumps(once.misfits)), "map<string,bigint>").alias("misfits")] if texts else []),
     )
 
 
-def schema_check(df: DataFrame, table_name: str, expected: list[str], found: list[str] | None = None) -> DataFrame:
-    """Row count plus the column-name check, without the full profile."""
-    valid, missing, extra = schema_diff(found or df.columns, expected)
-    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+def schema_check(df: DataFrame, table_name: str, expected: list[str], found: list[str] | None = None,
+                 types: T.StructType | None = None, texts: str | None = None) -> DataFrame:
+    """Row count plus the column-name check, without the full profile.  With
+    ``types`` also the type check: ``types_valid`` and ``type_mismatches``, for
+    each column of these types whose values need a wider one both types and, for
+    text, the number of values that do not fit.  Text columns (or the struct
+    ``texts`` of the columns' texts) are checked by their values, others by
+    their type.  One scan."""
+    data = [f for f in df.schema.fields if f.name != texts]
+    valid, missing, extra = schema_diff(found or [f.name for f in data], expected)
+    aggs, needs = [F.count(F.lit(1)).alias("row_count")], []
+    held = {f.name: f.dataType for f in data}
+    for i, f in enumerate(f for f in (types or T.StructType()).fields if f.name in held):
+        said = f"{f.name}: {f.dataType.simpleString()}, "
+        if texts or isinstance(held[f.name], T.StringType):
+            text = F.col(f"{texts}.`{f.name}`") if texts else F.col(f"`{f.name}`")
+            aggs += [F.bit_and(F.when(text.isNotNull(), _fits(T.StructField(f.name, T.StringType()), text))).alias(f"_t{i}"),
+                     F.count_if(text.isNotNull() & ~text_fits(text, f.dataType)).alias(f"_x{i}")]
+            needs.append(F.when(F.col(f"_x{i}") > 0, F.concat(
+                F.lit(said), F.col(f"_x{i}").cast("string"), F.lit(" values need "), _inferred(F.col(f"_t{i}")))))
+        elif not widens_to(held[f.name], f.dataType):
+            needs.append(F.lit(f"{said}values need {held[f.name].simpleString()}"))
+    mismatches = F.array_compact(F.array(*needs)) if needs else F.array().cast("array<string>")
+    return df.agg(*aggs).select(
         F.lit(table_name).alias("table_name"),
         "row_count",
-        F.lit(len(df.columns)).cast("bigint").alias("column_count"),
+        F.lit(len(data)).cast("bigint").alias("column_count"),
         F.lit(valid).alias("schema_valid"),
         F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
         F.array(*[F.lit(c) for c in extra]).cast("array<string>").alias("extra_columns"),
+        *([(F.size(mismatches) == 0).alias("types_valid"), mismatches.alias("type_mismatches")] if types else []),
     )
 
 

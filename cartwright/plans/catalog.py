@@ -31,6 +31,7 @@ from cartwright.operators.clean import (
 from cartwright.operators.joins import (
     build_master, enrich_products, orders_customer_join, orders_items_join, orders_payments_join,
 )
+from cartwright.operators.prefix import ordered_windows
 from cartwright.plans import insights as D
 from cartwright.plans import reports as R
 from cartwright.plans.analytics import (
@@ -337,6 +338,18 @@ def q_late_on_time(spark, sf_dir):
     return R.late_on_time_counts(delivery_view(_analytics(spark, sf_dir)))
 
 
+@query("order_windows")
+def q_order_windows(spark, sf_dir):
+    """Running total, the order before and the average of seven orders over
+    every order in the sequence of purchase: as many rows as orders."""
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_totalprice").cast(MONEY).alias("price"))
+    return ordered_windows(
+        o, ["o_orderdate", "o_orderkey"], running_sums={"running_total": F.col("price")},
+        lags={"previous_price": (F.col("price"), 1)}, moving_averages={"seven_order_avg": (cents("price"), 7)}).select(
+        "o_orderkey", *[F.col(c).cast("double").alias(c) for c in ("price", "running_total", "previous_price")], "seven_order_avg")
+
+
 @query("share_of_total")
 def q_share_of_total(spark, sf_dir):
     """Each order's share of all revenue (row-level input: the total is a
@@ -533,18 +546,35 @@ RAW_COUNTERPARTS = {"orders": "orders", "order_items": "lineitem", "customers":
                     "products": "part", "sellers": "supplier"}
 
 
+def _retyped(t: CommerceTables) -> dict[str, DataFrame]:
+    """Tables with every expected column, some of another type: ids and times
+    as text that still fits, customer ids and line numbers as text that does
+    not (for every seventh order), and prices in floating point."""
+    seventh = F.col("order_id") % 7 == 0
+    return {
+        "orders": t.orders.withColumns({
+            "order_id": F.col("order_id").cast("string"),
+            "order_approved_at": F.col("order_approved_at").cast("string"),
+            "customer_id": F.concat(F.when(seventh, F.lit("C")).otherwise(F.lit("")), F.col("customer_id").cast("string"))}),
+        "order_items": t.order_items.withColumns({
+            "order_item_id": F.concat(F.col("order_item_id").cast("string"), F.when(seventh, F.lit(".5")).otherwise(F.lit(""))),
+            "price": F.col("price").cast("double")}),
+    }
+
+
 @query("schema_diff")
 def q_schema_diff(spark, sf_dir):
-    cols = ["table_name", "row_count", "schema_valid", "missing_columns", "extra_columns"]
-    frames = [
-        P.schema_check(df, n, EXPECTED_COLUMNS[n]).select(F.lit("canonical").alias("source"), *cols)
-        for n, df in _registry(spark, sf_dir).items()
-    ] + [
-        P.schema_check(read_table(spark, sf_dir, raw), n, EXPECTED_COLUMNS[n]).select(
-            F.lit("raw").alias("source"), *cols)
-        for n, raw in RAW_COUNTERPARTS.items()
-    ]
-    return P.union_all(frames)
+    """Names and types: the canonical tables, raw ones that lack the names, and
+    ones with all names whose values no longer fit their types."""
+    cols = ["table_name", "row_count", "schema_valid", "missing_columns", "extra_columns", "types_valid", "type_mismatches"]
+    sources = {
+        "canonical": _registry(spark, sf_dir),
+        "raw": {n: read_table(spark, sf_dir, raw) for n, raw in RAW_COUNTERPARTS.items()},
+        "retyped": _retyped(_tables(spark, sf_dir)),
+    }
+    return P.union_all([
+        P.schema_check(df, n, EXPECTED_COLUMNS[n], types=SCHEMAS[n]).select(F.lit(source).alias("source"), *cols)
+        for source, tables in sources.items() for n, df in tables.items()])
 
 
 # ---------------------------------------------------------------- data quality (Q8-Q11, Q16)

@@ -75,7 +75,7 @@ def _profile_scan(spark: SparkSession, name: str, scan: S.ScanResult) -> DataFra
     status, message = scan.status, scan.message
     if scan.frame is not None:
         try:
-            return P.profile_table(scan.frame, name, EXPECTED_COLUMNS[name], True, scan.header, S.CORRUPT).select(
+            return P.profile_table(scan.with_texts, name, EXPECTED_COLUMNS[name], True, scan.header, S.CORRUPT, S.TEXTS).select(
                 "*", F.lit(status).alias("status"), F.lit(message).alias("message"),
                 *[F.array(*[F.lit(c) for c in found]).cast("array<string>").alias(label) for label, found in (
                     ("partial_columns", scan.partial_columns), ("duplicate_columns", scan.duplicate_columns))],

@@ -20,6 +20,7 @@ from cartwright.sources.fs import path_exists
 from cartwright.sources.heads import HeaderGroup, Heads, file_heads, group_heads
 
 CORRUPT = "_corrupt_record"
+TEXTS = "_texts"    # a struct of the fields' texts, beside the typed columns of a scan
 
 # Text tokens that the profiler reads as NULL (the pandas default
 # missing-value spellings).
@@ -117,13 +118,22 @@ class ScanResult:
     partial_columns: list[str] = field(default_factory=list)    # expected, in some files' headers only
     duplicate_columns: list[str] = field(default_factory=list)  # more than once in a header: the first is read
     heads: Heads = field(default_factory=Heads)
+    with_texts: DataFrame | None = None     # the frame and the struct ``TEXTS`` of what the files hold
 
 
-def _typed_from_text(df: DataFrame, schema: T.StructType, null_tokens: tuple[str, ...]) -> DataFrame:
+def _text_by_name(raw: DataFrame, schema: T.StructType, null_tokens: tuple[str, ...]) -> DataFrame:
+    """The schema's columns as text (NULL where the file has none)."""
     cols = []
     for f in schema.fields:
-        raw = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string")
-        text = F.when(~F.trim(raw).isin(*null_tokens), raw) if null_tokens else raw
+        text = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast("string")
+        cols.append((F.when(~F.trim(text).isin(*null_tokens), text) if null_tokens else text).alias(f.name))
+    return raw.select(*cols, CORRUPT)
+
+
+def _typed_from_text(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    cols = []
+    for f in schema.fields:
+        text = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             typed = safe_timestamp(text, T.StringType())
         elif isinstance(f.dataType, T.StringType):
@@ -131,7 +141,7 @@ def _typed_from_text(df: DataFrame, schema: T.StructType, null_tokens: tuple[str
         else:
             typed = safe_cast(text, f.dataType, T.StringType())
         cols.append(typed.alias(f.name))
-    return df.select(*cols, CORRUPT)
+    return texts.select(*cols, CORRUPT, F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]).alias(TEXTS))
 
 
 def tolerant_scans(spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType],
@@ -172,17 +182,18 @@ def _scan(spark: SparkSession, name: str, path: str, schema: T.StructType, multi
         why = "; ".join(heads.unreadable.values()) or f"no file with a line of text: {path}"
         return ScanResult(name, status, None, why, heads=heads)
     names, held = set(schema.names), [set(g.header) for g in heads.groups]
+    whole = _union(frames)
     return ScanResult(
-        name, "loaded", _union(frames), "; ".join(heads.unreadable.values()), heads.header,
+        name, "loaded", whole.drop(TEXTS), "; ".join(heads.unreadable.values()), heads.header,
         sorted(names - set.union(*held)), sorted(set.union(*held) - names),
-        sorted(names & (set.union(*held) - set.intersection(*held))), heads.duplicates, heads)
+        sorted(names & (set.union(*held) - set.intersection(*held))), heads.duplicates, heads, whole)
 
 
 def _scan_group(spark: SparkSession, heads: Heads, group: HeaderGroup, path: str, schema: T.StructType, multiline: bool,
                 null_tokens: tuple[str, ...]) -> DataFrame:
     raw = _read_group(spark, group, _paths_of(heads, group, path), {}, multiline, corrupt=True,
                       nullValue="\u0000" if null_tokens else "")
-    return _typed_from_text(raw, schema, null_tokens)
+    return _typed_from_text(_text_by_name(raw, schema, null_tokens), schema)
 
 
 def tolerant_scan(spark: SparkSession, table_name: str, path: str, schema: T.StructType,

@@ -317,22 +317,25 @@ RAW_COUNTERPARTS = {"orders": "orders", "order_items": "lineitem", "customers":
 
 
 def _schema_diff() -> str:
-    parts = []
-    for t in REGISTRY:
-        parts.append(
-            f"SELECT 'canonical' AS source, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
-            f"true AS schema_valid, CAST([] AS VARCHAR[]) AS missing_columns, "
-            f"CAST([] AS VARCHAR[]) AS extra_columns FROM {CANON_VIEW[t]}")
+    def row(source: str, t: str, view: str, valid: str = "true", missing: str = "[]", extra: str = "[]",
+            mismatches: str = "[]") -> str:
+        return (f"SELECT '{source}' AS source, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
+                f"{valid} AS schema_valid, CAST({missing} AS VARCHAR[]) AS missing_columns, "
+                f"CAST({extra} AS VARCHAR[]) AS extra_columns, len({mismatches}) = 0 AS types_valid, "
+                f"CAST({mismatches} AS VARCHAR[]) AS type_mismatches FROM {view}")
+
+    parts = [row("canonical", t, CANON_VIEW[t]) for t in REGISTRY]
     for t, raw in RAW_COUNTERPARTS.items():
         exp = "[" + ", ".join(f"'{c}'" for c, _ in COLUMNS[t]) + "]"
-        missing = f"list_sort(list_filter({exp}, lambda x: NOT list_contains(a.act, x)))"
-        extra = f"list_sort(list_filter(a.act, lambda x: NOT list_contains({exp}, x)))"
-        parts.append(
-            f"SELECT 'raw' AS source, '{t}' AS table_name, c.n AS row_count, "
-            f"len({missing}) = 0 AS schema_valid, CAST({missing} AS VARCHAR[]) AS missing_columns, "
-            f"CAST({extra} AS VARCHAR[]) AS extra_columns "
-            f"FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM {raw}) c, "
-            f"(SELECT list(column_name) AS act FROM (DESCRIBE {raw})) a")
+        missing = f"list_sort(list_filter({exp}, lambda x: NOT list_contains(any_value(act), x)))"
+        extra = f"list_sort(list_filter(any_value(act), lambda x: NOT list_contains({exp}, x)))"
+        parts.append(row("raw", t, f"{raw}, (SELECT list(column_name) AS act FROM (DESCRIBE {raw}))",
+                         f"len({missing}) = 0", missing, extra))
+    seventh = "count(*) FILTER (WHERE order_id % 7 = 0)"
+    parts.append(row("retyped", "orders", "c_orders",
+                     mismatches=f"['customer_id: bigint, ' || {seventh} || ' values need string']"))
+    parts.append(row("retyped", "order_items", "c_items", mismatches=(
+        f"['order_item_id: int, ' || {seventh} || ' values need double', 'price: decimal(18,2), values need double']")))
     return "\nUNION ALL ".join(parts)
 
 
@@ -588,6 +591,13 @@ def _bodies() -> dict[str, str]:
         "share_of_total": f"""SELECT order_id, CAST(revenue AS DOUBLE) AS revenue,
             {hu(f"{cents('revenue')} * 100", f"sum({cents('revenue')}) OVER ()", 6)} AS revenue_share_percentage
             FROM c_analytics""",
+        "order_windows": f"""SELECT o_orderkey, CAST(price AS DOUBLE) AS price,
+            CAST(sum(price) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total,
+            CAST(lag(price) OVER w AS DOUBLE) AS previous_price,
+            {hu(f"sum({cents('price')}) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)",
+                "count(price) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) * 100")} AS seven_order_avg
+            FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders)
+            WINDOW w AS (ORDER BY o_orderdate, o_orderkey)""",
         "lag_month": f"SELECT year, month_number, monthly_revenue, previous_month_revenue FROM ({MONTHLY_REVENUE})",
         "growth_pct": f"SELECT year, month_number, revenue_change, growth_percentage FROM ({MONTHLY_REVENUE})",
         "dense_rank_state": """SELECT customer_state, CAST(total_revenue AS DOUBLE) AS total_revenue,
