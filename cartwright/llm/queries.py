@@ -66,8 +66,9 @@ def op7_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    # this pattern takes white space before a word as one space only
     return bpe_monoid.digest_documents(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS),
-                                       public_tokenizers.PATTERN)
+                                       public_tokenizers.PATTERN, space_starts=True)
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -23,7 +24,7 @@ def plain():
 
 @pytest.fixture(scope="module")
 def codec():
-    return B.load_codec(PATH, PATTERN)
+    return B.load_codec(PATH, PATTERN, True)
 
 
 def texts():
@@ -34,11 +35,60 @@ def texts():
     return some + glued + ["a" * 3000, "ab" * 2000, "!" * 999, " " * 999, "", "x \n y", "x  \n", " x", "x "] + [t or "" for _, t in HARD]
 
 
-def test_texts_encode_as_the_library_does(plain, codec):
-    for t in texts():
-        ids = codec.encode(t)
-        assert np.frombuffer(ids, "<u4").tolist() == plain(t)
-        assert codec.decode(ids) == t.encode()
+def test_texts_encode_as_the_library_does(plain, codec, monkeypatch):
+    """One by one and together, learned and remembered, with a memo that
+    overflows, and with stretches from space to space or without."""
+    expected = [plain(t) for t in texts()]
+    for own, overflow in ((codec, 250_000), (B.TextCodec(PATH, PATTERN, True), 0), (B.TextCodec(PATH, PATTERN, False), 10)):
+        monkeypatch.setattr(B, "MEMO_WORDS", overflow)
+        for _ in range(2):
+            for t, want, ids in zip(texts(), expected, own.encode_all(texts())):
+                assert np.frombuffer(ids, "<u4").tolist() == want == np.frombuffer(own.encode(t), "<u4").tolist()
+                assert own.decode(ids) == t.encode()
+
+
+def test_other_patterns_are_not_cut_at_spaces():
+    pattern = r"[a-z ]+|\s+|."
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    own = B.TextCodec(PATH, pattern, False)
+    for t in ["the end of the line", " a b  c ", "x" * 50 + " and more of it", *texts()[:40]]:
+        if "\n" not in t:      # the dot leaves line ends out
+            assert np.frombuffer(own.encode(t), "<u4").tolist() == enc.encode_ordinary(t)
+
+
+def test_what_is_no_token_passes_the_tree(codec):
+    """Each match that is no token is joined from its bytes: one join fewer
+    than it has bytes, most of them at seams that are not stable."""
+    own = B.TextCodec(PATH, PATTERN, True)
+    words = {w for t in texts() for w in re.findall("[a-z]+", t) if w.encode() not in own.bpe.ranks}
+    data = [w.encode() for w in sorted(words)]
+    ids, count = own.bpe.tree(data)
+    assert own.bpe.joins == sum(map(len, data)) - len(data) and own.bpe.joins > own.bpe.unstable > 0
+    at = 0
+    for d, n in zip(data, count.tolist()):
+        assert ids[at:at + n].tolist() == own.bpe.merge(d)
+        at += n
+    assert own.bpe.tree([])[0].tolist() == []
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_stable_pairs_are_those_that_encode_to_themselves(codec, ordered):
+    rnd = random.Random(11)
+    bpe = B.TextCodec(PATH, PATTERN, True).bpe
+    assert bpe.ordered
+    bpe.ordered = ordered
+    tokens = [b for b in bpe.ranks if len(b) > 1]
+    pairs = [(rnd.randrange(50256), rnd.randrange(50256)) for _ in range(3000)]
+    for _ in range(3000):
+        w = rnd.choice(tokens) + rnd.choice(tokens)
+        k = rnd.randrange(1, len(w))
+        pairs.append((bpe.merge(w[:k])[-1], bpe.merge(w[k:])[0]))
+    pairs += [(a, a) for a in range(0, 50256, 97)]
+    got = bpe.stable(*(np.array(x) for x in zip(*pairs)))
+    want = [bpe.merge(bpe.bytes_of[a] + bpe.bytes_of[b]) == [a, b] for a, b in pairs]
+    assert got.tolist() == want and 0 < sum(want) < len(want)
 
 
 def test_join_is_a_monoid(codec):
@@ -56,7 +106,7 @@ def test_scan_and_heap_agree(codec):
     rnd = random.Random(6)
     for n in (1, 2, 7, 16, 40):
         data = bytes(rnd.randrange(256) for _ in range(n))
-        assert codec.bpe._merge_scan(data) == codec.bpe._merge_heap(data)
+        assert codec.bpe._merge_scan(data, 1 << 62) == codec.bpe._merge_heap(data, 1 << 62)
 
 
 def test_documents(spark, plain):
