@@ -45,36 +45,63 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], role)
 
 
+def _number(value, default: float) -> float:
+    """A part's size; the default where it is no finite number above 0."""
+    fine = isinstance(value, (int, float)) and not isinstance(value, bool) and math.isfinite(value) and value > 0
+    return value if fine else default
+
+
 class Flattener:
-    """Visits the parts of one turn."""
+    """Visits the parts of one turn.
+
+    Sizes that are missing, not numbers, not finite or not above 0 count as
+    the least (an image of one tile, a document of one page, audio of no
+    length); a text that is no string, a part of another type, and what is no
+    part at all (a number, a string, null) become text as JSON writes them."""
 
     def __init__(self):
         self.out: list[str] = []
         self.attachments: list[dict] = []
 
-    def visit(self, part: dict) -> None:
-        kind = part.get("type")
+    def visit(self, part) -> None:
+        kind = part.get("type") if isinstance(part, dict) else None
         getattr(self, f"visit_{kind}" if kind in ("text", "image", "audio", "document") else "visit_unknown")(part)
 
     def visit_text(self, part: dict) -> None:
-        self.out.append(escape(part.get("text") or ""))
+        text = part.get("text")
+        if text is not None:
+            self.out.append(escape(text if isinstance(text, str) else _json(text)))
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
         self.out.append(f"<|{kind}:{len(self.attachments)}|>")
         self.attachments.append({"kind": kind, "ref": part.get("ref"), "tokens": tokens})
 
     def visit_image(self, part: dict) -> None:
-        w, h = part.get("width") or TILE, part.get("height") or TILE
+        w, h = (_number(part.get(x), TILE) for x in ("width", "height"))
         self._attach("image", part, BASE_TOKENS + TILE_TOKENS * math.ceil(w / TILE) * math.ceil(h / TILE))
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil((part.get("seconds") or 0) * AUDIO_TOKENS_PER_S))
+        self._attach("audio", part, math.ceil(_number(part.get("seconds"), 0) * AUDIO_TOKENS_PER_S))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, PAGE_TOKENS * (part.get("pages") or 1))
+        self._attach("document", part, PAGE_TOKENS * math.ceil(_number(part.get("pages"), 1)))
+
+    def visit_unknown(self, part) -> None:
+        self.out.append(escape(_json(part)))
+
+
+def _json(value) -> str:
+    return json.dumps(value, ensure_ascii=False, sort_keys=True)
+
 
-    def visit_unknown(self, part: dict) -> None:
-        self.visit_text({"text": json.dumps(part, ensure_ascii=False, sort_keys=True)})
+def listed_parts(raw: str) -> list:
+    """A turn's parts from JSON: a list, or one part that stands alone; what
+    is no JSON is a text."""
+    try:
+        found = json.loads(raw)
+    except ValueError:
+        return [{"type": "text", "text": raw}]
+    return found if isinstance(found, list) else [found]
 
 
 def format_turn(role: str, parts: list[dict]) -> tuple[str, int, int, list[dict]]:
@@ -99,8 +126,9 @@ def format_turns(turns: DataFrame, parts_col: str | None = None, loss_roles: tup
     ``formatted``), in_loss, attachments (JSON: kind, ref, tokens, in the
     order of their placeholders).
 
-    ``parts_col`` holds a JSON list of parts; without it, or where it is NULL,
-    the text is the one part.  NULL roles and texts count as empty; repeated
+    ``parts_col`` holds a JSON list of parts (or one part; what is no JSON is a
+    text); without it, or where it is NULL, the text is the one part.  Malformed
+    parts are defined in ``Flattener``.  NULL roles and texts count as empty; repeated
     rows are turns of their own; other columns are ignored; an empty table
     stays empty.  No shuffle.
     """
@@ -111,7 +139,7 @@ def format_turns(turns: DataFrame, parts_col: str | None = None, loss_roles: tup
             rows = []
             for role, text, parts in zip(*(c.to_pylist() for c in batch.columns[2:])):
                 role = as_text(role)
-                listed = json.loads(parts) if parts else [{"type": "text", "text": as_text(text)}]
+                listed = listed_parts(parts) if parts is not None else [{"type": "text", "text": as_text(text)}]
                 formatted, start, end, held = format_turn(role, listed)
                 rows.append((formatted, start, end, role in loss_roles, json.dumps(held)))
             cols = list(zip(*rows)) if rows else [[]] * 5

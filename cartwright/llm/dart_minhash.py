@@ -196,16 +196,17 @@ def _packed_cells(batches):
                  pa.array(packed, pa.binary())], names=["t", "low", "cells"])
 
 
-#: Agreeing coordinates below which a pair of the threshold's similarity falls
-#: once in 100,000 times: 4.5 standard deviations below the mean.
-LEAST_AGREEING = int(COORDINATES * THRESHOLD - 4.5 * math.sqrt(COORDINATES * THRESHOLD * (1 - THRESHOLD)))
+def least_agreeing(threshold: float) -> int:
+    """Agreeing coordinates below which a pair of the threshold's similarity
+    falls once in 100,000 times: 4.5 standard deviations below the mean."""
+    return int(COORDINATES * threshold - 4.5 * math.sqrt(COORDINATES * threshold * (1 - threshold)))
 
 
 def linked_pairs(cells: list[np.ndarray], low: np.ndarray, side: np.ndarray | None, threshold: float):
     """Pairs of similarity at least the threshold that connect all that such
     pairs connect: pairs whose ends are connected already are not compared.
     With ``side``, only pairs between the two sides."""
-    n = len(cells)
+    n, least = len(cells), least_agreeing(threshold)
     size = np.array([len(c) for c in cells])
     root = list(range(n))
 
@@ -218,7 +219,7 @@ def linked_pairs(cells: list[np.ndarray], low: np.ndarray, side: np.ndarray | No
     for i in range(n - 1):
         agree = (low[i + 1:] == low[i]).sum(axis=1)
         small, large = np.minimum(size[i + 1:], size[i]), np.maximum(size[i + 1:], size[i])
-        fit = (agree >= LEAST_AGREEING) & (small >= threshold * large)
+        fit = (agree >= least) & (small >= threshold * large)
         if side is not None:
             fit &= side[i + 1:] != side[i]
         for j in (np.flatnonzero(fit) + i + 1)[np.argsort(-agree[fit], kind="stable")]:
@@ -295,7 +296,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
                     text_col: str = "text") -> DataFrame:
     """(id, class_id, class_size, class_key, text_key): one row per row of
     ``docs``; class_id is the least id among the rows that are connected by
-    pairs of similarity >= threshold, class_key a hash that tells classes apart
+    pairs of similarity >= threshold (0.8 or more), class_key a hash that tells classes apart
     where ids do not, text_key the hash of the row's text.
 
     Equal texts are always one class (texts are told apart by a 64-bit hash);
@@ -305,6 +306,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     NULL has class_id NULL; other columns are ignored; an empty table stays
     empty.  Buckets of any size are compared in full, block by block.
     """
+    if not THRESHOLD <= threshold <= 1:
+        raise ValueError("the bands are laid out for similarities of 0.8 or more")
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("utf8")).withColumn("t", F.xxhash64("utf8"))
     kind = id_type(docs, id_col)

@@ -39,6 +39,21 @@ TEMPLATES = (
                   " without restriction"),
     ("bsd-redistribution", "redistribution and use in source and binary forms with or without modification"
                            " are permitted provided that the following conditions are met"),
+    ("bsd-disclaimer", "this software is provided by the {{holder:2-8}} as is and any express or implied warranties"
+                       " including but not limited to the implied warranties of merchantability and fitness for a"
+                       " particular purpose are disclaimed"),
+    ("lgpl-2.1", "{{subject:1-6}} [[is]] [[free software you can redistribute it and or modify it]] [[licensed]] under the"
+                 " [[terms of the]] gnu lesser general public license [[as published by the free software foundation]]"
+                 " [[either]] version 2 1"),
+    ("agpl-3.0", "{{subject:1-6}} [[is]] [[free software you can redistribute it and or modify it]] [[licensed]] under the"
+                 " [[terms of the]] gnu affero general public license [[as published by the free software foundation]]"
+                 " [[either]] version 3"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"
+                " [[if a copy of the mpl was not distributed with this file you can obtain one at {{where:1-8}}]]"),
+    ("isc", "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is"
+            " hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"
+                  " [[anyone is free to copy modify publish use compile sell or distribute this software]]"),
     ("cc-by-4.0", "licensed under [[a]] [[the]] cc by 4 0"),
     ("cc-by-nc-4.0", "licensed under [[a]] [[the]] cc by nc 4 0"),
     ("cc-by-4.0", "licensed under [[a]] [[the]] creative commons attribution 4 0 international {{license:0-1}}"),
@@ -125,9 +140,9 @@ class LicenseScanner:
         line = b" " + b" ".join(words) + b" "
         n, first, last, base = 0, None, None, set()
         for phrase, label in self.phrases:
-            at = line.find(phrase)
+            at, word, counted = line.find(phrase), 0, 0
             while at >= 0:
-                word = line.count(b" ", 0, at)
+                word, counted = word + line.count(b" ", counted, at), at
                 n, first = n + 1, word if first is None else min(first, word)
                 last = word if last is None else max(last, word)
                 base.add(label)

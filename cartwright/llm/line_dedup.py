@@ -17,8 +17,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.llm.common import as_text, materialize, parallelism, utf8
 
@@ -31,9 +32,16 @@ def line_key(line: bytes) -> bytes:
     return line.strip(SPACE).lower()
 
 
+def _doc(docs: DataFrame, id_col: str) -> Column:
+    """Whole-number ids as they are, others by a 64-bit hash; NULL stays."""
+    own = F.col(f"`{id_col}`")
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return own.cast("bigint")
+    return F.when(own.isNotNull(), F.xxhash64(own.cast("string")))
+
+
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc"), utf8(text_col).alias("utf8")).withColumn(
-        "txt", F.xxhash64("utf8"))
+    return docs.select(_doc(docs, id_col).alias("doc"), utf8(text_col).alias("utf8")).withColumn("txt", F.xxhash64("utf8"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -191,12 +199,13 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, min
     occurrence (least id, then position).
 
     Rows of equal id count as one document; NULL ids are one document too.
+    Ids that are no whole numbers are told apart, and ordered, by a 64-bit hash.
     NULL and empty texts are one empty line, which has no key to drop.  An
     empty table stays empty.
     """
     marks = keep_bitmaps(docs, min_docs, keep_first, min_chars, id_col, text_col)
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-                       F.col(f"`{id_col}`").cast("bigint").alias("own"), utf8(text_col).alias("utf8"))
+                       _doc(docs, id_col).alias("own"), utf8(text_col).alias("utf8"))
     joined = rows.join(marks, F.col("own").eqNullSafe(F.col("doc")) & (F.xxhash64("utf8") == F.col("txt")), "left")
 
     @F.pandas_udf("n_lines bigint, n_dropped bigint, kept binary")

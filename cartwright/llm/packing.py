@@ -34,20 +34,38 @@ SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-įĲ-ſ]*").fullmatch
 SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\\sa-zß-öø-ſ0-9]+").findall
 
 
+# Words of every kind that ``SPLIT`` tells apart: the memo is used only with
+# tokenizers that make the same of them one by one as in a text.
+PROBE = "It's we'LL 12 3a don't e.g. co-op!! (x) ÀÉ über-groß a1b2 ''s 'tis !?"
+
+
 class WordTokens:
-    """Ids of whole texts.  The tokenizer never joins across white space, so
-    in texts of simple characters each word is tokenised once and remembered;
-    any other text goes to the tokenizer as a whole."""
+    """Ids of whole texts, as the tokenizer gives them as it is loaded.  It
+    never joins across white space, so in texts of simple characters each word
+    is tokenised once and remembered; any other text, and any that holds the
+    string of an added token, goes to the tokenizer as a whole.  So does every
+    text with a tokenizer for which this does not hold on ``PROBE``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}     # of words between white space
         self.parts: dict[str, bytes] = {}    # of what the split makes of them
+        self.by_word = True
+        self.by_word = self.encode([PROBE])[0] == self._whole(PROBE)
+
+    def _whole(self, text: str) -> bytes:
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _words(self, text: str) -> list[str] | None:
+        if not self.by_word or not SIMPLE(text):
+            return None
+        low = text.lower()
+        return None if any(x in low for x in self.added) else low.split()
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -63,7 +81,7 @@ class WordTokens:
             self.parts[part] = packed[cuts[k] * size:cuts[k + 1] * size]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.lower().split() if SIMPLE(t) else None for t in texts]
+        split = list(map(self._words, texts))
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
             self.parts.clear()
@@ -72,8 +90,7 @@ class WordTokens:
             self._learn(unknown)
         self.memo.update((w, b"".join(map(self.parts.__getitem__, p))) for w, p in new.items())
         return [b"".join(map(self.memo.__getitem__, w)) if w is not None
-                else self._pack(self.tokenizer.encode(t, add_special_tokens=False).ids)
-                for t, w in zip(texts, split)]
+                else self._whole(t) for t, w in zip(texts, split)]
 
 
 @lru_cache(maxsize=2)
@@ -106,7 +123,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     return materialize(rows, "packing-tokens")
 
 
-def cut(tokens: DataFrame, window: int, wide: bool = False, id_col: str = "doc_id") -> DataFrame:
+def cut(tokens: DataFrame, window: int, id_col: str = "doc_id") -> DataFrame:
     """Pass two, one row per piece: id, start, length, doc_tokens,
     sequence_id, offset, continues (a boundary follows within the document),
     ids (packed as little-endian unsigned 32-bit integers).
@@ -116,7 +133,6 @@ def cut(tokens: DataFrame, window: int, wide: bool = False, id_col: str = "doc_i
     totals = sorted((r["part"], r["n"]) for r in
                     tokens.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     base = dict(zip([p for p, _ in totals], accumulate((n for _, n in totals), initial=0)))
-    dtype = np.dtype("<u4" if wide else "<u2")
     names = [id_col, "start", "length", "doc_tokens", "sequence_id", "offset", "continues", "ids"]
 
     def run(batches):
@@ -124,7 +140,8 @@ def cut(tokens: DataFrame, window: int, wide: bool = False, id_col: str = "doc_i
             rows = []
             for part, local, n, doc, ids in zip(*(c.to_pylist() for c in batch.columns)):
                 first, done = base[part] + local, 0
-                packed = np.frombuffer(ids, dtype=dtype).astype("<u4").tobytes()
+                # in 16 or 32 bits each, as the vocabulary needs
+                packed = ids if len(ids) == 4 * n else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 while done < n:
                     sequence, offset = divmod(first + done, window)
                     length = min(n - done, window - offset)

@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,11 +107,20 @@ def case_changes(token: str) -> float:
     return _normal_sf((n - 1 - 2 * changes) / math.sqrt(n)) if n > 0 else 1.0
 
 
+def tested_part(token: str) -> str:
+    """The token, or where its characters are of no one encoding (``+`` or
+    ``/`` beside ``-`` or ``_``) its longest part between the marks of either
+    pair: a prefix or suffix was joined to it by the others."""
+    if encoding_of(token):
+        return token
+    return max([*re.split("[-_]+", token), *re.split("[+/]+", token)], key=len)
+
+
 def random_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, encoding, p) of the tokens that no test tells from random."""
     found = []
     for m in CANDIDATE.finditer(text):
-        token = m[0].rstrip("=")
+        token = tested_part(m[0].rstrip("="))
         if is_mixed(token) and (kind := encoding_of(token)) and len(token) >= least_length(len(kind[1])):
             p = battery(token, kind[1])
             if not DIGIT.search(token):     # words joined by marks or by capitals
@@ -141,8 +152,12 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
     """Base spans, and all spans: the method adds random tokens that overlap
     no base span."""
     base = base_spans(text)
-    taken = [(s, e) for s, _, e in base]
-    more = [(s, 3, e) for s, e, _, _ in random_spans(text) if all(e <= a or s >= b for a, b in taken)]
+    starts, reach = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
+    more = []
+    for s, e, _, _ in random_spans(text):
+        before = bisect_left(starts, e)     # base spans that start before its end; none may end after its start
+        if not before or reach[before - 1] <= s:
+            more.append((s, 3, e))
     return base, sorted(base + more)
 
 

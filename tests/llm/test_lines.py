@@ -82,3 +82,12 @@ def test_bitmap():
     packed = zlib.compress(np.packbits(bits, bitorder="little").tobytes())
     assert L.apply_bitmap(b"a\nb\nc\nd\ne\nf\ng\nh\ni\nj", packed) == (10, 2, b"a\nc\nd\ne\nf\ng\nh\nj")
     assert L.apply_bitmap(b"a\nb", None) == (2, 0, b"a\nb")
+
+
+def test_ids_that_are_no_numbers(spark):
+    rows = [("a", "x\nhot"), ("b", "hot\ny"), (None, "hot"), (None, "hot\nz"), ("a", "x\nhot"), ("", "hot")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    back = sorted(((r["row"]["doc_id"], r["n_lines"], r["n_dropped"], bytes(r["kept"]).decode())
+                   for r in L.dedup_lines(df, 4, keep_first=False).collect()), key=repr)
+    assert back == sorted([("a", 2, 1, "x"), ("a", 2, 1, "x"), ("b", 2, 1, "y"), (None, 1, 1, ""), (None, 2, 1, "z"), ("", 1, 1, "")],
+                          key=repr)

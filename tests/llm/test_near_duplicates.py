@@ -93,3 +93,11 @@ def test_word_hashes_do_not_depend_on_segments(monkeypatch):
     monkeypatch.setattr(D, "SEGMENT", 1000)
     got = D.word_hashes(text)
     assert all(np.array_equal(a, b) for a, b in zip(want, got))
+
+
+def test_thresholds_below_the_bands_are_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        D.near_duplicates(table(spark, []), threshold=0.6)
+    assert D.least_agreeing(0.8) == 59 and D.least_agreeing(1.0) == D.COORDINATES

@@ -10,7 +10,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def reference():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -56,3 +55,31 @@ def test_word_memo_equals_the_tokenizer():
     for _ in range(2):       # the second time from the memo
         for got, text in zip(words.encode(texts), texts):
             assert np.frombuffer(got, words.dtype).tolist() == ids_of(text)[:-1]
+
+
+def test_special_tokens_are_what_the_tokenizer_makes_of_them(spark):
+    """As it is loaded: their strings in a text are their ids."""
+    ids_of = reference()
+    texts = ["a <|endoftext|> b", "<|startoftext|>x<|ENDOFTEXT|>", "plain <| endoftext |>"]
+    assert len(ids_of(texts[0])) == 4
+    got = {p["doc_id"]: np.frombuffer(p["ids"], "<u4").tolist()
+           for p in P.pack_documents(table(spark, list(enumerate(texts))), PATH).collect()}
+    assert got == {k: ids_of(t) for k, t in enumerate(texts)}
+
+
+def test_ids_of_a_wide_vocabulary_keep_their_width(spark, monkeypatch, tmp_path):
+    """A tokenizer that splits otherwise, with more than 65,536 ids: the memo
+    of words is left aside and ids stay whole."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    vocab = {f"w{k}": k for k in range(70_000)} | {"<unk>": 70_000}
+    wide = Tokenizer(models.WordLevel(vocab, unk_token="<unk>"))
+    wide.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = str(tmp_path / "wide.json")
+    wide.save(path)
+    assert not P.WordTokens(path).by_word and P.WordTokens(PATH).by_word
+    rows = [(1, "w69999 w3 w65536"), (2, None), (3, "W3 w7's")]
+    got = {}
+    for p in P.pack_documents(table(spark, rows), path, window=2).orderBy("doc_id", "start").collect():
+        got.setdefault(p["doc_id"], []).extend(np.frombuffer(p["ids"], "<u4").tolist())
+    assert got == {i: wide.encode(t or "").ids + [2] for i, t in rows}

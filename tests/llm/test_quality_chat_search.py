@@ -37,6 +37,35 @@ def test_every_byte_counts_wherever_it_stands(monkeypatch):
     assert np.allclose(net.pooled(text), whole, atol=1e-5)
 
 
+def plain_score(net, text):
+    """The network by loops over chunks, filters and weights."""
+    p, best = {k: v.astype(float) for k, v in net.p.items()}, []
+    n = max(1, -(-max(0, len(text) - Q.WIDTH) // Q.STRIDE) + 1)
+    for f in range(Q.FILTERS):
+        best.append(max(sum(p["embed"][text[at + i] if at + i < len(text) else 0][e] * p["conv"][i * Q.EMBED + e][f]
+                            for i in range(Q.WIDTH) for e in range(Q.EMBED)) for at in range(0, n * Q.STRIDE, Q.STRIDE))
+                    + p["conv_b"][f])
+    blocks = max(2, -(-len(text) // Q.BLOCK))
+    same = [[sum(i >= k + 2 and text[i] == text[i - k - 2] for i in range(b * Q.BLOCK, min(len(text), (b + 1) * Q.BLOCK)))
+             for k in range(Q.LAGS)] for b in range(blocks)]
+    for f in range(Q.REPEAT_FILTERS):
+        best.append(max(sum((same[b][k] + same[b + 1][k]) / (2 * Q.BLOCK) * p["rep"][k][f] for k in range(Q.LAGS))
+                        for b in range(blocks - 1)) + p["rep_b"][f])
+    z = sum(max(0.0, h) * w for h, w in zip(best, p["out"])) + p["out_b"][0]
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_equal_a_plain_network(spark):
+    rows = [(i, t) for i, t in HARD if t is None or len(t) < 1500] + [(50, junk(2, 60)), (51, "abcabcabc" * 30)]
+    trained = Q.train(table(spark, [(k, junk(k, 30) if k % 2 else prose(k, 30)) for k in range(60)]),
+                      spark.createDataFrame([(k, 1 - k % 2) for k in range(60)], "doc_id bigint, quality int"))
+    for net in (Q.ByteConvNet(3), trained):
+        got = sorted(map(tuple, Q.score_documents(table(spark, rows), net).collect()), key=repr)
+        want = sorted(((i, plain_score(net, (t or "").encode())) for i, t in rows), key=lambda r: repr(r))
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose(sorted(g[1] for g in got), sorted(w[1] for w in want), atol=1e-4)
+
+
 def test_scores_of_hard_cases(spark):
     got = Q.score_documents(table(spark), Q.ByteConvNet(3)).collect()
     assert len(got) == len(HARD) and all(0 <= r["score"] <= 1 for r in got)
@@ -104,6 +133,31 @@ def test_parts_become_ordered_placeholders(spark):
     assert r["formatted"] == '<|turn|>user\nsee <\\|image:0|><|image:0|><|audio:1|><|document:2|>{"type": "new", "x": 1}<|end|>\n'
 
 
+def test_malformed_parts(spark):
+    """Every case of the docstrings: sizes, texts, parts and JSON that are not what they should be."""
+    import json
+
+    listed = [
+        ('[null, "x", 7, [1]]', 'nullx7[1]'.replace("x", '"x"'), []),
+        ('[{"type": "image", "width": "wide", "height": -3}]', "<|image:0|>", [255]),
+        ('[{"type": "image", "width": 1e400, "height": null}]', "<|image:0|>", [255]),
+        ('[{"type": "audio", "seconds": Infinity}, {"type": "audio", "seconds": -2}]', "<|audio:0|><|audio:1|>", [0, 0]),
+        ('[{"type": "audio", "seconds": true}, {"type": "document", "pages": 0}]', "<|audio:0|><|document:1|>", [0, 800]),
+        ('[{"type": "document", "pages": 2.5}, {"type": "document", "pages": NaN}]', "<|document:0|><|document:1|>", [2400, 800]),
+        ('[{"type": "text", "text": 5}, {"type": "text"}, {"type": "text", "text": ["<|"]}]', '5["<\\|"]', []),
+        ('[{"type": 3}, {"kind": "text"}]', '{"type": 3}{"kind": "text"}', []),
+        ("null", "null", []), ("", "", []), ("[]", "", []), ("not json <|", "not json <\\|", []),
+        ('{"type": "image"}', "<|image:0|>", [255]), ("{}", "{}", []),
+    ]
+    df = spark.createDataFrame([(k, 0, "user", "unused", p) for k, (p, _, _) in enumerate(listed)] + [
+        (99, 0, "user", "used", None)], "conv_id bigint, turn bigint, role string, text string, parts string")
+    got = {r["conv_id"]: r for r in C.format_turns(df, parts_col="parts").collect()}
+    for k, (_, body, tokens) in enumerate(listed):
+        assert got[k]["formatted"] == f"<|turn|>user\n{body}<|end|>\n", k
+        assert [a["tokens"] for a in json.loads(got[k]["attachments"])] == tokens, k
+    assert got[99]["formatted"] == "<|turn|>user\nused<|end|>\n"
+
+
 # ---------------------------------------------------------------- top-k search
 
 def brute(rows, queries, k):
@@ -124,28 +178,57 @@ def brute(rows, queries, k):
 
 
 def test_search_equals_brute_force(spark, monkeypatch):
+    """One shard, and many whose queries start with another's threshold."""
     rows = [r for r in HARD if r[0] is not None] + [(100 + k, prose(k % 30, 20 + k)) for k in range(150)]
     queries = [(i, t) for i, t in rows if i % 10 == 0]
     want = brute(rows, queries, 5)
-    for shard_bytes, first, step in ((1 << 30, 64, 16), (8_000, 1, 2)):
+    for shard_bytes, postings, scored, block_bytes in ((1 << 30, 2000, 64, 1 << 26), (8_000, 1, 2, 2000)):
         monkeypatch.setattr(W, "SHARD_BYTES", shard_bytes)
-        monkeypatch.setattr(W, "FIRST_BLOCKS", first)
+        monkeypatch.setattr(W, "FIRST_POSTINGS", postings)
+        monkeypatch.setattr(W, "FIRST_SCORED", scored)
+        monkeypatch.setattr(W, "QUERY_BLOCK_BYTES", block_bytes)
         got = {}
         for r in W.search(table(spark, rows), table(spark, queries), 5).orderBy("query_id", "rank").collect():
             got.setdefault(r["query_id"], []).append((-round(r["score"], 6), r["doc_id"]))
         assert got == {q: v for q, v in want.items() if v}
 
 
-def test_pruning_skips_blocks_and_loses_nothing():
-    texts = [prose(k, 30).encode() for k in range(3000)] + [(prose(k, 30) + f" rare{k % 5}").encode() for k in range(40)]
-    index = W.ShardIndex(texts, 30.0)
-    terms, _ = W.term_counts(b"rare1 the")
-    weights = np.ones(len(terms))
-    d, s, scored = index.search(terms, weights, 5)
-    assert scored < index.n_blocks
-    index.entry_max = np.full_like(index.entry_max, 1e9)        # bounds that never prune
-    d2, s2, scored2 = index.search(terms, weights, 5)
-    assert s[:5].tolist() == s2[:5].tolist() and d.tolist() == d2.tolist()
+def test_repeated_and_null_queries_and_ids(spark, monkeypatch):
+    """Equal query rows are one query; rows of one id with other texts are
+    queries each; NULL ids are ids like others; copies of a document tie."""
+    monkeypatch.setattr(W, "SHARD_BYTES", 2_000)
+    rows = [(k, prose(k % 12, 30)) for k in range(60)] + [(None, prose(3, 30)), (None, prose(3, 30)), (7, prose(7, 30))]
+    asked = [(1, prose(3, 30)), (1, prose(3, 30)), (1, prose(5, 30)), (None, prose(7, 30)), (None, prose(7, 30)), (2, None), (3, "")]
+    found = W.search(table(spark, rows), table(spark, asked), 8).collect()
+    got = sorted(((r["query_id"], r["rank"], -round(r["score"], 6), r["doc_id"]) for r in found), key=repr)
+    want = []
+    last = 10 ** 9
+    for i, t in [(1, prose(3, 30)), (1, prose(5, 30)), (None, prose(7, 30))]:
+        plain = brute([(last if r is None else r, x) for r, x in rows], [(0, t)], 8)[0]
+        want += [(i, n + 1, s, None if d == last else d) for n, (s, d) in enumerate(plain)]
+    assert got == sorted(want, key=repr)
+
+
+def test_pruning_skips_documents_and_loses_nothing():
+    rnd = random.Random(2)
+    texts = [(prose(k, 30) + f" rare{k % 400}").encode() for k in range(3000)]
+    index = W.ShardIndex(W.ShardIndex.build(texts), 30.0)
+    for _ in range(20):
+        terms, _ = W.term_counts(f"rare{rnd.randrange(400)} {prose(rnd.randrange(3000), 20)}".encode())
+        at = np.searchsorted(index.vocabulary, terms)
+        here = (at < len(index.vocabulary)) & (index.vocabulary[np.minimum(at, len(index.vocabulary) - 1)] == terms)
+        common = np.diff(index.lists)[np.minimum(at, len(index.vocabulary) - 1)] > 100
+        weights = np.where(common, 0.3, 6.0) * np.array([0.5 + rnd.random() for _ in terms])
+        index.weight[at[here]] = weights[here]
+        every = index._scores(np.arange(index.n_docs))
+        index.weight[:] = 0
+        tenth = np.sort(every)[-10]
+        expected = sorted(every[every >= tenth], reverse=True)
+        for threshold in (0.0, tenth * 0.9, tenth):
+            d, s, scored = index.search(terms, weights, 10, threshold)
+            assert s.tolist() == expected and scored < index.n_docs / 4
+            assert sorted(every[np.argsort(index.order)[d]], reverse=True) == expected
+        assert index.search(terms, weights, 10, tenth * 1.5 + every.max())[0].tolist() == []
 
 
 def test_search_of_empty_tables(spark):

@@ -1,5 +1,6 @@
 """Secret and license scans against plain versions."""
 
+import math
 import random
 import re
 
@@ -82,6 +83,72 @@ def test_candidates_are_read_to_their_end():
         assert S.random_spans(text) == []
 
 
+def test_tokens_of_mixed_marks_are_tested_by_their_longest_part():
+    rnd = random.Random(8)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    found = 0
+    for k in range(300):
+        token = ("sk-live_", "key_", "")[k % 3] + "".join(rnd.choice(b64) for _ in range(40)) + ("", "_eu-west")[k % 2]
+        found += (0, len(token)) in [(s, e) for s, e, _, _ in S.random_spans(token)]
+    assert found >= 0.85 * 300
+    for text in ("docs/the-long_way/to-some_page2/of-it", "a-b/c-d/e-f/g-h/i-j/k1"):
+        assert S.random_spans(text) == []
+
+
+def test_p_values_against_plain_formulas():
+    """Chi-squared tails from the exact sum for even degrees; runs and serial
+    correlation counted pair by pair; Fisher's sum from its own series."""
+    for k in (10, 62, 64):
+        for x in (0.3 * k, k, 1.5 * k, 2.2 * k):
+            exact = math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
+            assert abs(S._chi2_sf(x, k) - exact) < 2e-3
+
+    def upper(z):       # of a normal variable, by the trapezoidal rule
+        step = 1e-4
+        return sum(math.exp(-(z + i * step) ** 2 / 2) for i in range(1, 100_000)) * step / math.sqrt(2 * math.pi) + (
+            math.exp(-z * z / 2) * step / 2 / math.sqrt(2 * math.pi))
+
+    rnd = random.Random(4)
+    _, alphabet = S.encoding_of("0123456789abcdef")
+    for token in ("".join(rnd.choice("0123456789abcdef") for _ in range(40)), "0123456789abcdef" * 2, "00ff" * 9):
+        x, n = [int(c, 16) for c in token], len(token)
+        chi2 = sum((x.count(v) - n / 16) ** 2 / (n / 16) for v in range(16))
+        above = [v > 7 for v in x]
+        runs = 1 + sum(above[i] != above[i + 1] for i in range(n - 1))
+        a, b = sum(above), n - sum(above)
+        mean = 2 * a * b / n + 1
+        var = 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+        m = sum(x) / n
+        r = sum((x[i] - m) * (x[i + 1] - m) for i in range(n - 1)) / sum((v - m) ** 2 for v in x)
+        p = [S._chi2_sf(chi2, 15), 2 * upper(abs(runs - mean) / math.sqrt(var)), 2 * upper(abs(r + 1 / n) * math.sqrt(n))]
+        half = -sum(math.log(v) for v in p)
+        fisher = math.exp(-half) * sum(half ** i / math.factorial(i) for i in range(3))
+        assert abs(S.battery(token, alphabet) - fisher) < 1e-3 * max(fisher, 1e-3)
+
+
+def test_added_spans_overlap_no_base_span():
+    """Against all pairs, with spans of different kinds inside each other."""
+    rnd = random.Random(9)
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    parts = ["token=", "password: ", "AKIA", " ", "deadbeef" * 4, "x.", "\n", "secret = '"]
+    for _ in range(60):
+        text = "".join(rnd.choice(parts) + "".join(rnd.choice(b62) for _ in range(rnd.choice([3, 30, 45]))) + rnd.choice([" ", "", "."])
+                       for _ in range(rnd.randrange(1, 25)))
+        base, spans = S.scan_text(text)
+        added = [(s, 3, e) for s, e, _, _ in S.random_spans(text) if not any(s < b and a < e for a, _, b in base)]
+        assert base == plain_base(text) and spans == sorted(base + added)
+
+
+def test_many_spans_take_linear_time():
+    import time
+
+    line = "token=abcdef0123 " + "Q7mZ4kP0xW9rT2vB8nL5cJ1h "
+    begin = time.perf_counter()
+    S.scan_text(line * 6000)
+    T.LicenseScanner().scan(b"mit license " * 40_000)
+    assert time.perf_counter() - begin < 20
+
+
 def test_redaction():
     text = 'x password = "hunter2hunter2" y'
     _, spans = S.scan_text(text)
