@@ -182,11 +182,12 @@ def test_search_equals_brute_force(spark, monkeypatch):
     rows = [r for r in HARD if r[0] is not None] + [(100 + k, prose(k % 30, 20 + k)) for k in range(150)]
     queries = [(i, t) for i, t in rows if i % 10 == 0]
     want = brute(rows, queries, 5)
-    for shard_bytes, postings, scored, block_bytes in ((1 << 30, 2000, 64, 1 << 26), (8_000, 1, 2, 2000)):
+    for shard_bytes, first, together, block_bytes, common in ((1 << 30, 64, 256, 1 << 26, 16), (8_000, 1, 2, 2000, 2)):
         monkeypatch.setattr(W, "SHARD_BYTES", shard_bytes)
-        monkeypatch.setattr(W, "FIRST_POSTINGS", postings)
-        monkeypatch.setattr(W, "FIRST_SCORED", scored)
+        monkeypatch.setattr(W, "FIRST_BLOCKS", first)
+        monkeypatch.setattr(W, "TOGETHER", together)
         monkeypatch.setattr(W, "QUERY_BLOCK_BYTES", block_bytes)
+        monkeypatch.setattr(W, "COMMON", common)
         got = {}
         for r in W.search(table(spark, rows), table(spark, queries), 5).orderBy("query_id", "rank").collect():
             got.setdefault(r["query_id"], []).append((-round(r["score"], 6), r["doc_id"]))
@@ -209,26 +210,27 @@ def test_repeated_and_null_queries_and_ids(spark, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
-def test_pruning_skips_documents_and_loses_nothing():
+def test_pruning_passes_over_blocks_and_loses_nothing():
     rnd = random.Random(2)
-    texts = [(prose(k, 30) + f" rare{k % 400}").encode() for k in range(3000)]
+    texts = [(prose(k, 30) + f" rare{k % 100}").encode() for k in range(3000)] + [b"", b"!!"]
     index = W.ShardIndex(W.ShardIndex.build(texts), 30.0)
     for _ in range(20):
-        terms, _ = W.term_counts(f"rare{rnd.randrange(400)} {prose(rnd.randrange(3000), 20)}".encode())
+        terms, _ = W.term_counts(f"rare{rnd.randrange(100)} {prose(rnd.randrange(3000), 20)} nowhere".encode())
         at = np.searchsorted(index.vocabulary, terms)
         here = (at < len(index.vocabulary)) & (index.vocabulary[np.minimum(at, len(index.vocabulary) - 1)] == terms)
-        common = np.diff(index.lists)[np.minimum(at, len(index.vocabulary) - 1)] > 100
+        common = index.column[np.minimum(at, len(index.vocabulary) - 1)] >= 0
         weights = np.where(common, 0.3, 6.0) * np.array([0.5 + rnd.random() for _ in terms])
         index.weight[at[here]] = weights[here]
-        every = index._scores(np.arange(index.n_docs))
+        docs, every = index._scores(np.arange(index.n_docs))
         index.weight[:] = 0
+        score = dict(zip(index.order[docs].tolist(), every.tolist()))
         tenth = np.sort(every)[-10]
-        expected = sorted(every[every >= tenth], reverse=True)
-        for threshold in (0.0, tenth * 0.9, tenth):
-            d, s, scored = index.search(terms, weights, 10, threshold)
-            assert s.tolist() == expected and scored < index.n_docs / 4
-            assert sorted(every[np.argsort(index.order)[d]], reverse=True) == expected
-        assert index.search(terms, weights, 10, tenth * 1.5 + every.max())[0].tolist() == []
+        expected = sorted((x for x in score.values() if x >= tenth), reverse=True)
+        high = float(every.max()) * 1.5
+        found = list(index.search([(terms, weights, t) for t in (0.0, tenth * 0.9, tenth, high)], 10))
+        for d, s, scored in found[:3]:
+            assert s.tolist() == expected == [score[x] for x in d.tolist()] and scored < index.n_blocks / 4
+        assert found[3][0].tolist() == []
 
 
 def test_search_of_empty_tables(spark):
