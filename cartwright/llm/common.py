@@ -70,12 +70,13 @@ class Memo(dict):
         return value
 
 
-def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str = "zstd", rows_a_file: int = 0) -> DataFrame:
     """Write to the shared checkpoint folder and read back: cuts the lineage
-    in a way that survives lost executors."""
+    in a way that survives lost executors.  ``rows_a_file`` bounds the rows of
+    a file, for rows that are large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("maxRecordsPerFile", rows_a_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
