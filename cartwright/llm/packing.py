@@ -70,25 +70,30 @@ class WordTokens:
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[str]) -> list[bytes]:
         """Tokenise parts in one go, with white space between them."""
+        if not parts:
+            return []
         got = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         ids = np.array(got.ids, dtype=self.dtype)
         of = np.array(got.word_ids, dtype=np.int64)
-        cuts = np.searchsorted(of, np.arange(len(parts) + 1))
-        packed, size = ids.tobytes(), self.dtype.itemsize
-        for k, part in enumerate(parts):
-            self.parts[part] = packed[cuts[k] * size:cuts[k + 1] * size]
+        cuts = (np.searchsorted(of, np.arange(len(parts) + 1)) * self.dtype.itemsize).tolist()
+        packed = ids.tobytes()
+        return [packed[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = list(map(self._words, texts))
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
             self.parts.clear()
-        new = {w: SPLIT(w) for w in set().union(*(w for w in split if w)).difference(self.memo)}
-        if unknown := list(set().union(*new.values()).difference(self.parts)):
-            self._learn(unknown)
-        self.memo.update((w, b"".join(map(self.parts.__getitem__, p))) for w, p in new.items())
+        new = list(set().union(*(w for w in split if w)).difference(self.memo))
+        letters = [w for w in new if w.isalpha()]           # one part each
+        mixed = {w: SPLIT(w) for w in new if not w.isalpha()}
+        unknown = list(set().union(*mixed.values()).difference(self.parts))
+        found = self._learn(letters + unknown)
+        self.memo.update(zip(letters, found))
+        self.parts.update(zip(unknown, found[len(letters):]))
+        self.memo.update((w, b"".join(map(self.parts.__getitem__, p))) for w, p in mixed.items())
         return [b"".join(map(self.memo.__getitem__, w)) if w is not None
                 else self._whole(t) for t, w in zip(texts, split)]
 
