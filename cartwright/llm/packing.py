@@ -13,30 +13,44 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, groupby, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.common import as_text, id_type, materialize, utf8
 
-MEMO_WORDS = 600_000   # words whose ids a worker remembers
-STEP = 256             # documents tokenised together
+MEMO_WORDS = 600_000   # words whose ids a worker remembers, and parts of words
+STEP = 1024            # documents tokenised together
+STEP_BYTES = 1 << 22   # of their texts, about
+RUN = 1 << 18          # words whose ids are gathered together
 
 # Characters whose lower case and normal form are known to be one character
 # each, so that words between white space can be tokenised by themselves.
 SIMPLE = re.compile("[\t\n\r -~À-ÖØ-öø-įĲ-ſ]*").fullmatch
 
+# What is left of them in lower case, but white space.
+SIMPLE_SIGNS = sorted({c.lower() for k in range(33, 384) if SIMPLE(c := chr(k))})
+
 # Fixed value: the tokenizer's own split, for simple characters in lower case.
 SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^\\sa-zß-öø-ſ0-9]+").findall
 
 
-# Words of every kind that ``SPLIT`` tells apart: the memo is used only with
-# tokenizers that make the same of them one by one as in a text.
-PROBE = "It's we'LL 12 3a don't e.g. co-op!! (x) ÀÉ über-groß a1b2 ''s 'tis !?"
+# Words of every kind that ``SPLIT`` tells apart, and every simple sign: the memo
+# is used only with tokenizers that make the same of them one by one as in a text.
+PROBE = "It's we'LL 12 3a don't e.g. co-op!! (x) ÀÉ über-groß a1b2 ''s 'tis !? " + " ".join(SIMPLE_SIGNS)
+
+
+def _grown(values: np.ndarray, used: int, new: np.ndarray) -> np.ndarray:
+    """``values`` with ``new`` behind the first ``used``; room is doubled where it ends."""
+    if used + len(new) > len(values):
+        values = np.concatenate([values[:used], np.zeros(used + 2 * len(new), values.dtype)])
+    values[used:used + len(new)] = new
+    return values
 
 
 class WordTokens:
@@ -44,7 +58,12 @@ class WordTokens:
     never joins across white space, so in texts of simple characters each word
     is tokenised once and remembered; any other text, and any that holds the
     string of an added token, goes to the tokenizer as a whole.  So does every
-    text with a tokenizer for which this does not hold on ``PROBE``."""
+    text with a tokenizer for which this does not hold on ``PROBE``.
+
+    The parts of a simple word need no normalisation any more, so they go to
+    the tokenizer's model in the characters of its pre-tokenizer's alphabet.
+    The ids of all remembered words stand in one array, from which those of
+    many texts are taken at once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark's tasks are the parallelism
@@ -53,44 +72,76 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}     # of words between white space
-        self.parts: dict[str, bytes] = {}    # of what the split makes of them
+        self.model, split = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.alphabet = {} if split is None else {
+            ord(c): "".join(x for x, _ in split.pre_tokenize_str(c)) for c in SIMPLE_SIGNS}
+        self.parts: dict[str, bytes] = {}    # of what the split makes of words
+        self._forget()
         self.by_word = True
         self.by_word = self.encode([PROBE])[0] == self._whole(PROBE)
 
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}       # numbers of words between white space
+        self.ids = np.zeros(0, self.dtype)   # of word k: from bounds[k] to bounds[k + 1]
+        self.bounds = np.zeros(1, np.int64)
+
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _words(self, text: str) -> list[str] | None:
+    def _simple(self, text: str) -> str | None:
+        """The text in lower case, where its words can be taken one by one."""
         if not self.by_word or not SIMPLE(text):
             return None
         low = text.lower()
-        return None if any(x in low for x in self.added) else low.split()
+        return None if any(x in low for x in self.added) else low
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def _learn(self, parts: list[str]) -> None:
-        """Tokenise parts in one go, with white space between them."""
-        got = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        ids = np.array(got.ids, dtype=self.dtype)
-        of = np.array(got.word_ids, dtype=np.int64)
-        cuts = np.searchsorted(of, np.arange(len(parts) + 1))
-        packed, size = ids.tobytes(), self.dtype.itemsize
-        for k, part in enumerate(parts):
-            self.parts[part] = packed[cuts[k] * size:cuts[k + 1] * size]
+        tokenize = self.model.tokenize
+        ids = [[t.id for t in tokenize(p.translate(self.alphabet))] for p in parts]
+        packed, size = self._pack(list(chain.from_iterable(ids))), self.dtype.itemsize
+        cuts = list(accumulate((size * len(x) for x in ids), initial=0))
+        self.parts.update((p, packed[cuts[k]:cuts[k + 1]]) for k, p in enumerate(parts))
+
+    def _remember(self, words: list[str]) -> None:
+        split = list(map(SPLIT, words))
+        if unknown := list(set().union(*split).difference(self.parts)):
+            self._learn(unknown)
+        packed = [b"".join(map(self.parts.__getitem__, p)) for p in split]
+        known, used = len(self.memo), int(self.bounds[len(self.memo)])
+        ends = used + np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed))) // self.dtype.itemsize
+        self.ids = _grown(self.ids, used, np.frombuffer(b"".join(packed), self.dtype))
+        self.bounds = _grown(self.bounds, known + 1, ends)
+        self.memo.update(zip(words, range(known, known + len(words))))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
+        if unknown := np.flatnonzero(at < 0).tolist():
+            known = len(self.memo)
+            self._remember([words[k] for k in unknown])
+            at[unknown] = np.arange(known, known + len(unknown))
+        return at
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = list(map(self._words, texts))
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+            self._forget()                   # the parts, which are fewer and cost more, stay
+        if len(self.parts) > MEMO_WORDS:
             self.parts.clear()
-        new = {w: SPLIT(w) for w in set().union(*(w for w in split if w)).difference(self.memo)}
-        if unknown := list(set().union(*new.values()).difference(self.parts)):
-            self._learn(unknown)
-        self.memo.update((w, b"".join(map(self.parts.__getitem__, p))) for w, p in new.items())
-        return [b"".join(map(self.memo.__getitem__, w)) if w is not None
-                else self._whole(t) for t, w in zip(texts, split)]
+        simple = list(map(self._simple, texts))
+        words = pc.ascii_split_whitespace(pa.array([x for x in simple if x is not None], pa.large_string()))
+        distinct = words.flatten().dictionary_encode()
+        at = self._numbers(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())[distinct.indices.to_numpy()]
+        first = self.bounds[at]
+        n = self.bounds[at + 1] - first
+        stops = np.cumsum(n)
+        raw = b"".join(self.ids[np.repeat((first - stops + n)[k:k + RUN], n[k:k + RUN])
+                                + np.arange(stops[k] - n[k], stops[min(k + RUN, len(n)) - 1])].tobytes()
+                       for k in range(0, len(n), RUN))
+        ends = np.concatenate([[0], stops])[words.offsets.to_numpy()] * self.dtype.itemsize
+        found = map(raw.__getitem__, map(slice, ends[:-1].tolist(), ends[1:].tolist()))
+        return [self._whole(t) if x is None else next(found) for t, x in zip(texts, simple)]
 
 
 @lru_cache(maxsize=2)
@@ -98,6 +149,15 @@ def _tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+def _steps(texts: pa.Array):
+    """(first row, rows) of runs of at most ``STEP`` rows and, but for the last row, ``STEP_BYTES``."""
+    sizes = np.asarray(pc.binary_length(texts), np.int64)
+    before = np.cumsum(sizes) - sizes
+    for _, rows in groupby(range(len(sizes)), lambda k: (k // STEP, int(before[k]) // STEP_BYTES)):
+        first, *rest = rows
+        yield first, 1 + len(rest)
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """Pass one, written to the shared folder: (part, local_start, n_tokens,
@@ -107,8 +167,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
         end = words._pack([end_id])
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for k in range(0, batch.num_rows, STEP):
-                some = batch.slice(k, STEP)
+            for k, rows in _steps(batch.column(1)):
+                some = batch.slice(k, rows)
                 ids = [x + end for x in words.encode([as_text(x.as_py()) for x in some.column(1)])]
                 n = [len(x) // words.dtype.itemsize for x in ids]
                 starts = list(accumulate(n, initial=at))

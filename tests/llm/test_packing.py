@@ -83,3 +83,19 @@ def test_ids_of_a_wide_vocabulary_keep_their_width(spark, monkeypatch, tmp_path)
     for p in P.pack_documents(table(spark, rows), path, window=2).orderBy("doc_id", "start").collect():
         got.setdefault(p["doc_id"], []).extend(np.frombuffer(p["ids"], "<u4").tolist())
     assert got == {i: wide.encode(t or "").ids + [2] for i, t in rows}
+
+
+def test_forgotten_words_are_put_together_from_known_parts(monkeypatch):
+    """Parts stay when the memo of words is full: no part is tokenised twice."""
+    ids_of, words, learned = reference(), P.WordTokens(PATH), []
+    monkeypatch.setattr(P, "MEMO_WORDS", 300)
+    monkeypatch.setattr(P, "RUN", 7)
+    learn = words._learn
+    monkeypatch.setattr(words, "_learn", lambda parts: (learned.extend(parts), learn(parts)))
+    stems = ["alpha", "beta", "über", "groß", "ſtadt", "łódź", "x", "naïve"]
+    for k in range(40):
+        texts = [f"{a}{k}{b}, {b}'s" for a in stems for b in stems] + ["", "日本 x", " "]
+        for got, text in zip(words.encode(texts), texts):
+            assert np.frombuffer(got, words.dtype).tolist() == ids_of(text)[:-1]
+    assert len(words.memo) < 600
+    assert len(learned) == len(set(learned))
