@@ -8,13 +8,16 @@ row that turns up in any list is scored in full (random access, an integer
 inner product).  The sum of the anchor's components times the values last read
 bounds the score of every row not seen yet; the scan stops once this threshold
 falls strictly below the k-th best score of everything that is asked for, so
-rows of equal score are all seen and ties go by id.
+rows of equal score are all seen and ties go by id.  Many anchors read together:
+what one of them reads is scored for all that have not stopped, as one product
+of matrices, and each stops by its own threshold.
 
 Two passes: the first finds an anchor's positives (best rows of its own label),
 whose scores open windows for the second, which finds the best rows of other
 labels within each window.  Anchors are searched in blocks against groups of
 shards, thresholds carry over from shard to shard of a group, and the groups'
-few results are merged exactly.
+few results are merged exactly.  The index is sent once a block, so blocks are
+large and the tasks come from the groups.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from cartwright.llm.common import materialize
 
 SHARD_VALUES = 1 << 17      # components in a shard
 GROUP_VALUES = 1 << 22      # components that one task searches
-BLOCK_VALUES = 1 << 16      # components of a block's anchors, at most on average
+BLOCK_VALUES = 1 << 20      # components of a block's anchors, at most on average
+SCORES = 1 << 21            # scored together, about
 FIRST_DEPTH = 64            # of the lists, before the first look at the threshold; then doubled
 LIMIT = 1 << 26             # of a quantised component's size: with it scores fit in 64 bits
 
@@ -39,6 +43,7 @@ INDEX = "shard int, grp int, ids binary, no_id binary, labels binary, copies bin
 BLOCKS = "block int, ids binary, no_id binary, labels binary, matrix binary"
 INDEX_NAMES = ["ids", "no_id", "labels", "copies", "matrix", "lists"]
 BLOCK_NAMES = ["ids", "no_id", "labels", "matrix"]
+LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 FOUND = "block int, anchor int, anchor_id bigint, low bigint, high bigint, id bigint, score bigint"
 
 
@@ -79,32 +84,53 @@ class Rows:
 
 
 class Best:
-    """The k best rows (score down, id up, NULL last) with a score from low to high."""
-
-    def __init__(self, k: int, low: int | None = None, high: int | None = None):
-        self.k, self.low, self.high = k, low, high
-        self.rows = [np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        self.bound = -math.inf if low is None else low     # unseen rows matter down to this score
-
-    def add(self, scores: np.ndarray, shard: Rows, at: np.ndarray, copies: np.ndarray) -> None:
-        fit = scores >= self.bound
+    """For each of some anchors the k best rows (score down, id up, NULL last)
+    with a score from low to high."""
+
+    def __init__(self, k: int, low: np.ndarray | None = None, high: np.ndarray | None = None, anchors: int = 1):
+        self.k, self.high = k, high
+        # anchors, ids, ids missing, scores, copies
+        self.rows = [np.zeros(0, t) for t in (np.int64, np.int64, bool, np.int64, np.int64)]
+        self.bound = np.full(anchors, LEAST) if low is None else low.copy()     # unseen rows matter down to this score
+
+    def add(self, anchors: np.ndarray, scores: np.ndarray, shard: Rows, at: np.ndarray, copies: np.ndarray,
+            fits: np.ndarray) -> None:
+        """Scores, copies and fits are of anchors x rows."""
+        fit = fits & (scores >= self.bound[anchors, None])
         if self.high is not None:
-            fit &= scores <= self.high
-        if not fit.any():
+            fit &= scores <= self.high[anchors, None]
+        many = np.flatnonzero(np.count_nonzero(fit, axis=1) > self.k)
+        if len(many):       # each row that fits counts at least once
+            some = np.where(fit[many], scores[many], LEAST)
+            last = some.shape[1] - self.k
+            fit[many] &= some >= np.partition(some, last, axis=1)[:, last, None]
+        a, r = np.nonzero(fit)
+        if not len(a):
             return
-        new = (shard.ids[at[fit]], shard.no_id[at[fit]], scores[fit], copies[fit])
-        ids, no_id, score, n = (np.concatenate(x) for x in zip(self.rows, new))
-        order = np.lexsort((ids, no_id, -score))
-        before = np.cumsum(n[order]) - n[order]
-        order = order[before < self.k]
-        self.rows = [ids[order], no_id[order], score[order], n[order]]
-        if n[order].sum() >= self.k:
-            self.bound = score[order][-1]
+        new = (anchors[a], shard.ids[at[r]], shard.no_id[at[r]], scores[a, r], copies[a, r])
+        anchor, ids, no_id, score, n = (np.concatenate(x) for x in zip(self.rows, new))
+        order = np.lexsort((ids, no_id, -score, anchor))
+        order = order[self._before(anchor[order], n[order]) < self.k]
+        self.rows = [anchor, _, _, score, n] = [x[order] for x in (anchor, ids, no_id, score, n)]
+        ends = np.flatnonzero(np.append(anchor[1:] != anchor[:-1], True))
+        ends = ends[(self._before(anchor, n) + n)[ends] >= self.k]
+        self.bound[anchor[ends]] = score[ends]
+
+    @staticmethod
+    def _before(anchor: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """How many rows of the same anchor stand before each."""
+        before = np.cumsum(n) - n
+        return before - before[np.searchsorted(anchor, anchor)]
+
+    def copied(self) -> list[np.ndarray]:
+        """(anchors, ids, ids missing, scores), copies one by one."""
+        anchor, *_, n = self.rows
+        times = np.minimum(n, self.k - self._before(anchor, n)) if len(n) else n
+        return [np.repeat(x, times) for x in self.rows[:4]]
 
     def listed(self) -> list[tuple[int | None, int]]:
-        """(id, score), copies one by one."""
-        return [(None if none else i, s) for i, none, s, n in zip(*(x.tolist() for x in self.rows))
-                for _ in range(n)][:self.k]
+        """(id, score) of a single anchor, copies one by one."""
+        return [(None if none else i, s) for _, i, none, s in zip(*(x.tolist() for x in self.copied()))]
 
 
 def exact_matrix(shard: Rows, norm: float) -> np.ndarray:
@@ -114,15 +140,15 @@ def exact_matrix(shard: Rows, norm: float) -> np.ndarray:
     return shard.matrix.astype(np.float64 if peak * norm < 2.0 ** 53 else np.int64)
 
 
-def threshold_scan(shard: Rows, matrix: np.ndarray, vector: np.ndarray):
-    """Sorted access in rounds: (rows seen first in this round, their scores,
+def threshold_scan(shard: Rows, vectors: np.ndarray):
+    """Sorted access in rounds: (rows seen first in this round, for each anchor
     the threshold that no unseen row's score exceeds)."""
-    n, dims = len(shard.ids), np.flatnonzero(vector)
-    weights = vector.astype(matrix.dtype)
-    if not len(dims):
-        yield np.arange(n), np.zeros(n, np.int64), -math.inf
+    n, dims = len(shard.ids), np.arange(vectors.shape[1])
+    down, up = np.flatnonzero((vectors > 0).any(axis=0)), np.flatnonzero((vectors < 0).any(axis=0))
+    if not len(down) and not len(up):
+        yield np.arange(n), np.full(len(vectors), LEAST)
         return
-    down, up = dims[vector[dims] > 0], dims[vector[dims] < 0]
+    plus, minus = np.maximum(vectors, 0), np.minimum(vectors, 0)
     seen, depth = np.zeros(n, bool), 0
     while depth < n:
         to = min(n, max(FIRST_DEPTH, 2 * depth))
@@ -131,26 +157,51 @@ def threshold_scan(shard: Rows, matrix: np.ndarray, vector: np.ndarray):
         here[shard.lists[up, n - to:n - depth].ravel()] = True
         new = np.flatnonzero(here & ~seen)
         seen |= here
-        threshold = int(sum(vector[d] * int(shard.matrix[shard.lists[d, to - 1], d]) for d in down.tolist())
-                        + sum(vector[d] * int(shard.matrix[shard.lists[d, n - to], d]) for d in up.tolist()))
-        yield new, (matrix[new] @ weights).astype(np.int64), threshold
+        if seen.all():
+            yield new, np.full(len(vectors), LEAST)
+            return
+        yield new, (plus @ shard.matrix[shard.lists[:, to - 1], dims].astype(np.int64)
+                    + minus @ shard.matrix[shard.lists[:, n - to], dims].astype(np.int64))
         depth = to
 
 
-def search(shard: Rows, matrix: np.ndarray, vector: np.ndarray, wanted: list[Best], copies, fits) -> int:
-    """Feeds ``wanted`` from one shard; the number of rows scored."""
-    scored = 0
-    for new, scores, threshold in threshold_scan(shard, matrix, vector):
-        scored += len(new)
-        pick = (scores >= min(b.bound for b in wanted)) & fits(new)
-        at, some = new[pick], scores[pick]
-        for best in wanted:
-            best.add(some, shard, at, copies(at))
-        if threshold < min(b.bound for b in wanted):
+def search(shard: Rows, matrix: np.ndarray, vectors: np.ndarray, wanted: list[Best], copies, fits) -> int:
+    """Feeds ``wanted`` of some anchors (one in a row) from one shard; the
+    number of scores taken.  ``copies`` and ``fits`` of rows are the same for
+    all anchors, or of anchors x rows."""
+    vectors = np.atleast_2d(vectors)
+    active, scored = np.arange(len(vectors)), 0
+    for new, threshold in threshold_scan(shard, vectors):
+        if len(new):
+            scored += len(active) * len(new)
+            scores = (vectors[active].astype(matrix.dtype) @ matrix[new].T).astype(np.int64)
+            shape = (len(vectors), len(new))
+            n = np.broadcast_to(copies(new), shape)[active]
+            fit = np.broadcast_to(fits(new), shape)[active] & (n > 0)
+            for best in wanted:
+                best.add(active, scores, shard, new, n, fit)
+        bound = np.minimum.reduce([b.bound for b in wanted])
+        active = active[threshold[active] >= bound[active]]
+        if not len(active):
             break
     return scored
 
 
+def own_rows(shard: Rows, part: Rows, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, row) where the shard has the anchor itself."""
+    order = np.argsort(shard.ids, kind="stable")
+    first, stop = (np.searchsorted(shard.ids[order], part.ids, side) for side in ("left", "right"))
+    n = stop - first
+    a = np.repeat(np.arange(len(n)), n)
+    r = order[np.repeat(stop - np.cumsum(n), n) + np.arange(n.sum())]
+    same = (part.no_id[a] == shard.no_id[r]) & (part.labels[a] == shard.labels[r])
+    a, r = a[same], r[same]
+    for d in range(vectors.shape[1]):
+        same = vectors[a, d] == shard.matrix[r, d]
+        a, r = a[same], r[same]
+    return a, r
+
+
 def windows_of(scores: list[int], low: int, high: int) -> list[tuple[int, int, int]]:
     """(positive score, least, largest) of each distinct window that is not
     empty: low * positive <= 100 * negative <= high * positive."""
@@ -158,11 +209,22 @@ def windows_of(scores: list[int], low: int, high: int) -> list[tuple[int, int, i
     return [w for w in found if w[1] <= w[2]]
 
 
-def _found_table(rows: list[tuple]) -> pa.Table:
-    cols = list(zip(*rows)) if rows else [[]] * 7
-    kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 5]
-    names = ["block", "anchor", "anchor_id", "low", "high", "id", "score"]
-    return pa.table({n: pa.array(list(c), k) for n, c, k in zip(names, cols, kinds)})
+def _found_table(block: int, found: list[tuple[Rows, int, np.ndarray | None, Best]]) -> pa.Table:
+    """What was found for parts of a block's anchors: (the part, the number of
+    its first anchor, the least scores or positive scores of windows, best)."""
+    cols: list[list] = [[] for _ in range(6)]
+    for part, start, lows, best in found:
+        anchor, ids, no_id, score = best.copied()
+        low = pa.nulls(len(anchor), pa.int64()) if lows is None else pa.array(lows[anchor], pa.int64())
+        for col, x in zip(cols, (pa.array(start + anchor, pa.int32()),
+                                 pa.array(part.ids[anchor], pa.int64(), mask=part.no_id[anchor]), low,
+                                 pa.nulls(len(anchor), pa.int64()), pa.array(ids, pa.int64(), mask=no_id),
+                                 pa.array(score, pa.int64()))):
+            col.append(x)
+    kinds = [pa.int32(), *[pa.int64()] * 5]
+    anchor, *rest = (pa.chunked_array(c, k) for c, k in zip(cols, kinds))
+    return pa.table([pa.array(np.full(len(anchor), block), pa.int32()), anchor, *rest],
+                    names=["block", "anchor", "anchor_id", "low", "high", "id", "score"])
 
 
 def mine(rows: DataFrame, is_anchor, positives: int = 5, negatives: int = 3, low_percent: int = 50,
@@ -197,8 +259,10 @@ def mine(rows: DataFrame, is_anchor, positives: int = 5, negatives: int = 3, low
                         F.count_if("asks").alias("a")).first()
     dims = max(1, size["d"] or 1)
     shards = max(1, math.ceil(size["n"] * dims / SHARD_VALUES))
-    per_group = max(1, GROUP_VALUES // SHARD_VALUES)
-    blocks = max(2 * spark.sparkContext.defaultParallelism, math.ceil(size["a"] * dims / BLOCK_VALUES))
+    blocks = max(1, math.ceil(size["a"] * dims / BLOCK_VALUES))
+    per_group = max(1, min(GROUP_VALUES // SHARD_VALUES,
+                           shards * blocks // (2 * spark.sparkContext.defaultParallelism)))
+    together = max(1, SCORES // max(1, SHARD_VALUES // dims))
 
     def build_shard(table: pa.Table) -> pa.Table:
         part = Rows.from_table(table, dims)
@@ -220,56 +284,67 @@ def mine(rows: DataFrame, is_anchor, positives: int = 5, negatives: int = 3, low
     groups = math.ceil(shards / per_group)
     dealt = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def shards_of(table: pa.Table, asked: pa.Table):
+    def shards_of(table: pa.Table, norm: float):
         """The group's shards in order, with their matrices."""
-        norm = float(np.abs(Rows.unpack(asked.select(BLOCK_NAMES), 0, dims).matrix).sum(axis=1, dtype=np.int64).max())
         for k in np.argsort(np.asarray(table.column("shard"))).tolist():
             shard = Rows.unpack(table.select(INDEX_NAMES), k, dims)
             yield shard, exact_matrix(shard, norm)
 
-    def each_anchor(table: pa.Table):
-        part = Rows.unpack(table.select(BLOCK_NAMES), 0, dims)
-        for k in range(len(part.ids)):
-            yield k, None if part.no_id[k] else int(part.ids[k]), int(part.labels[k]), part.matrix[k].astype(np.int64)
+    def parts_of(table: pa.Table) -> list[tuple[int, Rows, np.ndarray]]:
+        """The block's anchors, some at a time: (number of the first, rows, vectors)."""
+        whole = Rows.unpack(table.select(BLOCK_NAMES), 0, dims)
+        return [(k, Rows(*(getattr(whole, f)[k:k + together] for f in ("ids", "no_id", "labels", "copies", "matrix"))),
+                 whole.matrix[k:k + together].astype(np.int64)) for k in range(0, len(whole.ids), together)]
+
+    def norm_of(parts) -> float:
+        return float(max(np.abs(v).sum(axis=1).max() for _, _, v in parts))
 
     def find_positives(indexed: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not indexed.num_rows:
-            return _found_table([])
-        block, wanted = asked.column("block")[0].as_py(), {}
-        for shard, matrix in shards_of(indexed, asked):
-            for k, own_id, label, own in each_anchor(asked):
-                best = wanted.setdefault(k, (own_id, Best(positives)))[1]
-
-                def copies(at, own_id=own_id, own=own, shard=shard):
+            return _found_table(0, [])
+        parts = parts_of(asked)
+        wanted = [Best(positives, anchors=len(v)) for _, _, v in parts]
+        for shard, matrix in shards_of(indexed, norm_of(parts)):
+            for (_, part, vectors), best in zip(parts, wanted):
+                a, r = own_rows(shard, part, vectors)
+
+                def copies(at, vectors=vectors, shard=shard, a=a, r=r):
                     """Without the anchor itself."""
-                    n = shard.copies[at].copy()
-                    same_id = shard.no_id[at] if own_id is None else (shard.ids[at] == own_id) & ~shard.no_id[at]
-                    for j in np.flatnonzero(same_id).tolist():
-                        n[j] -= (shard.matrix[at[j]] == own).all()
+                    n = shard.copies[at]
+                    here = np.isin(r, at)
+                    if here.any():
+                        n = np.tile(n, (len(vectors), 1))
+                        n[a[here], np.searchsorted(at, r[here])] -= 1
                     return n
 
-                search(shard, matrix, own, [best], copies, lambda new, label=label, shard=shard: shard.labels[new] == label)
-        return _found_table([(block, k, own_id, None, None, i, s) for k, (own_id, best) in wanted.items()
-                             for i, s in best.listed()])
+                search(shard, matrix, vectors, [best], copies,
+                       lambda new, part=part, shard=shard: part.labels[:, None] == shard.labels[new])
+        return _found_table(asked.column("block")[0].as_py(),
+                            [(part, k, None, best) for (k, part, _), best in zip(parts, wanted)])
 
     def find_negatives(indexed: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not indexed.num_rows:
-            return _found_table([])
-        block, wanted = asked.column("block")[0].as_py(), {}
+            return _found_table(0, [])
+        parts, wanted = parts_of(asked), []
         scores: dict[int, list[int]] = {}
         for x in asked.column("scores")[0].as_py():
             scores.setdefault(x["anchor"], []).append(x["score"])
-        for shard, matrix in shards_of(indexed, asked):
-            for k, own_id, label, own in each_anchor(asked):
-                if k not in wanted:
-                    wanted[k] = (own_id, [(p, Best(negatives, lo, hi)) for p, lo, hi in
-                                          windows_of(scores.get(k, []), low_percent, high_percent)])
-                if not wanted[k][1]:
-                    continue
-                search(shard, matrix, own, [b for _, b in wanted[k][1]], lambda at, shard=shard: shard.copies[at],
-                       lambda new, label=label, shard=shard: shard.labels[new] != label)
-        return _found_table([(block, k, own_id, p, None, i, s) for k, (own_id, some) in wanted.items()
-                             for p, best in some for i, s in best.listed()])
+        for k, part, vectors in parts:
+            windows = [windows_of(scores.get(k + j, []), low_percent, high_percent) for j in range(len(vectors))]
+            found = []
+            for w in range(max(map(len, windows))):
+                # an anchor without this window: no score is large enough
+                p, low, high = (np.array([min(max(x, LEAST), MOST) for x in c], np.int64) for c in zip(
+                    *(of[w] if w < len(of) else (0, MOST, MOST) for of in windows)))
+                found.append((p, Best(negatives, low, high, len(vectors))))
+            wanted.append(found)
+        for shard, matrix in shards_of(indexed, norm_of(parts)):
+            for (_, part, vectors), found in zip(parts, wanted):
+                if found:
+                    search(shard, matrix, vectors, [b for _, b in found], lambda at, shard=shard: shard.copies[at],
+                           lambda new, part=part, shard=shard: part.labels[:, None] != shard.labels[new])
+        return _found_table(asked.column("block")[0].as_py(),
+                            [(part, k, p, best) for (k, part, _), found in zip(parts, wanted) for p, best in found])
 
     def searched(asked: DataFrame, fn) -> DataFrame:
         asking = asked.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))

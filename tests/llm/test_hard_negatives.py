@@ -91,3 +91,36 @@ def test_the_scan_stops_before_the_end():
     scores = matrix.astype(np.int64) @ vector
     assert seen < 1000
     assert best.listed() == [(int(i), int(scores[i])) for i in np.lexsort((np.arange(5000), -scores))[:5]]
+
+
+def test_anchors_are_searched_together():
+    """One scan feeds many anchors, each with windows, copies and labels of its own, as scans one by one do."""
+    rnd = np.random.default_rng(5)
+    matrix = rnd.integers(-3, 4, (700, 5)).astype(np.int32)
+    matrix[0] = 0
+    part = hard_negatives.Rows(rnd.permutation(700), rnd.random(700) < 0.05, rnd.integers(0, 3, 700), rnd.integers(1, 4, 700), matrix)
+    shard = hard_negatives.Rows(part.ids, part.no_id, part.labels, part.copies, matrix, part.sorted_lists())
+    exact = hard_negatives.exact_matrix(shard, 100.0)
+    vectors = matrix[:60].astype(np.int64)
+    low, high = np.full(60, -2), rnd.integers(-5, 20, 60)
+    all_of = [hard_negatives.Best(5, anchors=60), hard_negatives.Best(3, low, high, 60)]
+    hard_negatives.search(shard, exact, vectors, all_of, lambda at: shard.copies[at],
+                          lambda new: shard.labels[new] != part.labels[:60, None])
+    for k, best in enumerate(all_of):
+        anchors, ids, no_id, scores = best.copied()
+        for a in range(60):
+            s = matrix.astype(np.int64) @ vectors[a]
+            ok = (part.labels != part.labels[a]) & ((k == 0) | ((s >= -2) & (s <= high[a])))
+            plain = sorted((-s[j], part.no_id[j], part.ids[j]) for j in np.flatnonzero(ok) for _ in range(part.copies[j]))
+            here = anchors == a
+            assert list(zip(-scores[here], no_id[here], ids[here])) == plain[:best.k]
+
+
+def test_the_index_is_sent_once_for_few_anchors(spark, monkeypatch):
+    """Tasks come from the groups of shards; the index is not dealt to a block for every core."""
+    sent = []
+    sequence = F.sequence
+    monkeypatch.setattr(F, "sequence", lambda start, stop: (sent.append(stop._jc.toString()), sequence(start, stop))[1])
+    rows = vectors(200, 4, 7)
+    assert collected(hard_negatives.mine(table(spark, rows), F.col("vec_id") % 20 == 0)) == plain(rows, 20)
+    assert sent[0] == "0"
