@@ -155,3 +155,19 @@ def test_order_status_reads_only_what_it_needs(spark):
     assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") <= 1
     assert plan.count("Exchange hashpartitioning") <= 3
     assert "l_extendedprice" not in plan
+
+
+def test_output_contract_builds_the_master_once(spark, monkeypatch):
+    """The second output starts from the first, published one, with the same rows."""
+    from cartwright.sinks import writers as K
+
+    real, given = K.write_with_contract, []
+    monkeypatch.setattr(K, "write_with_contract", lambda df, *a, **k: (given.append(df), real(df, *a, **k))[1])
+    rows = {r["dataset"]: r for r in CATALOG["output_contract"](spark, SF_SMALL).collect()}
+    built, again = given
+    assert "lineitem.parquet" in _plan(built) and "lineitem.parquet" not in _plan(again)
+    assert again.dtypes == built.dtypes
+    assert built.exceptAll(again).count() == again.exceptAll(built).count() == 0
+    assert rows["master_orders"]["passed"] and rows["changed_orders"]["schema_match"]
+    assert not rows["changed_orders"]["content_match"] and not rows["changed_orders"]["passed"]
+    assert rows["master_orders"]["written_rows"] == rows["changed_orders"]["written_rows"] == built.count()
