@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.common import as_text, id_type, materialize, utf8
 
-MEMO_WORDS = 600_000   # words whose ids a worker remembers, and parts of words
+MEMO_WORDS = 250_000   # words whose ids a worker remembers
+MEMO_PARTS = 400_000   # parts of words, likewise
 STEP = 1024            # documents tokenised together
 STEP_BYTES = 1 << 22   # of their texts, about
-RUN = 1 << 18          # words whose ids are gathered together
+RUN = 1 << 15          # words whose ids are gathered together
 
 # Characters whose lower case and normal form are known to be one character
 # each, so that words between white space can be tokenised by themselves.
@@ -127,7 +128,7 @@ class WordTokens:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_WORDS:
             self._forget()                   # the parts, which are fewer and cost more, stay
-        if len(self.parts) > MEMO_WORDS:
+        if len(self.parts) > MEMO_PARTS:
             self.parts.clear()
         simple = list(map(self._simple, texts))
         words = pc.ascii_split_whitespace(pa.array([x for x in simple if x is not None], pa.large_string()))
