@@ -233,6 +233,54 @@ def test_pruning_passes_over_blocks_and_loses_nothing():
         assert found[3][0].tolist() == []
 
 
+def counted(texts):
+    """Texts as queries: distinct terms, a weight each, the same in all texts."""
+    terms = [W.term_counts(t.encode())[0] for t in texts]
+    return [(t, 0.2 + (t % 97) / 30) for t in terms]
+
+
+def test_two_blocks_share_a_number_and_bounds_hold():
+    """Bounds of the product are sums of maxima, rounded up by less than a
+    step for each term; also of an odd number of blocks, and from any on."""
+    texts = [prose(k % 40, 5 + k) for k in range(131)]
+    index = W.ShardIndex(W.ShardIndex.build([t.encode() for t in texts]), 60.0)
+    weight = 0.2 + (index.vocabulary % 97) / 30
+    both = W.Weighted(index, weight)
+    assert both.two.shape == (len(index.columns), -(-index.n_blocks // 2))
+    rnd = np.random.default_rng(3)
+    has = (rnd.random((20, len(index.columns))) < 0.3).astype(np.float32)
+    exact = (has * weight[index.columns]).astype(np.float64) @ index.maxima
+    for first in (0, 1, 2, 77):
+        got = both.bounds(has, np.arange(len(index.columns)), first, index.n_blocks - first)
+        over = got - exact[:, first:]
+        assert (over > -1e-3).all() and (over <= has.sum(axis=1)[:, None] * both.step[first:] + 1e-3).all()
+
+
+def test_queries_searched_together_find_what_each_finds_alone(monkeypatch):
+    """Many queries of unlike terms and thresholds in small batches, with all
+    terms in lists or all in the product, blocks of 1 to 3 documents, and
+    pieces that are passed over."""
+    texts = [prose(k % 50, 4 + k % 90) for k in range(400)] + ["", "!!", prose(3, 2000)]
+    queries = counted([prose(k, 3 + 4 * k) for k in range(60)] + ["nowhere", ""])
+    for block, posting, piece in ((1, 300, 512), (2, 0, 8), (3, 10 ** 9, 12), (1, 300, 6)):
+        for name, value in (("BLOCK", block), ("POSTING", posting), ("PIECE", piece), ("TOGETHER", 16)):
+            monkeypatch.setattr(W, name, value)
+        index = W.ShardIndex(W.ShardIndex.build([t.encode() for t in texts]), 40.0)
+        for part in (0.0, 0.5, 1.0):
+            asked, want = [], []
+            for terms, weights in queries:
+                at = np.minimum(np.searchsorted(index.vocabulary, terms), len(index.vocabulary) - 1)
+                here = index.vocabulary[at] == terms
+                index.weight[at[here]] = weights[here]
+                docs, every = index._scores(np.arange(index.n_docs))
+                index.weight[:] = 0
+                kth = np.sort(every)[-5]
+                asked.append((terms, weights, kth * part))
+                want.append(sorted((-s, d) for s, d in zip(every.tolist(), index.order[docs].tolist()) if s > 0 and s >= kth))
+            got = [sorted(zip((-s).tolist(), d.tolist())) for d, s, _ in index.search(asked, 5)]
+            assert got == want
+
+
 def test_search_of_empty_tables(spark):
     assert W.search(table(spark, []), table(spark, [(1, "a")])).collect() == []
     assert W.search(table(spark, [(1, "a")]), table(spark, [])).collect() == []
