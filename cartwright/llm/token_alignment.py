@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.common import ARROW, as_text, id_type, materialize, utf8
 
-CHUNK_BYTES = 2 << 20       # of texts aligned together
+CHUNK_BYTES = 1 << 19       # of texts aligned together
 MEMO_WORDS, MEMO_LENGTH = 250_000, 64   # words whose ids a worker remembers, and their longest
 LEARNED = 64                # words tokenised in one text
 LEAPS = 16                  # looks in turn, before all ends of an interval's half are looked up at once
@@ -247,6 +247,18 @@ def align(pair: Pair, tokens: list[tuple[np.ndarray, np.ndarray]]):
     return n_a, n_b, n_groups, n_links, digests, pairs
 
 
+def pack_places(places: np.ndarray, n: int) -> bytes:
+    """Places among n pairs, small: they travel with their texts' rows, which
+    Spark keeps whole in memory.  The first byte tells their width."""
+    width = 2 if n <= 1 << 16 else 4
+    return bytes([width]) + pa.compress(places.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_places(packed: bytes, n: int) -> np.ndarray:
+    """n places as ``pack_places`` wrote them."""
+    return np.frombuffer(pa.decompress(packed[1:], n * packed[0], codec="zstd", asbytes=True), f"<u{packed[0]}")
+
+
 def _chunks(path_a: str, path_b: str, kind: pa.DataType):
     names = ["chunk", "ids", "n_a", "n_b", "n_groups", "n_links", "digests", "pairs", "n", "places"]
 
@@ -257,7 +269,7 @@ def _chunks(path_a: str, path_b: str, kind: pa.DataType):
         one = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t))
         return pa.RecordBatch.from_arrays(
             [pa.array([chunk], pa.int64()), one(ids, kind), *(one(c, pa.int64()) for c in counts), one(digests, pa.string()),
-             one(pairs, pa.int64()), one(n, pa.int64()), pa.array([places.astype("<i4").tobytes()], pa.binary())], names=names)
+             one(pairs, pa.int64()), one(n, pa.int64()), pa.array([pack_places(places, len(pairs))], pa.binary())], names=names)
 
     def run(batches):
         chunk = TaskContext.get().partitionId() << 32
@@ -275,13 +287,14 @@ def _chunks(path_a: str, path_b: str, kind: pa.DataType):
 def _counted(kind: pa.DataType, id_col: str):
     """Rows of documents from chunks with the corpus's counts of their pairs."""
     def run(batches):
+        load_pair.cache_clear()         # the worker that aligned keeps nothing of it
         for batch in batches:
             for k in range(batch.num_rows):
                 ids, n_a, n_b, n_groups, n_links, digests, places, rated = (batch.column(c)[k] for c in range(1, 9))
                 per_doc = np.asarray(n_links.values)
                 best, total = np.zeros(len(per_doc), np.int64), np.zeros(len(per_doc), np.int64)
                 if per_doc.any():
-                    at = np.frombuffer(places.as_py(), "<i4")
+                    at = unpack_places(places.as_py(), int(per_doc.sum()))
                     counts = np.asarray(rated.values.field("count"))[at]
                     highest = np.asarray(rated.values.field("best"))[at]
                     first = (np.cumsum(per_doc) - per_doc)[per_doc > 0]
@@ -291,6 +304,7 @@ def _counted(kind: pa.DataType, id_col: str):
                     [ids.values.cast(kind), n_a.values, n_b.values, n_groups.values, n_links.values, pa.array(best),
                      pa.array(total), digests.values],
                     names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+            pa.default_memory_pool().release_unused()
     return run
 
 

@@ -111,3 +111,22 @@ def test_empty_table_and_text_ids(spark):
     docs = spark.createDataFrame([("x", "one text"), (None, None), ("x", "one text")], "doc_id string, text string")
     got = collected(token_alignment.align_documents(docs, A, B))
     assert got[2] == (None, 0, 0, 0, 0, 0, 0, "") and got[0] == got[1] and got[0][6] == 2 * got[0][4]
+
+
+def test_places_travel_small_and_come_back():
+    """Two bytes a place and less, four where there are more pairs than two tell apart."""
+    rnd = np.random.default_rng(5)
+    for n, most in ((1, 2), (9000, 2), (1 << 16, 2), ((1 << 16) + 1, 4)):
+        places = np.append(rnd.integers(0, n, 100_000), n - 1)
+        packed = token_alignment.pack_places(places, n)
+        assert packed[0] == most and len(packed) < most * len(places) * 1.01
+        assert (token_alignment.unpack_places(packed, len(places)) == places).all()
+
+
+def test_counting_keeps_no_tokenizers():
+    """A worker that aligned texts before lets go of the models and the memo."""
+    import pyarrow as pa
+
+    token_alignment.load_pair(A, B)
+    assert list(token_alignment._counted(pa.int64(), "doc_id")(iter([]))) == []
+    assert token_alignment.load_pair.cache_info().currsize == 0
