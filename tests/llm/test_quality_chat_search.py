@@ -281,6 +281,20 @@ def test_queries_searched_together_find_what_each_finds_alone(monkeypatch):
             assert got == want
 
 
+def test_blocks_of_queries_and_shards(spark, monkeypatch):
+    """One shard for several blocks of queries, and as many shards as blocks."""
+    rows = [(k, prose(k % 30, 10 + k % 50)) for k in range(120)]
+    queries = [r for r in rows if r[0] % 4 == 0]
+    want = brute(rows, queries, 4)
+    for shard_bytes, block_bytes in ((1 << 30, 900), (4_000, 900), (4_000, 3_000)):
+        monkeypatch.setattr(W, "SHARD_BYTES", shard_bytes)
+        monkeypatch.setattr(W, "QUERY_BLOCK_BYTES", block_bytes)
+        got = {}
+        for r in W.search(table(spark, rows), table(spark, queries), 4).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((-round(r["score"], 6), r["doc_id"]))
+        assert got == want
+
+
 def test_search_of_empty_tables(spark):
     assert W.search(table(spark, []), table(spark, [(1, "a")])).collect() == []
     assert W.search(table(spark, [(1, "a")]), table(spark, [])).collect() == []
